@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rodovia.functions import rules as R
 from rodovia.functions.calendar import calendar_attributes, observed_dates
 from rodovia.operators.dedup import latest_per_key
+from rodovia.plans.lazy import LazyTables
 
 log = logging.getLogger(__name__)
 
@@ -313,28 +314,36 @@ def warn(stg: Tables) -> list[tuple[str, int]]:
     return found
 
 
-def conform(stg: Tables, as_of, unknown_company: bool = True, markers: bool = False,
-            keep: Callable[[str, DataFrame], DataFrame] = lambda name, df: df
-            ) -> dict[str, DataFrame]:
-    """All conformed tables. ``keep`` may store a table and return the stored version, which later
-    tables then read instead of recomputing it."""
-    conf: dict[str, DataFrame] = {}
-
-    def add(name: str, df: DataFrame) -> None:
-        conf[name] = df
+def conformed(stg: Tables, as_of, unknown_company: bool = True) -> LazyTables:
+    """Plans of all conformed tables, dimensions first."""
+    return LazyTables({
+        "conf_cliente": lambda t: conf_cliente(stg),
+        "conf_condutor": lambda t: conf_condutor(stg),
+        "conf_grupo_veiculo": lambda t: conf_grupo_veiculo(stg),
+        "conf_empresa": lambda t: conf_empresa(stg, unknown_company),
+        "conf_patio": lambda t: conf_patio(stg),
+        "conf_veiculo": lambda t: conf_veiculo(stg),
+        "conf_tempo": lambda t: conf_tempo(stg),
+        "conf_reserva": lambda t: conf_reserva(stg),
+        "conf_locacao": lambda t: conf_locacao(stg, t["conf_veiculo"], t["conf_grupo_veiculo"],
+                                               as_of),
+        "conf_cobranca": lambda t: conf_cobranca(stg),
+        "conf_movimentacao_patio": lambda t: conf_movimentacao_patio(stg),
+    })
+
+
+def store_conformed(stg: Tables, keep: Callable[[str, DataFrame], DataFrame], as_of,
+                    unknown_company: bool = True, markers: bool = False) -> dict[str, DataFrame]:
+    """Store every conformed table with ``keep``, which returns the stored version; later tables
+    read that instead of recomputing what they build on."""
+    stored: dict[str, DataFrame] = {}
+    plans = conformed(stg, as_of, unknown_company)
+    for name in plans:
+        if name == "conf_locacao":
+            rows = conf_locacao(stg, stored["conf_veiculo"], stored["conf_grupo_veiculo"], as_of)
+        else:
+            rows = plans[name]
         if markers and name in REFERENCES:
-            df = resolve(conf, name)
-        conf[name] = keep(name, df)
-
-    add("conf_cliente", conf_cliente(stg))
-    add("conf_condutor", conf_condutor(stg))
-    add("conf_grupo_veiculo", conf_grupo_veiculo(stg))
-    add("conf_empresa", conf_empresa(stg, unknown_company))
-    add("conf_patio", conf_patio(stg))
-    add("conf_veiculo", conf_veiculo(stg))
-    add("conf_tempo", conf_tempo(stg))
-    add("conf_reserva", conf_reserva(stg))
-    add("conf_locacao", conf_locacao(stg, conf["conf_veiculo"], conf["conf_grupo_veiculo"], as_of))
-    add("conf_cobranca", conf_cobranca(stg))
-    add("conf_movimentacao_patio", conf_movimentacao_patio(stg))
-    return conf
+            rows = resolve({**stored, name: rows}, name)
+        stored[name] = keep(name, rows)
+    return stored

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rodovia.functions import rules as R
 from rodovia.functions.calendar import calendar_attributes, continuous_days, date_bounds
 from rodovia.plans.conform import unpivot_counts
+from rodovia.plans.lazy import LazyTables
 
 Tables = Mapping[str, DataFrame]
 
@@ -108,6 +109,11 @@ def dim_patio(conf: Tables) -> DataFrame:
                                      "capacidade")
 
 
+# Dimensions that depend on no other; dim_veiculo follows them.
+ATTRIBUTES = {"dim_cliente": dim_cliente, "dim_condutor": dim_condutor,
+              "dim_grupo_veiculo": dim_grupo_veiculo, "dim_empresa": dim_empresa,
+              "dim_patio": dim_patio}
+
 ORPHAN = "_orfao"
 
 
@@ -277,20 +283,23 @@ def gate_counts(candidates: DataFrame) -> DataFrame:
     return unpivot_counts(counted, "motivo")
 
 
-def natural_warehouse(conf: Tables, days: DataFrame | None = None) -> dict[str, DataFrame]:
-    """The star as one lazy plan, with every surrogate key standing in as its natural key.
+def natural_warehouse(conf: Tables, days: DataFrame | None = None) -> LazyTables:
+    """The star as lazy plans, with every surrogate key standing in as its natural key.
 
     Views and reports only need keys that join, so a report over the operational data can run
     without loading the warehouse first; Catalyst prunes what the report does not touch.
     """
-    dw = {"dim_tempo": dim_tempo(conf) if days is None else days}
-    for name, build in (("dim_cliente", dim_cliente), ("dim_condutor", dim_condutor),
-                        ("dim_grupo_veiculo", dim_grupo_veiculo), ("dim_empresa", dim_empresa),
-                        ("dim_patio", dim_patio)):
+    def keyed(name: str, build):
         spec = DIMENSIONS[name]
-        dw[name] = build(conf).withColumn(spec.sk, F.col(spec.nk))
-    dw["dim_veiculo"] = (loadable(dim_veiculo_candidates(conf, dw))
-                         .withColumn("sk_veiculo", F.col("veiculo_id")))
-    for name, build in CANDIDATES.items():
-        dw[name] = loadable(build(conf, dw))
-    return dw
+        return lambda t: build(conf).withColumn(spec.sk, F.col(spec.nk))
+
+    def fact(build):
+        return lambda t: loadable(build(conf, t))
+
+    return LazyTables({
+        "dim_tempo": lambda t: dim_tempo(conf) if days is None else days,
+        **{n: keyed(n, b) for n, b in ATTRIBUTES.items()},
+        "dim_veiculo": lambda t: loadable(dim_veiculo_candidates(conf, t))
+        .withColumn("sk_veiculo", F.col("veiculo_id")),
+        **{n: fact(b) for n, b in CANDIDATES.items()},
+    })

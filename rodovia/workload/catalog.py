@@ -16,8 +16,9 @@ from rodovia.operators.dedup import latest_per_key
 from rodovia.operators.timeslice import with_sequence
 from rodovia.plans import (integrity as I, operational as P, quality as Q, refresh, reports, star,
                            views)
-from rodovia.plans.conform import (conf_tempo, conform, resolve, staging_dates, staging_warnings)
-from rodovia.schemas import STAGING
+from rodovia.plans.conform import (REFERENCES as CONF_REFERENCES, conf_tempo, conformed, resolve,
+                                   staging_dates, staging_warnings, store_conformed)
+from rodovia.plans.lazy import LazyTables
 from rodovia.session import scratch_path
 from rodovia.sources import extract as X, mappings as MAP
 from rodovia.sources.registry import FrameSource
@@ -34,8 +35,8 @@ class Context(Inputs):
     """Everything a query may start from; nothing is computed before it is used."""
 
     @cached_property
-    def conf(self) -> dict[str, DataFrame]:
-        return conform(self.staging, AS_OF)
+    def conf(self) -> LazyTables:
+        return conformed(self.staging, AS_OF)
 
     @cached_property
     def days(self) -> DataFrame:
@@ -46,16 +47,13 @@ class Context(Inputs):
         return calendar_attributes(continuous_days(date_bounds(frames)))
 
     @cached_property
-    def dw(self) -> dict[str, DataFrame]:
+    def dw(self) -> LazyTables:
         return star.natural_warehouse(self.conf, self.days)
 
     @cached_property
     def tel(self) -> DataFrame:
         return T.telemetry(self.table("events"))
 
-    def conf_dw_dims(self) -> dict[str, DataFrame]:
-        return {k: v for k, v in self.dw.items() if k.startswith("dim_")}
-
 
 @dataclass(frozen=True)
 class Query:
@@ -552,7 +550,7 @@ def _published(x: Context) -> dict[str, DataFrame]:
     """Conform, gate, assign keys, upsert and publish the whole warehouse, then read it back."""
     cfg = refresh.Config(scratch_path(x.spark, "dw"), AS_OF, RUN_TS, quarantine=True)
     run = cfg.store(x.spark, "conf").begin()
-    conf = conform(x.staging, AS_OF, keep=run.write)
+    conf = store_conformed(x.staging, run.write, AS_OF)
     run.commit()
     return refresh.warehouse(refresh.run_load(x.spark, cfg, conf))
 
@@ -605,7 +603,7 @@ def _gate(name: str, cte: str, reasons: list[str], rows: Callable[[Context], Dat
 
 plain("gate_counts_veiculo", "motivo:s qtd:i",
       "select 'orfaos' motivo, (select count(*) from k_veiculo) - (select count(*) from d_veiculo) qtd",
-      lambda x: star.gate_counts(star.dim_veiculo_candidates(x.conf, x.conf_dw_dims())))
+      lambda x: star.gate_counts(star.dim_veiculo_candidates(x.conf, x.dw)))
 _gate("gate_counts_reserva", "c_reserva", ["sem_cliente", "sem_grupo", "sem_patio", "sem_tempo"],
       lambda x: star.reserva_candidates(x.conf, x.dw))
 _gate("gate_counts_locacao", "(select *, false sem_tempo from c_locacao)",
@@ -786,8 +784,6 @@ def _dangling(child: str, column: str, parent: str, key: str) -> str:
             f"(select 1 from {parent} b where b.{key} = a.{column}))")
 
 
-from rodovia.plans.conform import REFERENCES as CONF_REFERENCES  # noqa: E402
-
 plain("q11_unresolved", "tabela:s referencia:s nulos:i orfaos:i",
       ua(f"select '{t}' tabela, '{c}' referencia, (select count(*) from {K_NAMES[t]} where {c} is null) nulos, "
          f"{_dangling(K_NAMES[t], c, K_NAMES[d], k)} orfaos"
@@ -834,7 +830,7 @@ plain("q14_date_key_coverage", "origem:s linhas:i qtd_chaves_sem_dim_tempo:i",
       ua(f"select '{f}.{r}' origem, count({r}) linhas, count({r}) filter (where {r} not in "
          f"(select sk_tempo from d_tempo)) qtd_chaves_sem_dim_tempo from {F_NAMES[f]} having count({r}) > 0"
          for f, roles in Q.TIME_KEYS for r in roles),
-      lambda x: Q.date_key_coverage({**x.dw, "dim_tempo": star.dim_tempo(x.conf)}))
+      lambda x: Q.date_key_coverage(star.natural_warehouse(x.conf)))
 plain("q15_additive", "entidade:s qtd_transform:i soma_qtd_dw:i",
       ua(f"select '{e}' entidade, (select count(*) from {a}) qtd_transform, (select count(*) from {b}) soma_qtd_dw"
          for e, a, b in (("reservas", "k_reserva", "f_reserva"), ("locacoes", "k_locacao", "f_locacao"),

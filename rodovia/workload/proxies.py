@@ -10,6 +10,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from rodovia.plans.lazy import LazyTables
 from rodovia.schemas import STAGING, to_schema
 
 
@@ -48,9 +49,12 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        return self._tables[name]
 
     @cached_property
     def categories(self) -> DataFrame:
@@ -62,14 +66,15 @@ class Inputs:
                              money(c("tot") / c("n").cast("decimal(20,0)")).alias("diaria"))
 
     @cached_property
-    def staging(self) -> dict[str, DataFrame]:
+    def staging(self) -> LazyTables:
         build = {
             "cliente": self._cliente, "condutor": self._condutor, "grupo_veiculo": self._grupo,
             "veiculo": self._veiculo, "patio": self._patio, "vaga": self._vaga,
             "reserva": self._reserva, "locacao": self._locacao, "cobranca": self._cobranca,
             "movimentacao_patio": self._mov,
         }
-        return {name: to_schema(f(), STAGING[name]) for name, f in build.items()}
+        return LazyTables({name: lambda t, name=name, f=f: to_schema(f(), STAGING[name])
+                           for name, f in build.items()})
 
     def _cliente(self) -> DataFrame:
         k = c("c_custkey")
@@ -235,93 +240,96 @@ class Inputs:
                         (u % 4 + 1).alias("grupo_fonte"), ntz("2024-02-01").alias("dt_extracao")))
 
     @cached_property
-    def oltp(self) -> dict[str, DataFrame]:
+    def oltp(self) -> LazyTables:
         """An operational schema of 17 tables with violations of every rule."""
-        k = c("c_custkey")
-        out = {}
-        s = c("s_suppkey")
-        out["empresa_locadora"] = self.table("supplier").select(
-            s.alias("id"), c("s_name").alias("nome"),
-            F.concat(F.lit("CNPJ-"), txt(F.when(s % 10 == 9, s - 1).otherwise(s))).alias("cnpj"))
-        out["cliente"] = self.table("customer").select(
-            k.alias("id"), c("c_name").alias("nome"),
-            F.when(c("c_mktsegment") == "BUILDING", "PJ").when(c("c_mktsegment") == "MACHINERY", "XX")
-            .otherwise("PF").alias("tipo"))
-        out["condutor"] = self.table("customer").select(
-            k.alias("id"), F.when(k % 50 == 49, -k).otherwise(k).alias("cliente_id"),
-            F.concat(F.lit("Condutor "), txt(k)).alias("nome"),
-            F.concat(F.lit("CNH-"), txt(F.when(k % 40 == 39, k - 39).otherwise(k))).alias("cnh"))
-        out["grupo_veiculo"] = self.table("region").select(c("r_regionkey").alias("id"),
-                                                           c("r_name").alias("nome"))
-        p, size = c("p_partkey"), c("p_size")
-        out["veiculo"] = self.table("part").select(
-            p.alias("id"),
-            F.when(p % 60 != 59, F.concat(F.lit("P"), txt(F.when(p % 30 == 28, p - 1).otherwise(p))))
-            .alias("placa"),
-            F.concat(F.lit("C"), txt(F.when(p % 45 == 44, p - 1).otherwise(p))).alias("chassi"),
-            F.when(size % 3 == 0, "automatico").when(size % 3 == 1, "manual").otherwise("cvt")
-            .alias("tipo_mecanizacao"),
-            F.when(size % 7 == 0, "manutencao").when(size % 7 == 1, "alugado")
-            .when(size % 7 == 2, "vendido").otherwise("disponivel").alias("status"),
-            (size % 6).alias("grupo_id"), (p % 11).alias("empresa_id"))
-        out["acessorio"] = self.table("region").select(
-            c("r_regionkey").alias("id"),
-            F.when(c("r_regionkey") == 4, "GPS").when(c("r_regionkey") == 3, "GPS")
-            .otherwise(c("r_name")).alias("nome"))
-        out["veiculo_acessorio"] = self.table("lineitem").select(
-            c("l_partkey").alias("veiculo_id"), c("l_linenumber").alias("acessorio_id")).distinct()
-        out["patio"] = self.table("nation").select(c("n_nationkey").alias("id"),
-                                                   c("n_name").alias("nome"))
-        out["vaga"] = self.table("supplier").select(
-            c("s_name").alias("codigo"), (c("s_nationkey") + F.when(s % 33 == 0, 50).otherwise(0))
-            .alias("patio_id"),
-            F.when(s % 3 == 0, "ocupada").when(s % 20 == 1, "quebrada").otherwise("livre")
-            .alias("status"))
-        res = self._reserva()
-        out["reserva"] = res.select(
-            c("src_id").alias("id"), c("src_cliente_id").alias("cliente_id"),
-            (c("src_grupo_id") - 1).alias("grupo_id"),
-            c("src_patio_retirada_id").alias("patio_retirada_id"),
-            c("src_patio_devolucao_id").alias("patio_devolucao_id"), "data_inicio", "data_fim",
-            F.when(c("src_id") % 5 == 0, "cancelada").when(c("src_id") % 5 == 1, "espera")
-            .when(c("src_id") % 5 == 2, "confirmada").otherwise(F.lower("status")).alias("status"))
-        loc = self._locacao()
-        out["locacao"] = loc.select(
-            c("src_id").alias("id"),
-            F.when(c("src_id") % 10 <= 2, F.floor(c("src_id") / 10)).alias("reserva_id"),
-            c("src_veiculo_id").alias("veiculo_id"), c("src_condutor_id").alias("condutor_id"),
-            c("src_patio_retirada_id").alias("patio_retirada_id"),
-            c("src_patio_devolucao_id").alias("patio_devolucao_id"), "data_retirada_prevista",
-            "data_retirada_realizada",
-            F.when(c("src_id") % 53 == 0, days_after(c("data_devolucao_prevista"), F.lit(-9)))
-            .otherwise(c("data_devolucao_prevista")).alias("data_devolucao_prevista"),
-            "data_devolucao_realizada",
-            F.when(c("src_id") % 59 != 0, c("km_entrega") - 100).alias("km_entrega"), "km_devolucao",
-            "estado_entrega", F.lit(None).cast("string").alias("estado_devolucao"), "created_at")
-        out["cobranca"] = self.table("lineitem").filter("l_linenumber <= 3").select(
-            (c("l_orderkey") * 10 + c("l_linenumber")).alias("id"),
-            F.when(c("l_linenumber") < 3, c("l_orderkey") * 10 + 1).alias("locacao_id"),
-            (money("l_extendedprice", 12) - 2000).alias("valor"),
-            F.when(c("l_returnflag") == "A", "pago").when(c("l_returnflag") == "R", "cancelado")
-            .when(c("l_linestatus") == "O", "pendente").otherwise("estornado").alias("status"),
-            c("l_shipdate").cast("date").alias("data_pagamento"))
-        out["seguro"] = self.table("nation").select(
-            c("n_nationkey").alias("id"), c("n_name").alias("tipo"),
-            money(c("n_nationkey") * 10 - 20).alias("valor"))
-        out["locacao_seguro"] = self.table("lineitem").select(
-            (c("l_orderkey") * 10 + c("l_linenumber")).alias("locacao_id"),
-            (c("l_suppkey") % 30).alias("seguro_id"))
-        ev = self.table("events")
-        out["foto"] = ev.filter("event_type = 'view'").select(c("event_id").alias("id"),
-                                                              c("user_id").alias("veiculo_id"))
-        out["manutencao"] = ev.filter("event_type = 'purchase'").select(
-            c("event_id").alias("id"), (c("user_id") * 20).alias("veiculo_id"))
-        out["movimentacao_patio"] = ev.filter("event_type IN ('click', 'view')").select(
-            c("event_id").alias("id"), c("user_id").alias("veiculo_id"),
-            (c("user_id") % 25).alias("origem_patio_id"),
-            ((c("event_id") * 7 + 3) % 25).alias("destino_patio_id"),
-            c("ts").alias("data_movimentacao"), c("event_type").alias("motivo"))
-        return out
+        k, s, p, size, nation = (c("c_custkey"), c("s_suppkey"), c("p_partkey"), c("p_size"),
+                                 c("n_nationkey"))
+
+        def one_before(key: Column, n: int, rest: int, step: int = 1) -> Column:
+            """The key as text, with every n-th key repeating an earlier one."""
+            return txt(F.when(key % n == rest, key - step).otherwise(key))
+
+        def events(types: str) -> DataFrame:
+            return self.table("events").filter(f"event_type IN ({types})")
+
+        return LazyTables({
+            "empresa_locadora": lambda t: self.table("supplier").select(
+                s.alias("id"), c("s_name").alias("nome"),
+                F.concat(F.lit("CNPJ-"), one_before(s, 10, 9)).alias("cnpj")),
+            "cliente": lambda t: self.table("customer").select(
+                k.alias("id"), c("c_name").alias("nome"),
+                F.when(c("c_mktsegment") == "BUILDING", "PJ")
+                .when(c("c_mktsegment") == "MACHINERY", "XX").otherwise("PF").alias("tipo")),
+            "condutor": lambda t: self.table("customer").select(
+                k.alias("id"), F.when(k % 50 == 49, -k).otherwise(k).alias("cliente_id"),
+                F.concat(F.lit("Condutor "), txt(k)).alias("nome"),
+                F.concat(F.lit("CNH-"), one_before(k, 40, 39, 39)).alias("cnh")),
+            "grupo_veiculo": lambda t: self.table("region").select(
+                c("r_regionkey").alias("id"), c("r_name").alias("nome")),
+            "veiculo": lambda t: self.table("part").select(
+                p.alias("id"),
+                F.when(p % 60 != 59, F.concat(F.lit("P"), one_before(p, 30, 28))).alias("placa"),
+                F.concat(F.lit("C"), one_before(p, 45, 44)).alias("chassi"),
+                F.when(size % 3 == 0, "automatico").when(size % 3 == 1, "manual").otherwise("cvt")
+                .alias("tipo_mecanizacao"),
+                F.when(size % 7 == 0, "manutencao").when(size % 7 == 1, "alugado")
+                .when(size % 7 == 2, "vendido").otherwise("disponivel").alias("status"),
+                (size % 6).alias("grupo_id"), (p % 11).alias("empresa_id")),
+            "acessorio": lambda t: self.table("region").select(
+                c("r_regionkey").alias("id"),
+                F.when(c("r_regionkey") >= 3, "GPS").otherwise(c("r_name")).alias("nome")),
+            "veiculo_acessorio": lambda t: self.table("lineitem").select(
+                c("l_partkey").alias("veiculo_id"), c("l_linenumber").alias("acessorio_id")).distinct(),
+            "patio": lambda t: self.table("nation").select(nation.alias("id"),
+                                                           c("n_name").alias("nome")),
+            "vaga": lambda t: self.table("supplier").select(
+                c("s_name").alias("codigo"),
+                (c("s_nationkey") + F.when(s % 33 == 0, 50).otherwise(0)).alias("patio_id"),
+                F.when(s % 3 == 0, "ocupada").when(s % 20 == 1, "quebrada").otherwise("livre")
+                .alias("status")),
+            "reserva": lambda t: self._reserva().select(
+                c("src_id").alias("id"), c("src_cliente_id").alias("cliente_id"),
+                (c("src_grupo_id") - 1).alias("grupo_id"),
+                c("src_patio_retirada_id").alias("patio_retirada_id"),
+                c("src_patio_devolucao_id").alias("patio_devolucao_id"), "data_inicio", "data_fim",
+                F.when(c("src_id") % 5 == 0, "cancelada").when(c("src_id") % 5 == 1, "espera")
+                .when(c("src_id") % 5 == 2, "confirmada").otherwise(F.lower("status"))
+                .alias("status")),
+            "locacao": lambda t: self._locacao().select(
+                c("src_id").alias("id"),
+                F.when(c("src_id") % 10 <= 2, F.floor(c("src_id") / 10)).alias("reserva_id"),
+                c("src_veiculo_id").alias("veiculo_id"), c("src_condutor_id").alias("condutor_id"),
+                c("src_patio_retirada_id").alias("patio_retirada_id"),
+                c("src_patio_devolucao_id").alias("patio_devolucao_id"), "data_retirada_prevista",
+                "data_retirada_realizada",
+                F.when(c("src_id") % 53 == 0, days_after(c("data_devolucao_prevista"), F.lit(-9)))
+                .otherwise(c("data_devolucao_prevista")).alias("data_devolucao_prevista"),
+                "data_devolucao_realizada",
+                F.when(c("src_id") % 59 != 0, c("km_entrega") - 100).alias("km_entrega"),
+                "km_devolucao", "estado_entrega",
+                F.lit(None).cast("string").alias("estado_devolucao"), "created_at"),
+            "cobranca": lambda t: self.table("lineitem").filter("l_linenumber <= 3").select(
+                (c("l_orderkey") * 10 + c("l_linenumber")).alias("id"),
+                F.when(c("l_linenumber") < 3, c("l_orderkey") * 10 + 1).alias("locacao_id"),
+                (money("l_extendedprice", 12) - 2000).alias("valor"),
+                F.when(c("l_returnflag") == "A", "pago").when(c("l_returnflag") == "R", "cancelado")
+                .when(c("l_linestatus") == "O", "pendente").otherwise("estornado").alias("status"),
+                c("l_shipdate").cast("date").alias("data_pagamento")),
+            "seguro": lambda t: self.table("nation").select(
+                nation.alias("id"), c("n_name").alias("tipo"), money(nation * 10 - 20).alias("valor")),
+            "locacao_seguro": lambda t: self.table("lineitem").select(
+                (c("l_orderkey") * 10 + c("l_linenumber")).alias("locacao_id"),
+                (c("l_suppkey") % 30).alias("seguro_id")),
+            "foto": lambda t: events("'view'").select(c("event_id").alias("id"),
+                                                      c("user_id").alias("veiculo_id")),
+            "manutencao": lambda t: events("'purchase'").select(
+                c("event_id").alias("id"), (c("user_id") * 20).alias("veiculo_id")),
+            "movimentacao_patio": lambda t: events("'click', 'view'").select(
+                c("event_id").alias("id"), c("user_id").alias("veiculo_id"),
+                (c("user_id") % 25).alias("origem_patio_id"),
+                ((c("event_id") * 7 + 3) % 25).alias("destino_patio_id"),
+                c("ts").alias("data_movimentacao"), c("event_type").alias("motivo")),
+        })
 
     @cached_property
     def extraction_log(self) -> DataFrame:
