@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
 SOURCES = (1, 2, 3, 4)
@@ -58,19 +58,22 @@ DIM_TEMPO = ("sk_tempo int, data date, ano int, mes int, nome_mes string, trimes
 
 def column_names(ddl: str) -> list[str]:
     """Names in a column list, without asking a session to parse it."""
-    return [part.split()[0] for part in re.sub(r"\(.*?\)", "", ddl).split(",")]
+    return list(column_types(ddl))
+
+
+def column_types(ddl: str) -> dict[str, str]:
+    parts = re.findall(r"(\w+) (\w+(?:\(.*?\))?)", ddl)
+    return dict(parts)
 
 
 def to_schema(df: DataFrame, ddl: str) -> DataFrame:
     """Cast to ``ddl``; columns the frame lacks become typed NULLs, extra columns are refused."""
-    schema = StructType.fromDDL(ddl)
-    extra = set(df.columns) - set(schema.names)
+    types, present = column_types(ddl), set(df.columns)
+    extra = present - set(types)
     if extra:
         raise ValueError(f"unexpected columns {sorted(extra)}")
-    return df.select(*[
-        (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in schema.fields
-    ])
+    return df.selectExpr(*[f"CAST({n if n in present else 'NULL'} AS {t}) AS {n}"
+                           for n, t in types.items()])
 
 
 def require_columns(df: DataFrame, ddl: str, label: str) -> DataFrame:

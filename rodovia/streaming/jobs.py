@@ -12,9 +12,11 @@ from rodovia.operators.store import TableStore
 from rodovia.streaming.telemetry import latest_status
 
 
-def file_stream(spark: SparkSession, path: str, schema, files_per_batch: int = 1000) -> DataFrame:
+def file_stream(spark: SparkSession, folder: str, schema, pattern: str = "*.parquet",
+                files_per_batch: int = 1000) -> DataFrame:
+    """Files of ``folder`` whose names match ``pattern``, as they arrive."""
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
-            .parquet(path))
+            .option("pathGlobFilter", pattern).parquet(folder))
 
 
 def append_table(stream: DataFrame, out: str, checkpoint: str):

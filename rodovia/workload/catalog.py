@@ -982,8 +982,7 @@ def _stream(x: Context) -> DataFrame:
     """The events file as a stream, in a session with few state partitions for a local run."""
     session = x.spark.newSession()
     session.conf.set("spark.sql.shuffle.partitions", str(x.spark.sparkContext.defaultParallelism))
-    path = f"{x.dir}/events.parquet"
-    return jobs.file_stream(session, path, x.table("events").schema)
+    return jobs.file_stream(session, x.dir, x.table("events").schema, "events.parquet")
 
 
 def _finished_updates(x: Context, stream: DataFrame, keys: list[str]) -> DataFrame:

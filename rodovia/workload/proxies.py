@@ -22,19 +22,10 @@ def txt(x: Column | str) -> Column:
     return (c(x) if isinstance(x, str) else x).cast("string")
 
 
-def every(name: str, n: int) -> Column:
-    """True for keys that are multiples of n."""
-    return c(name) % n == 0
-
-
 def money(x: Column | str, precision: int = 10) -> Column:
     return (c(x) if isinstance(x, str) else x).cast(f"decimal({precision},2)")
 
 
-def ntz(text: str) -> Column:
-    return F.lit(text).cast("timestamp_ntz")
-
-
 def days_after(ts: Column, n: Column, hours: int = 0) -> Column:
     return ts + F.make_dt_interval(n.cast("int"), F.lit(hours), F.lit(0), F.lit(0))
 
@@ -44,6 +35,9 @@ def four_sources(df: DataFrame) -> DataFrame:
     return df.withColumn("g", F.explode(F.array(*[F.lit(i) for i in (1, 2, 3, 4)])))
 
 
+LOADED = "TIMESTAMP_NTZ'2024-01-01' AS dt_extracao"
+
+
 class Inputs:
     """Lazy frames over one scale-factor folder."""
 
@@ -77,167 +71,156 @@ class Inputs:
                            for name, f in build.items()})
 
     def _cliente(self) -> DataFrame:
-        k = c("c_custkey")
         return (self.table("customer").join(self.table("nation"), c("n_nationkey") == c("c_nationkey"))
-                .select(
-            k.alias("src_id"),
-            F.when(k % 17 == 0, None).when(k % 19 == 0, "  ").otherwise(c("c_name")).alias("nome"),
-            F.when(c("c_mktsegment").isin("BUILDING", "MACHINERY"), " pj ").otherwise("pf")
-            .alias("tipo"),
-            c("n_name").alias("cidade"),
-            F.when(k % 5 == 0, " rj ").when(k % 5 == 1, "").otherwise("SP").alias("uf"),
-            F.when(k % 7 != 0, F.concat("c_name", F.lit("@Mail.COM"))).alias("email"),
-            F.when(k % 11 == 0, "--").otherwise(F.concat(F.lit("+55 (21) "), txt(k + 100000)))
-            .alias("telefone"),
-            (k % 4 + 1).alias("grupo_fonte"), ntz("2024-01-01").alias("dt_extracao")))
+                .selectExpr(
+            "c_custkey AS src_id",
+            "CASE WHEN c_custkey % 17 = 0 THEN NULL WHEN c_custkey % 19 = 0 THEN '  ' "
+            "ELSE c_name END AS nome",
+            "CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN ' pj ' ELSE 'pf' END AS tipo",
+            "n_name AS cidade",
+            "CASE c_custkey % 5 WHEN 0 THEN ' rj ' WHEN 1 THEN '' ELSE 'SP' END AS uf",
+            "CASE WHEN c_custkey % 7 <> 0 THEN c_name || '@Mail.COM' END AS email",
+            "CASE WHEN c_custkey % 11 = 0 THEN '--' "
+            "ELSE '+55 (21) ' || CAST(c_custkey + 100000 AS STRING) END AS telefone",
+            "c_custkey % 4 + 1 AS grupo_fonte", LOADED))
 
     def _condutor(self) -> DataFrame:
-        k = c("c_custkey")
-        return self.table("customer").filter(k % 101 != 0).select(
-            k.alias("src_id"), k.alias("src_cliente_id"),
-            F.when(k % 13 != 0, F.concat(F.lit("Condutor "), txt(k))).alias("nome"),
-            F.concat(F.lit("CNH "), txt(k + 1000), F.lit("-"), txt(k % 10)).alias("cnh"),
-            F.date_add(F.lit("2025-01-01").cast("date"), (k % 1000).cast("int")).alias("validade"),
-            F.when(k % 3 == 0, " b ").when(k % 3 == 1, "").otherwise("ad").alias("categoria"),
-            (k % 4 + 1).alias("grupo_fonte"), ntz("2024-01-01").alias("dt_extracao"))
+        return self.table("customer").filter("c_custkey % 101 <> 0").selectExpr(
+            "c_custkey AS src_id", "c_custkey AS src_cliente_id",
+            "CASE WHEN c_custkey % 13 <> 0 THEN 'Condutor ' || CAST(c_custkey AS STRING) END AS nome",
+            "'CNH ' || CAST(c_custkey + 1000 AS STRING) || '-' || CAST(c_custkey % 10 AS STRING) AS cnh",
+            "date_add(DATE'2025-01-01', CAST(c_custkey % 1000 AS INT)) AS validade",
+            "CASE c_custkey % 3 WHEN 0 THEN ' b ' WHEN 1 THEN '' ELSE 'ad' END AS categoria",
+            "c_custkey % 4 + 1 AS grupo_fonte", LOADED)
 
     def _grupo(self) -> DataFrame:
-        return four_sources(self.categories).select(
-            c("tid").alias("src_id"),
-            F.when(c("tid") == 6, " ").otherwise(c("p_type")).alias("nome"),
-            F.when(c("tid") % 2 == 1, F.concat(F.lit("Linha "), "p_type")).alias("categoria"),
-            "diaria", c("g").alias("grupo_fonte"), ntz("2024-01-01").alias("dt_extracao"))
+        return four_sources(self.categories).selectExpr(
+            "tid AS src_id", "CASE WHEN tid = 6 THEN ' ' ELSE p_type END AS nome",
+            "CASE WHEN tid % 2 = 1 THEN 'Linha ' || p_type END AS categoria", "diaria",
+            "g AS grupo_fonte", LOADED)
 
     def _veiculo(self) -> DataFrame:
-        k, g, size = c("p_partkey"), c("g"), c("p_size")
-        unnamed = (g == 3) & (k % 50 == 0)
         rows = self.table("part").join(self.categories.select("p_type", "tid"), "p_type")
-        return four_sources(rows).select(
-            k.alias("src_id"),
-            F.when(k % 13 != 0, F.concat(F.substring("p_brand", 1, 5), F.lit("-"), txt(k)))
-            .alias("placa"),
-            F.when(k % 9 == 0, " ").otherwise(F.concat(F.lit("CH"), txt(k))).alias("chassi"),
-            F.when(k % 37 != 0, c("p_name")).alias("modelo"), c("p_brand").alias("marca"),
-            F.when(g == 1, F.split_part("p_name", F.lit(" "), F.lit(1))).alias("cor"),
-            F.when(size % 3 == 0, "Cambio Automatico").otherwise("cvt?").alias("tipo_mecanizacao"),
-            F.when(size % 5 != 0, size % 2 == 0).alias("ar_condicionado"),
-            (size % 10 == 1).alias("adaptado_cadeirante"),
-            F.when(size % 7 == 0, "Locado").when(size % 7 == 1, "EM MANUTENCAO")
-            .when(size % 7 == 2, "Indisponivel").when(size % 7 == 3, "available")
-            .when(size % 7 == 4, "status_zoado").when(size % 7 == 6, "disponivel").alias("status"),
-            F.when(k % 499 != 0, c("tid")).alias("src_grupo_id"),
-            F.when((g != 4) & ~unnamed, k % 10).alias("src_empresa_id"),
-            F.when(g == 4, None).when(unnamed, " Frota & Cia ").when(k % 10 == 7, "  ")
-            .otherwise(F.concat(F.lit("Empresa "), txt(k % 10))).alias("nome_empresa"),
-            g.alias("grupo_fonte"), ntz("2024-01-01").alias("dt_extracao"))
+        return four_sources(rows).selectExpr(
+            "p_partkey AS src_id",
+            "CASE WHEN p_partkey % 13 <> 0 THEN substring(p_brand, 1, 5) || '-' "
+            "|| CAST(p_partkey AS STRING) END AS placa",
+            "CASE WHEN p_partkey % 9 = 0 THEN ' ' ELSE 'CH' || CAST(p_partkey AS STRING) END AS chassi",
+            "CASE WHEN p_partkey % 37 <> 0 THEN p_name END AS modelo", "p_brand AS marca",
+            "CASE WHEN g = 1 THEN split_part(p_name, ' ', 1) END AS cor",
+            "CASE WHEN p_size % 3 = 0 THEN 'Cambio Automatico' ELSE 'cvt?' END AS tipo_mecanizacao",
+            "CASE WHEN p_size % 5 <> 0 THEN p_size % 2 = 0 END AS ar_condicionado",
+            "p_size % 10 = 1 AS adaptado_cadeirante",
+            "CASE p_size % 7 WHEN 0 THEN 'Locado' WHEN 1 THEN 'EM MANUTENCAO' WHEN 2 THEN 'Indisponivel' "
+            "WHEN 3 THEN 'available' WHEN 4 THEN 'status_zoado' WHEN 6 THEN 'disponivel' END AS status",
+            "CASE WHEN p_partkey % 499 <> 0 THEN tid END AS src_grupo_id",
+            "CASE WHEN g <> 4 AND NOT (g = 3 AND p_partkey % 50 = 0) THEN p_partkey % 10 END "
+            "AS src_empresa_id",
+            "CASE WHEN g = 4 THEN NULL WHEN g = 3 AND p_partkey % 50 = 0 THEN ' Frota & Cia ' "
+            "WHEN p_partkey % 10 = 7 THEN '  ' ELSE 'Empresa ' || CAST(p_partkey % 10 AS STRING) END "
+            "AS nome_empresa",
+            "g AS grupo_fonte", LOADED)
 
     def _patio(self) -> DataFrame:
-        k, g = c("n_nationkey"), c("g")
         rows = self.table("nation").join(self.table("region"), c("r_regionkey") == c("n_regionkey"))
-        return four_sources(rows).select(
-            k.alias("src_id"), F.when(k == 0, " ").otherwise(c("n_name")).alias("nome"),
-            c("r_name").alias("cidade"),
-            F.when(k % 6 != 0, k % 6 * 20).alias("capacidade"),
-            F.when(g.isin(2, 3), k % 3).alias("src_empresa_id"),
-            F.when(g == 4, F.concat(F.lit("Dona "), "r_name"))
-            .when(g == 3, F.concat(F.lit("Empresa "), txt(k % 3))).alias("nome_empresa"),
-            g.alias("grupo_fonte"), ntz("2024-01-01").alias("dt_extracao"))
+        return four_sources(rows).selectExpr(
+            "n_nationkey AS src_id", "CASE WHEN n_nationkey = 0 THEN ' ' ELSE n_name END AS nome",
+            "r_name AS cidade",
+            "CASE WHEN n_nationkey % 6 <> 0 THEN n_nationkey % 6 * 20 END AS capacidade",
+            "CASE WHEN g IN (2, 3) THEN n_nationkey % 3 END AS src_empresa_id",
+            "CASE WHEN g = 4 THEN 'Dona ' || r_name "
+            "WHEN g = 3 THEN 'Empresa ' || CAST(n_nationkey % 3 AS STRING) END AS nome_empresa",
+            "g AS grupo_fonte", LOADED)
 
     def _vaga(self) -> DataFrame:
-        return four_sources(self.table("supplier")).filter("g <= 2").select(
-            c("s_name").alias("codigo"), c("s_nationkey").alias("src_patio_id"),
-            F.when(every("s_suppkey", 3), "ocupada").otherwise("livre").alias("status"),
-            c("g").alias("grupo_fonte"), ntz("2024-01-01").alias("dt_extracao"))
+        return four_sources(self.table("supplier")).filter("g <= 2").selectExpr(
+            "s_name AS codigo", "s_nationkey AS src_patio_id",
+            "CASE WHEN s_suppkey % 3 = 0 THEN 'ocupada' ELSE 'livre' END AS status",
+            "g AS grupo_fonte", LOADED)
 
     def _reserva(self) -> DataFrame:
-        k, day = c("o_orderkey"), c("o_orderdate")
-        client = F.when((c("o_custkey") > 0) & every("o_custkey", 31), c("o_custkey") + 1).otherwise(
-            c("o_custkey"))
-        rows = self.table("orders").withColumn("ck", client).withColumn("g", c("ck") % 4 + 1)
-        g, st, pr = c("g"), c("o_orderstatus"), c("o_orderpriority")
-        return rows.select(
-            k.alias("src_id"), c("ck").alias("src_cliente_id"),
-            F.when(k % 97 == 0, 99).otherwise(k % 6 + 1).alias("src_grupo_id"),
-            (k % 25).alias("src_patio_retirada_id"),
-            F.when(k % 11 != 0, (k * 7 + 3) % 25).alias("src_patio_devolucao_id"),
-            F.when(g == 4, days_after(day, F.lit(-3))).alias("data_solicitacao"),
-            F.when(g.isin(2, 3) & (k % 13 != 0), days_after(day, -(k % 30))).alias("data_reserva"),
-            F.when(k % 307 != 0, day).alias("data_inicio"),
-            F.when(k % 23 != 0, days_after(day, k % 15 - 2)).alias("data_fim"),
-            F.when(st == "F", "CONFIRMADO").when((st == "P") & pr.startswith("1"), "em espera")
-            .when(st == "P", "Ativa").when(pr.startswith("5"), "estado_invalido")
-            .when(~pr.startswith("4"), "Cancelled").alias("status"),
-            F.when(g == 2, money("o_totalprice")).alias("preco_final"),
-            F.when(g == 3, money("o_totalprice")).alias("preco_previsto"),
-            g.alias("grupo_fonte"), ntz("2002-01-01").alias("dt_extracao"))
+        rows = self.table("orders").selectExpr(
+            "*", "CASE WHEN o_custkey > 0 AND o_custkey % 31 = 0 THEN o_custkey + 1 ELSE o_custkey END "
+            "AS ck").selectExpr("*", "ck % 4 + 1 AS g")
+        return rows.selectExpr(
+            "o_orderkey AS src_id", "ck AS src_cliente_id",
+            "CASE WHEN o_orderkey % 97 = 0 THEN 99 ELSE o_orderkey % 6 + 1 END AS src_grupo_id",
+            "o_orderkey % 25 AS src_patio_retirada_id",
+            "CASE WHEN o_orderkey % 11 <> 0 THEN (o_orderkey * 7 + 3) % 25 END AS src_patio_devolucao_id",
+            "CASE WHEN g = 4 THEN o_orderdate - INTERVAL 3 DAYS END AS data_solicitacao",
+            "CASE WHEN g IN (2, 3) AND o_orderkey % 13 <> 0 "
+            "THEN o_orderdate - make_dt_interval(CAST(o_orderkey % 30 AS INT)) END AS data_reserva",
+            "CASE WHEN o_orderkey % 307 <> 0 THEN o_orderdate END AS data_inicio",
+            "CASE WHEN o_orderkey % 23 <> 0 "
+            "THEN o_orderdate + make_dt_interval(CAST(o_orderkey % 15 - 2 AS INT)) END AS data_fim",
+            "CASE WHEN o_orderstatus = 'F' THEN 'CONFIRMADO' "
+            "WHEN o_orderstatus = 'P' AND o_orderpriority LIKE '1%' THEN 'em espera' "
+            "WHEN o_orderstatus = 'P' THEN 'Ativa' WHEN o_orderpriority LIKE '5%' THEN 'estado_invalido' "
+            "WHEN o_orderpriority NOT LIKE '4%' THEN 'Cancelled' END AS status",
+            "CASE WHEN g = 2 THEN CAST(o_totalprice AS DECIMAL(10,2)) END AS preco_final",
+            "CASE WHEN g = 3 THEN CAST(o_totalprice AS DECIMAL(10,2)) END AS preco_previsto",
+            "g AS grupo_fonte", "TIMESTAMP_NTZ'2002-01-01' AS dt_extracao")
 
     @cached_property
     def _lines(self) -> DataFrame:
         orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
-        return (self.table("lineitem").join(orders, c("o_orderkey") == c("l_orderkey"))
-                .withColumn("g", c("o_custkey") % 4 + 1)
-                .withColumn("lid", c("l_orderkey") * 10 + c("l_linenumber")))
+        return (self.table("lineitem").join(orders, c("o_orderkey") == c("l_orderkey")).selectExpr(
+            "*", "o_custkey % 4 + 1 AS g", "l_orderkey * 10 + l_linenumber AS lid",
+            "NOT (l_linestatus = 'O' AND l_returnflag = 'N') AND l_orderkey % 41 <> 0 AS voltou",
+            "CAST(l_extendedprice AS DECIMAL(10,2)) AS preco"))
 
     def _locacao(self) -> DataFrame:
-        o, n, day, g = c("l_orderkey"), c("l_linenumber"), c("o_orderdate"), c("g")
-        not_picked_up = o % 41 == 0
-        back = ~(((c("l_linestatus") == "O") & (c("l_returnflag") == "N")) | not_picked_up)
-        price = money("l_extendedprice")
-        return self._lines.select(
-            c("lid").alias("src_id"),
-            F.when(back, c("l_suppkey")).alias("src_devolucao_id"),
-            F.when((n == 1) & (o % 5 != 0), o).alias("src_reserva_id"),
-            F.when((c("l_partkey") > 0) & every("l_partkey", 29), c("l_partkey") - 1)
-            .otherwise(c("l_partkey")).alias("src_veiculo_id"),
-            c("o_custkey").alias("src_condutor_id"),
-            F.when(o % 401 != 0, c("o_custkey")).alias("src_cliente_id"),
-            (o % 25).alias("src_patio_retirada_id"),
-            F.when(back, c("l_suppkey") % 25).alias("src_patio_devolucao_id"),
-            F.when(o % 83 != 0, day).alias("data_retirada_prevista"),
-            F.when(~not_picked_up & (o % 83 != 0), days_after(day, n % 3, 9))
-            .alias("data_retirada_realizada"),
-            days_after(day, F.lit(7)).alias("data_devolucao_prevista"),
-            F.when(back, days_after(day, c("l_quantity").cast("int") % 15, 18))
-            .alias("data_devolucao_realizada"),
-            (c("l_partkey") * 10).alias("km_entrega"),
-            F.when(back, (c("l_partkey") * 10 + c("l_quantity") * 20 - 100).cast("int"))
-            .alias("km_devolucao"),
-            (c("l_suppkey") % 9).alias("gasolina_entrega"),
-            F.when(back, c("l_partkey") % 9).alias("gasolina_devolucao"),
-            F.when(c("l_returnflag") == "R", money(c("l_discount") * 1000)).alias("valor_atraso"),
-            F.when(n % 2 == 0, money(c("l_tax") * 100)).alias("valor_reparos"),
-            F.when((g == 2) & (n != 5), price).when(g == 2, F.lit(0)).alias("preco_final"),
-            F.when((g == 3) | (n == 5), price).alias("valor_total"),
-            F.when(g == 4, price).alias("valor_final"),
-            F.when(o % 29 == 0, "Cancelada pelo cliente")
-            .when(not_picked_up & (n % 2 == 0), " Pre-Reservada ").alias("status"),
-            F.lit("ok").alias("estado_entrega"),
-            F.when(n % 4 != 0, days_after(day, F.lit(0), 8)).alias("created_at"),
-            g.alias("grupo_fonte"), c("l_shipdate").alias("dt_extracao"))
+        return self._lines.selectExpr(
+            "lid AS src_id", "CASE WHEN voltou THEN l_suppkey END AS src_devolucao_id",
+            "CASE WHEN l_linenumber = 1 AND l_orderkey % 5 <> 0 THEN l_orderkey END AS src_reserva_id",
+            "CASE WHEN l_partkey > 0 AND l_partkey % 29 = 0 THEN l_partkey - 1 ELSE l_partkey END "
+            "AS src_veiculo_id",
+            "o_custkey AS src_condutor_id",
+            "CASE WHEN l_orderkey % 401 <> 0 THEN o_custkey END AS src_cliente_id",
+            "l_orderkey % 25 AS src_patio_retirada_id",
+            "CASE WHEN voltou THEN l_suppkey % 25 END AS src_patio_devolucao_id",
+            "CASE WHEN l_orderkey % 83 <> 0 THEN o_orderdate END AS data_retirada_prevista",
+            "CASE WHEN l_orderkey % 41 <> 0 AND l_orderkey % 83 <> 0 "
+            "THEN o_orderdate + make_dt_interval(l_linenumber % 3, 9) END AS data_retirada_realizada",
+            "o_orderdate + INTERVAL 7 DAYS AS data_devolucao_prevista",
+            "CASE WHEN voltou THEN o_orderdate + make_dt_interval(CAST(l_quantity AS INT) % 15, 18) END "
+            "AS data_devolucao_realizada",
+            "l_partkey * 10 AS km_entrega",
+            "CASE WHEN voltou THEN CAST(l_partkey * 10 + l_quantity * 20 - 100 AS INT) END AS km_devolucao",
+            "l_suppkey % 9 AS gasolina_entrega",
+            "CASE WHEN voltou THEN l_partkey % 9 END AS gasolina_devolucao",
+            "CASE WHEN l_returnflag = 'R' THEN CAST(l_discount * 1000 AS DECIMAL(10,2)) END AS valor_atraso",
+            "CASE WHEN l_linenumber % 2 = 0 THEN CAST(l_tax * 100 AS DECIMAL(10,2)) END AS valor_reparos",
+            "CASE WHEN g = 2 AND l_linenumber <> 5 THEN preco WHEN g = 2 THEN 0 END AS preco_final",
+            "CASE WHEN g = 3 OR l_linenumber = 5 THEN preco END AS valor_total",
+            "CASE WHEN g = 4 THEN preco END AS valor_final",
+            "CASE WHEN l_orderkey % 29 = 0 THEN 'Cancelada pelo cliente' "
+            "WHEN l_orderkey % 41 = 0 AND l_linenumber % 2 = 0 THEN ' Pre-Reservada ' END AS status",
+            "'ok' AS estado_entrega",
+            "CASE WHEN l_linenumber % 4 <> 0 THEN o_orderdate + INTERVAL 8 HOURS END AS created_at",
+            "g AS grupo_fonte", "l_shipdate AS dt_extracao")
 
     def _cobranca(self) -> DataFrame:
-        code = F.concat("l_returnflag", "l_linestatus")
-        o = c("l_orderkey")
-        return self._lines.select(
-            c("lid").alias("src_id"),
-            F.when(o % 211 == 0, o * 10 + 8).otherwise(c("lid")).alias("src_locacao_id"),
-            F.when(~((c("l_linenumber") == 6) & every("l_suppkey", 5)), money("l_extendedprice"))
-            .alias("valor"),
-            F.when(code == "AF", "PAGO").when(code == "AO", "quitado").when(code == "RF", "Pago")
-            .when(code == "RO", "cancelada").when(code == "NF", "em atraso").otherwise("pendente")
-            .alias("status"),
-            c("l_shipdate").cast("date").alias("data_pagamento"),
-            c("g").alias("grupo_fonte"), c("l_shipdate").alias("dt_extracao"))
+        return self._lines.selectExpr(
+            "lid AS src_id",
+            "CASE WHEN l_orderkey % 211 = 0 THEN l_orderkey * 10 + 8 ELSE lid END AS src_locacao_id",
+            "CASE WHEN NOT (l_linenumber = 6 AND l_suppkey % 5 = 0) THEN preco END AS valor",
+            "CASE l_returnflag || l_linestatus WHEN 'AF' THEN 'PAGO' WHEN 'AO' THEN 'quitado' "
+            "WHEN 'RF' THEN 'Pago' WHEN 'RO' THEN 'cancelada' WHEN 'NF' THEN 'em atraso' "
+            "ELSE 'pendente' END AS status",
+            "CAST(l_shipdate AS DATE) AS data_pagamento", "g AS grupo_fonte",
+            "l_shipdate AS dt_extracao")
 
     def _mov(self) -> DataFrame:
-        e, u = c("event_id"), c("user_id")
-        away = (e * 7 + 3) % 25
-        return (self.table("events").filter(c("event_type").isin("click", "view") & (u % 25 != away))
-                .select(e.alias("src_id"), F.when(e % 997 != 0, u).alias("src_veiculo_id"),
-                        (u % 25).alias("src_origem_id"), away.alias("src_destino_id"),
-                        c("ts").alias("data_movimentacao"),
-                        F.when(e % 3 == 0, "  ").otherwise(c("event_type")).alias("motivo"),
-                        (u % 4 + 1).alias("grupo_fonte"), ntz("2024-02-01").alias("dt_extracao")))
+        return (self.table("events").filter("event_type IN ('click', 'view') "
+                                            "AND user_id % 25 <> (event_id * 7 + 3) % 25")
+                .selectExpr("event_id AS src_id",
+                            "CASE WHEN event_id % 997 <> 0 THEN user_id END AS src_veiculo_id",
+                            "user_id % 25 AS src_origem_id", "(event_id * 7 + 3) % 25 AS src_destino_id",
+                            "ts AS data_movimentacao",
+                            "CASE WHEN event_id % 3 = 0 THEN '  ' ELSE event_type END AS motivo",
+                            "user_id % 4 + 1 AS grupo_fonte",
+                            "TIMESTAMP_NTZ'2024-02-01' AS dt_extracao"))
 
     @cached_property
     def oltp(self) -> LazyTables:
