@@ -39,8 +39,11 @@ class TableStore:
         numbers = [int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit()]
         if not numbers:
             return 0, {}
-        path = "/".join([self.root, "_published", f"{max(numbers):012d}.json"])
-        text = self.spark.read.text(path, wholetext=True).first()[0]
+        stream = fs.open(self._path("_published", f"{max(numbers):012d}.json"))
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
         return max(numbers), json.loads(text)
 
     def tables(self) -> list[str]:

@@ -125,7 +125,8 @@ def _look_up(rows: DataFrame, dim: DataFrame, nk: str, by: str, take: Mapping[st
     whose skewed partitions AQE splits.
     """
     side = dim.select(F.col(nk).alias("_nk"), *[F.col(c).alias(n) for c, n in take.items()])
-    return rows.join(side, F.col(by) == F.col("_nk"), "left").drop("_nk")
+    # A stored conformed table may carry markers of the same names.
+    return rows.drop(*take.values()).join(side, F.col(by) == F.col("_nk"), "left").drop("_nk")
 
 
 def dim_veiculo_candidates(conf: Tables, dims: Tables) -> DataFrame:
