@@ -14,7 +14,10 @@ def spark():
     session = configure(
         SparkSession.builder.master("local[4]").appName("tests"),
         **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false",
-           "spark.driver.memory": "6g", "spark.python.sql.dataFrameDebugging.enabled": "false",
+           "spark.driver.memory": "6g",
+           # Tiny inputs: compiling generated code would take longer than running it.
+           "spark.sql.codegen.wholeStage": "false",
+           "spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1", "spark.python.sql.dataFrameDebugging.enabled": "false",
            "spark.ui.showConsoleProgress": "false"}).getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     yield session
