@@ -17,6 +17,8 @@ CLUSTER_SETTINGS = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    # Call-site capture costs several round trips to the JVM per expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Sessions are pre-merged inside each map partition before the per-vehicle shuffle.
     "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.sql.streaming.stateStore.providerClass":
