@@ -8,9 +8,8 @@ import __spark_entry__ as entry
 from tools.check_queries import connect, rows_of
 
 SF = "/root/testdata/sf0.001"
-SAMPLE = ["status_reserva", "multa_atraso", "conf_empresa", "conf_cobranca", "extract_locacao_g1",
-          "source_mapping_g2_locacao", "upsert_scd1", "gate_counts_reserva", "r1_monthly_revenue", "r4_yard_use",
-          "q12_orphan_keys", "i6_foreign_keys", "z_usage", "z_order", "z_session"]
+SAMPLE = ["status_reserva", "conf_empresa", "conf_cobranca", "extract_locacao_g1",
+          "source_mapping_g2_locacao", "upsert_scd1", "z_usage", "z_order", "z_session"]
 SQL = entry.oracle_sql()
 
 
