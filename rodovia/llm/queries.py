@@ -2,19 +2,61 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from rodovia.llm.decontamination import contained_items
+from rodovia.llm.language_id import held_out, learn_profiles, predict_languages
+from rodovia.llm.line_dedup import drop_site_lines
 from rodovia.llm.near_dedup import near_duplicates
+from rodovia.llm.packing import pack
+from rodovia.llm.topk import top_k
+from rodovia.llm.url_filter import judge_urls
+
+#: Host, path and verdict of the rules on urls.
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+             ("net", "/es/", "block"), ("net", "/fr/", "block")]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return (judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+            .select("page_id", "host", "path", "rule", "verdict"))
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents")).drop("ids")
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    profiles = learn_profiles(docs, usable=~held_out(F.col("doc_id")))
+    return (predict_languages(docs, profiles)
+            .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"))
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (drop_site_lines(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+            .select("doc_id", "source", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"),
+                    F.md5(F.col("text").cast("binary")).alias("kept_md5")))
+
+
 QUERIES = {f.__name__: f for f in (
-    op2_minhash_near_dedup,
+    op1_benchmark_decontamination, op2_minhash_near_dedup, op3_exact_top_k, op7_url_filter, op8_best_fit_packing,
+    op9_language_id, op10_line_dedup,
 )}

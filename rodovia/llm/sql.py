@@ -1,3 +1,93 @@
 """DuckDB SQL for the registered queries that SQL can express on whole tables."""
 
-SQL: dict[str, str] = {}
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _shingles(name: str, table: str, key: str) -> str:
+    """CTEs ``name`` (key, shingle): the distinct five-word shingles of a table's texts."""
+    return f"""
+{name}_words as (
+  select {key}, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') as w from {table} where text is not null),
+{name} as (
+  select distinct {key}, unnest(case
+    when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+    when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as shingle
+  from {name}_words)"""
+
+
+OP1 = f"""
+with {_shingles("d", "documents", "doc_id")}, {_shingles("b", "benchmark", "item_id")},
+n as (select item_id, count(*) as n_shingles from b group by item_id),
+hits as (select doc_id, item_id, count(*) as n_common from d join b using (shingle) group by doc_id, item_id)
+select doc_id, item_id, n_shingles, n_common from hits join n using (item_id) where 100 * n_common >= 75 * n_shingles
+"""
+
+OP2 = f"""
+with recursive {_shingles("s", "documents", "doc_id")},
+n as (select doc_id, count(*) as n from s group by doc_id),
+pairs as (
+  select x.doc_id as a, y.doc_id as b, count(*) as common
+  from s x join s y on x.shingle = y.shingle and x.doc_id <> y.doc_id group by x.doc_id, y.doc_id),
+links as (
+  select a, b from pairs join n p on p.doc_id = a join n q on q.doc_id = b
+  where 100 * common >= 75 * (p.n + q.n - common)),
+reach(a, b) as (select a, b from links union select reach.a, links.b from reach join links on reach.b = links.a),
+low as (select a as doc_id, min(b) as low from reach group by a)
+select doc_id, coalesce(n, 0) as n_shingles, least(doc_id, coalesce(low, doc_id)) as component_id,
+       least(doc_id, coalesce(low, doc_id)) = doc_id as kept
+from documents left join n using (doc_id) left join low using (doc_id)
+"""
+
+OP3 = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select q.vec_id as query_id, c.vec_id,
+         cast(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) as bigint) as score
+  from v q join v c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id),
+ranked as (
+  select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from scored)
+select query_id, rank, vec_id, score from ranked where rank <= 5
+"""
+
+OP7 = """
+with u as (
+  select page_id,
+         translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+         coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') as path
+  from pages),
+rules(rule_host, rule_path, verdict) as (values
+  ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+  ('net', '/es/', 'block'), ('net', '/fr/', 'block'))
+select page_id, any_value(host) as host, any_value(path) as path,
+       arg_max(rule_host || rule_path, length(rule_host || rule_path)) as rule,
+       coalesce(arg_max(verdict, length(rule_host || rule_path)), 'allow') as verdict
+from u left join rules on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path)
+group by page_id
+"""
+
+OP10 = """
+with d as (select row_number() over () as r, doc_id, source, text, string_split(text, chr(10)) as l from documents),
+lines as (
+  select distinct r, source, trim(x) as x
+  from (select r, source, unnest(l) as x from d where source is not null) where trim(x) <> ''),
+totals as (select source, count(*) as pages from documents group by source),
+common as (
+  select source, x from (select source, x, count(*) as n from lines group by source, x) join totals using (source)
+  where n >= 3 and n > 0.1 * pages),
+lost as (select r, list(x) as lost from lines join common using (source, x) group by r),
+kept as (
+  select doc_id, source, text, l,
+         list_filter(l, lambda x: trim(x) = '' or not list_contains(coalesce(lost, []), trim(x))) as k
+  from d left join lost using (r))
+select doc_id, source, coalesce(len(l), 0) as n_lines, coalesce(len(l) - len(k), 0) as n_dropped,
+       case when text is not null then md5(array_to_string(k, chr(10))) end as kept_md5
+from kept
+"""
+
+SQL: dict[str, str] = {
+    "op1_benchmark_decontamination": OP1, "op2_minhash_near_dedup": OP2, "op3_exact_top_k": OP3,
+    "op7_url_filter": OP7, "op10_line_dedup": OP10,
+}
