@@ -17,7 +17,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from rodovia.llm.near_dedup import _permute
 from rodovia.llm.shingles import sequences, shingle_sets, text_slices, words
@@ -83,8 +83,11 @@ def _coordinate_keys(minima: np.ndarray) -> np.ndarray:
     return mixed ^ (mixed >> np.uint64(29))
 
 
-def _search(item_ids: list, sets: list[np.ndarray]) -> Callable:
-    """Find and verify the items of one block in every document."""
+def _search(item_ids: list, sets: list[np.ndarray], clean: bool = False) -> Callable:
+    """Find and verify the items of one block in every document.
+
+    ``clean``: give the first column of the rows that hold none of them, instead of pairs.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = np.array([len(s) for s in sets])
         small = np.flatnonzero(size < SMALLEST)
@@ -125,7 +128,11 @@ def _search(item_ids: list, sets: list[np.ndarray]) -> Callable:
                             doc.append(row + k)
                             item.append(i)
                             common.append(n)
-            if doc:
+            if clean:
+                keep = np.ones(batch.num_rows, bool)
+                keep[doc] = False
+                yield batch.select([0]).filter(pa.array(keep))
+            elif doc:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(doc)), pa.array([item_ids[i] for i in item], pa.int64()),
                      pa.array([len(sets[i]) for i in item], pa.int64()), pa.array(common, pa.int64())],
@@ -140,17 +147,34 @@ def contained_items(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", t
     Rows are judged one by one: repeated rows give repeated results, and ids may be null. Null texts and texts without
     words match nothing. Other columns are ignored. Empty tables give an empty table.
     """
-    spark = docs.sparkSession
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    schema = "doc_id bigint, item_id bigint, n_shingles bigint, n_common bigint"
+    found = docs.sparkSession.createDataFrame([], schema)
+    for ids, sets in _blocks(items, item_id, item_text):
+        found = found.unionByName(docs.mapInArrow(_search(ids, sets), schema))
+    return found
+
+
+def without_items(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id",
+                  item_text: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, that hold no item; nothing is shuffled.
+
+    Null texts and texts without words hold none. Ids play no part.
+    """
+    columns = docs.columns
+    for ids, sets in _blocks(items, item_id, item_text):
+        rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col(f"`{text}`").cast("string").alias("t"))
+        kept = rows.mapInArrow(_search(ids, sets, clean=True), T.StructType([rows.schema["row"]]))
+        docs = kept.select(*[F.col("row").getField(c).alias(c) for c in columns])
+    return docs
+
+
+def _blocks(items: DataFrame, item_id: str, item_text: str) -> Iterator[tuple[list, list[np.ndarray]]]:
+    """The items with words in blocks of about BLOCK_SHINGLES shingles."""
     sets = stored(items.select(F.col(item_id).cast("bigint"), F.col(item_text).cast("string"))
                   .mapInArrow(_item_sets, "item_id bigint, n bigint, hashes binary").filter("n > 0"), "items")
-    total = sets.agg(F.sum("n")).first()[0] or 0
-    blocks = -(-total // BLOCK_SHINGLES)
-    schema = "doc_id bigint, item_id bigint, n_shingles bigint, n_common bigint"
-    found = spark.createDataFrame([], schema)
+    blocks = -(-(sets.agg(F.sum("n")).first()[0] or 0) // BLOCK_SHINGLES)
     for b in range(blocks):
         rows = sets.filter(F.pmod(F.xxhash64("hashes"), F.lit(blocks)) == b).collect()
         if rows:
-            block = _search([r["item_id"] for r in rows], [np.frombuffer(r["hashes"], np.uint64) for r in rows])
-            found = found.unionByName(docs.mapInArrow(block, schema))
-    return found
+            yield [r["item_id"] for r in rows], [np.frombuffer(r["hashes"], np.uint64) for r in rows]

@@ -15,7 +15,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 PROFILE = 300
 SAMPLE = 2000
@@ -144,6 +144,13 @@ def predict_languages(docs: DataFrame, profiles: dict[str, np.ndarray], doc_id:
         _predict(profiles, size), "doc_id bigint, lang_pred string, score double")
 
 
+def with_languages(docs: DataFrame, profiles: dict[str, np.ndarray], text: str = "text", size: int = PROFILE) -> DataFrame:
+    """(row, lang_pred, score): every row of ``docs`` with all its columns as one struct, and its prediction."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text}`").cast("string").alias("t"))
+    schema = T.StructType([rows.schema["row"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return rows.mapInArrow(_predict(profiles, size), schema)
+
+
 def held_out(doc_id: Column) -> Column:
     """Every fifth document by the CRC-32 of its id as text; false without an id."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
