@@ -236,8 +236,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     proposed = stored(_grouped(_in_blocks(members).join(signed, "id"))
                       .mapInArrow(_strongest_tree, "a bigint, b bigint").distinct(), "proposed")
     near = proposed.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    # The only pass that moves texts: those of documents with a likely partner.
-    texts = stored(docs.join(near, "id").distinct(), "texts")
+    # The only pass that moves texts: those of documents with a likely partner. Their ids grow with the corpus, so
+    # the join is the same at every size.
+    texts = stored(docs.join(near.hint("merge"), "id"), "texts")
     first = proposed.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a").join(
         texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
     links = stored(first.mapInArrow(_confirmed, "a bigint, b bigint").distinct(), "links")
