@@ -9,14 +9,29 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rodovia.operators.dedup import latest_per_key
 from rodovia.operators.store import TableStore
-from rodovia.streaming.telemetry import latest_status
+from rodovia.streaming.telemetry import latest_status, merge_trips, trips
 
 
-def file_stream(spark: SparkSession, folder: str, schema, pattern: str = "*.parquet",
-                files_per_batch: int = 1000) -> DataFrame:
-    """Files of ``folder`` whose names match ``pattern``, as they arrive."""
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
-            .option("pathGlobFilter", pattern).parquet(folder))
+def file_stream(spark: SparkSession, path: str, schema, files_per_batch: int = 1000) -> DataFrame:
+    """The parquet files of a folder as they arrive, or of a table that is a single file.
+
+    A path without any parquet file is an error: a stream over nothing would look complete.
+    """
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    if fs.exists(place) and fs.getFileStatus(place).isDirectory():
+        found, names = fs.listFiles(place, True), []
+        while found.hasNext() and not names:
+            name = found.next().getPath().getName()
+            names += [name] if not name.startswith(("_", ".")) else []
+        folder = reader
+    else:
+        names = [place.getName()] if fs.exists(place) else []
+        folder, path = reader.option("pathGlobFilter", place.getName()), place.getParent().toString()
+    if not names:
+        raise FileNotFoundError(f"no files to stream in {path}")
+    return folder.parquet(path)
 
 
 def append_table(stream: DataFrame, out: str, checkpoint: str):
@@ -62,9 +77,28 @@ def keep_latest_status(stream: DataFrame, store: TableStore, checkpoint: str,
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
-def finish(query, timeout: int = 600) -> None:
-    """Wait for an available-now query and surface its failure."""
-    if not query.awaitTermination(timeout):
+def trip_table(stream: DataFrame, out: str, checkpoint: str, gap: str = "30 minutes"):
+    """Trips of each micro-batch, one folder a batch, so a replay changes nothing.
+
+    No row is ever late here: a micro-batch knows only parts of a trip, and :func:`finished_trips` unites parts.
+    """
+    def save(batch: DataFrame, number: int) -> None:
+        trips(batch, gap).write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    return (stream.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
+def finished_trips(spark: SparkSession, out: str, gap: str = "30 minutes") -> DataFrame:
+    """The trips of all micro-batches together, open ones included."""
+    return merge_trips(spark.read.option("basePath", out).parquet(out).drop("batch"), gap)
+
+
+def finish(query, timeout: int | None = None) -> None:
+    """Wait for an available-now query, as long as it takes unless the caller sets a limit, and surface its failure."""
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError("stream did not finish in time")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rodovia.functions import rules as R
 from rodovia.operators.dedup import latest_per_key
@@ -75,7 +75,6 @@ def trips(df: DataFrame, gap: str = "30 minutes", delay: str = WATERMARK) -> Dat
     Sessions are merged inside each map partition before the shuffle by vehicle, so a vehicle with a
     third of the rows sends its sessions, not its rows, to one task.
     """
-    df.sparkSession.conf.set("spark.sql.sessionWindow.merge.sessions.in.local.partition", "true")
     return (_watermarked(df, delay)
             .groupBy(F.session_window("ts", gap), "vehicle")
             .agg(F.count("*").alias("mensagens"), F.min("ts").alias("_a"), F.max("ts").alias("_b"),
@@ -84,6 +83,30 @@ def trips(df: DataFrame, gap: str = "30 minutes", delay: str = WATERMARK) -> Dat
                     "mensagens", "velocidade_max"))
 
 
+def merge_trips(parts: DataFrame, gap: str = "30 minutes") -> DataFrame:
+    """Unite parts of trips, found in any order: parts closer than ``gap`` belong together.
+
+    Only parts are ordered per vehicle, never readings.
+    """
+    order = Window.partitionBy("vehicle").orderBy("inicio", "fim")
+    before = F.max("fim").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    apart = before.isNull() | (F.col("inicio") >= before + F.expr(f"INTERVAL {gap}"))
+    number = F.sum(apart.cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    return (parts.withColumn("_trip", number).groupBy("vehicle", "_trip")
+            .agg(F.min("inicio").alias("inicio"), F.max("fim").alias("fim"), F.sum("mensagens").alias("mensagens"),
+                 F.max("velocidade_max").alias("velocidade_max")).drop("_trip"))
+
+
+def backlog_delay(events: DataFrame, reserve_seconds: int = 600) -> str:
+    """A watermark delay under which no row of a stored backlog is late, whatever the order of its files.
+
+    The delay is the backlog's own length in time: windows of that length stay in the state store.
+    """
+    low, high = events.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
+    seconds = 0 if low is None else (high - low) // 1_000_000 + 1
+    return f"{seconds + reserve_seconds} seconds"
+
+
 def without_replays(df: DataFrame, delay: str = WATERMARK) -> DataFrame:
     """One copy per event id. A stream forgets ids the watermark has passed; a batch keeps all."""
     if df.isStreaming:
@@ -158,15 +181,21 @@ def clip_context(df: DataFrame, seconds: int = 300) -> DataFrame:
             .filter(inside).select(*df.columns))
 
 
-def clip_context_stream(df: DataFrame, emergencies: DataFrame, window: str = "5 minutes",
+def clip_context_stream(df: DataFrame, emergencies: DataFrame, seconds: int = 300,
                         delay: str = WATERMARK) -> DataFrame:
-    """Streaming form: a left-semi interval join, state bounded by the two watermarks."""
-    left = df.withWatermark("ts", delay)
-    right = emergencies.select(F.col("vehicle").alias("c_vehicle"), F.col("ts").alias("c_ts")
-                               ).withWatermark("c_ts", delay)
-    near = F.expr(f"vehicle = c_vehicle AND ts >= c_ts - INTERVAL {window} "
-                  f"AND ts <= c_ts + INTERVAL {window}")
-    return left.join(right, near, "left_semi")
+    """Streaming form: a left-semi interval join, state bounded by the two watermarks.
+
+    The key holds a time bucket beside the vehicle, so a busy vehicle is spread over the state partitions and a reading
+    meets the emergencies of its neighbourhood only. An emergency is put into its own bucket and both next to it.
+    """
+    bucket = lambda ts: F.floor(F.unix_micros(ts) / (seconds * 1_000_000))
+    left = df.withColumn("_b", bucket("ts")).withWatermark("ts", delay)
+    right = emergencies.select(
+        F.col("vehicle").alias("c_vehicle"), F.col("ts").alias("c_ts"),
+        F.explode(F.array(*[bucket("ts") + k for k in (-1, 0, 1)])).alias("c_b")).withWatermark("c_ts", delay)
+    near = F.expr(f"vehicle = c_vehicle AND _b = c_b AND ts >= c_ts - INTERVAL {seconds} SECONDS "
+                  f"AND ts <= c_ts + INTERVAL {seconds} SECONDS")
+    return left.join(right, near, "left_semi").drop("_b")
 
 
 def open_rentals(locacao: DataFrame, veiculo: DataFrame, grupo: DataFrame) -> DataFrame:

@@ -982,7 +982,12 @@ def _stream(x: Context) -> DataFrame:
     """The events file as a stream, in a session with few state partitions for a local run."""
     session = x.spark.newSession()
     session.conf.set("spark.sql.shuffle.partitions", str(x.spark.sparkContext.defaultParallelism))
-    return jobs.file_stream(session, x.dir, x.table("events").schema, "events.parquet")
+    return jobs.file_stream(session, f"{x.dir}/events.parquet", x.table("events").schema)
+
+
+def _delay(x: Context) -> str:
+    """The stored events are a backlog: no row of it may count as late."""
+    return T.backlog_delay(x.tel)
 
 
 def _finished_updates(x: Context, stream: DataFrame, keys: list[str]) -> DataFrame:
@@ -1002,18 +1007,18 @@ _SECOND = (f"select time_bucket(interval 1 second, ts) segundo, vehicle, count(*
            "max(speed) velocidade_max, count(*) filter (where critical) criticas from p_tel group by 1, 2")
 _SECOND_COLS = "segundo:s vehicle:i mensagens:i velocidade_media:d velocidade_max:d criticas:i"
 plain("z_per_second", _SECOND_COLS, _SECOND,
-      lambda x: _finished_updates(x, T.per_second(T.telemetry(_stream(x))), ["segundo", "vehicle"]))
+      lambda x: _finished_updates(x, T.per_second(T.telemetry(_stream(x)), _delay(x)), ["segundo", "vehicle"]))
 plain("z_per_second_batch", _SECOND_COLS, _SECOND, lambda x: T.per_second(x.tel))
 _WINDOW_COLS = "inicio:s fim:s event_type:s mensagens:i velocidade_media:d lentas:i"
 plain("z_tumbling", _WINDOW_COLS,
       f"select time_bucket(interval 1 hour, ts) inicio, time_bucket(interval 1 hour, ts) + interval 1 hour fim, event_type, "
       f"count(*) mensagens, {_MEAN} velocidade_media, count(*) filter (where speed < 10) lentas from p_tel group by 1, 2, 3",
-      lambda x: _finished_updates(x, T.windows(T.telemetry(_stream(x)), "1 hour"), ["inicio", "event_type"]))
+      lambda x: _finished_updates(x, T.windows(T.telemetry(_stream(x)), "1 hour", delay=_delay(x)), ["inicio", "event_type"]))
 plain("z_sliding", _WINDOW_COLS,
       "select inicio, inicio + interval 6 hour fim, event_type, count(*) mensagens, "
       f"{_MEAN} velocidade_media, count(*) filter (where speed < 10) lentas from (select *, "
       "time_bucket(interval 3 hour, ts) - to_hours(3 * k) inicio from p_tel cross join (select unnest([0, 1]) k)) group by 1, 2, 3",
-      lambda x: _finished_updates(x, T.windows(T.telemetry(_stream(x)), "6 hours", "3 hours"),
+      lambda x: _finished_updates(x, T.windows(T.telemetry(_stream(x)), "6 hours", "3 hours", delay=_delay(x)),
                                   ["inicio", "event_type"]))
 _TRIPS = ("select vehicle, min(ts) inicio, max(ts) fim, count(*) mensagens, max(speed) velocidade_max from ("
           "select *, sum(novo) over (partition by vehicle order by ts, event_id) viagem from (select *, case when "
@@ -1021,9 +1026,14 @@ _TRIPS = ("select vehicle, min(ts) inicio, max(ts) fim, count(*) mensagens, max(
           "from p_tel)) group by vehicle, viagem")
 _TRIP_COLS = "vehicle:i inicio:s fim:s mensagens:i velocidade_max:d"
 plain("z_session", _TRIP_COLS, _TRIPS, lambda x: T.trips(x.tel, "3 hours"))
-plain("z_session_stream", "vehicle:i viagens:i mensagens:i", None,
-      lambda x: _appended(x, T.trips(T.telemetry(_stream(x)), "3 hours")).groupBy("vehicle").agg(
-          F.count("*").alias("viagens"), F.sum("mensagens").alias("mensagens")))
+
+
+@query("z_session_stream", _TRIP_COLS, _TRIPS)
+def z_session_stream(x: Context) -> DataFrame:
+    """Trips from micro-batches, complete without waiting for a watermark."""
+    out = scratch_path(x.spark, "stream")
+    jobs.finish(jobs.trip_table(T.telemetry(_stream(x)), out, scratch_path(x.spark, "checkpoint"), "3 hours"))
+    return jobs.finished_trips(x.spark, out, "3 hours")
 
 
 @query("z_latest", "vehicle:i event_id:i event_type:s speed:d ts:s",
@@ -1050,7 +1060,7 @@ def z_dedup(x: Context) -> DataFrame:
     """The stream delivered twice, de-duplicated back to one copy of each event."""
     raw = _stream(x)
     twice = T.telemetry(raw).withColumn("copia", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copia")
-    return _appended(x, T.without_replays(twice))
+    return _appended(x, T.without_replays(twice, _delay(x)))
 
 
 _CLIP = ("select event_id, vehicle, ts from p_tel e where exists (select 1 from p_tel c where c.critical and "
@@ -1064,7 +1074,7 @@ plain("z_clip_5min", "event_id:i vehicle:i ts:s", _CLIP.format(i="5 minute"),
 @query("z_clip_stream", "event_id:i vehicle:i ts:s", _CLIP.format(i="5 minute"))
 def z_clip_stream(x: Context) -> DataFrame:
     raw = _stream(x)
-    both = T.clip_context_stream(T.telemetry(raw), T.critical(T.telemetry(raw)))
+    both = T.clip_context_stream(T.telemetry(raw), T.critical(T.telemetry(raw)), delay=_delay(x))
     return _appended(x, both).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 

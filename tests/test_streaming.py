@@ -43,6 +43,56 @@ def test_windows_in_update_mode(spark, raw, feed, tmp_path):
     assert rows(final) == rows(T.windows(T.telemetry(raw), "1 day"))
 
 
+@pytest.fixture(scope="module")
+def shuffled_feed(raw, tmp_path_factory):
+    """Four files, the newest quarter first: most rows are older than what a stream has seen."""
+    path = str(tmp_path_factory.mktemp("feed") / "in")
+    bounds = raw.agg(F.min("ts"), F.max("ts")).first()
+    quarter = (bounds[1] - bounds[0]) / 4
+    for k in (3, 1, 2, 0):
+        low, high = bounds[0] + k * quarter, bounds[0] + (k + 1) * quarter
+        part = raw.filter((F.col("ts") >= F.lit(low)) & (F.lit(k == 3) | (F.col("ts") < F.lit(high))))
+        part.coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+@pytest.mark.parametrize("files", [1, 1000])
+def test_results_do_not_depend_on_micro_batches(spark, raw, shuffled_feed, tmp_path, files):
+    t = T.telemetry(raw)
+    delay = T.backlog_delay(t)
+
+    def feed():
+        return T.telemetry(jobs.file_stream(spark, shuffled_feed, raw.schema, files_per_batch=files))
+
+    def updated(name, stream, keys):
+        jobs.finish(jobs.update_table(stream, str(tmp_path / name), str(tmp_path / f"{name}-c")))
+        return rows(jobs.current(spark, str(tmp_path / name), keys))
+
+    def appended(name, stream):
+        jobs.finish(jobs.append_table(stream, str(tmp_path / name), str(tmp_path / f"{name}-c")))
+        return rows(spark.read.parquet(str(tmp_path / name)))
+
+    assert updated("second", T.per_second(feed(), delay), ["segundo", "vehicle"]) == rows(T.per_second(t))
+    assert updated("tumbling", T.windows(feed(), "1 hour", delay=delay), ["inicio", "event_type"]) == rows(T.windows(t, "1 hour"))
+    assert updated("sliding", T.windows(feed(), "6 hours", "3 hours", delay=delay), ["inicio", "event_type"]) == rows(
+        T.windows(t, "6 hours", "3 hours"))
+    assert appended("dedup", T.without_replays(feed(), delay)) == rows(t)
+    assert appended("clip", T.clip_context_stream(feed(), T.critical(feed()), delay=delay)) == rows(T.clip_context(t))
+    jobs.finish(jobs.trip_table(feed(), str(tmp_path / "trips"), str(tmp_path / "trips-c"), "3 hours"))
+    assert rows(jobs.finished_trips(spark, str(tmp_path / "trips"), "3 hours")) == rows(T.trips(t, "3 hours"))
+
+
+def test_streams_read_files_and_folders_and_refuse_nothing(spark, raw, feed, tmp_path):
+    for k, path in enumerate((f"{EVENTS}/events.parquet", feed)):
+        out = str(tmp_path / f"out{k}")
+        jobs.finish(jobs.append_table(jobs.file_stream(spark, path, raw.schema), out, str(tmp_path / f"c{k}")))
+        assert spark.read.parquet(out).count() == raw.count()
+    (tmp_path / "none").mkdir()
+    for path in (tmp_path / "none", tmp_path / "missing"):
+        with pytest.raises(FileNotFoundError):
+            jobs.file_stream(spark, str(path), raw.schema)
+
+
 def test_append_mode_closes_all_but_the_last_windows(spark, raw, feed, tmp_path):
     out = str(tmp_path / "out")
     jobs.finish(jobs.append_table(T.per_second(stream(spark, raw, feed), delay="40 days"), out, str(tmp_path / "c")))
