@@ -39,12 +39,7 @@ class TableStore:
         numbers = [int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit()]
         if not numbers:
             return 0, {}
-        stream = fs.open(self._path("_published", f"{max(numbers):012d}.json"))
-        try:
-            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        return max(numbers), json.loads(text)
+        return max(numbers), self.version(max(numbers))
 
     def tables(self) -> list[str]:
         return sorted(self.current()[1])
@@ -64,6 +59,44 @@ class TableStore:
         paths = [p for k, p in folders.items() if partitions is None or k in partitions]
         return self.spark.read.parquet(*paths) if paths else None
 
+    def vacuum(self, keep: int = 2) -> list[str]:
+        """Delete folders that none of the newest ``keep`` versions refer to, and older pointers; the deleted paths.
+
+        No run may be in progress: what it has written is not referred to yet.
+        """
+        fs, current = self._fs(), self.current()[0]
+        if not current:
+            return []
+        kept, gone = set(), []
+        for number in range(max(1, current - keep + 1), current + 1):
+            kept |= {p for parts in self.version(number).values() for p in parts.values()}
+        clean = lambda p: p.toString().split(":", 1)[-1].replace("//", "/")
+        kept = {clean(self.spark._jvm.org.apache.hadoop.fs.Path(p)) for p in kept}
+        for table in fs.listStatus(self._path()):
+            if not table.isDirectory() or table.getPath().getName().startswith("_published"):
+                continue
+            for folder in fs.listStatus(table.getPath()):
+                own = clean(folder.getPath())
+                if folder.isDirectory() and not any(k == own or k.startswith(own + "/") for k in kept):
+                    fs.delete(folder.getPath(), True)
+                    gone.append(own)
+        for pointer in fs.listStatus(self._path("_published")):
+            digits = pointer.getPath().getName().removeprefix("claim-").removesuffix(".json")
+            if digits.isdigit() and int(digits) <= current - keep or pointer.getPath().getName().startswith("draft-"):
+                fs.delete(pointer.getPath(), False)
+        return gone
+
+    def version(self, number: int) -> dict[str, dict[str, str]]:
+        """The manifest of one version; {} when it is not kept."""
+        fs, path = self._fs(), self._path("_published", f"{number:012d}.json")
+        if not fs.exists(path):
+            return {}
+        stream = fs.open(path)
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
     def begin(self) -> "Publication":
         return Publication(self)
 
@@ -129,6 +162,11 @@ class Publication:
         changes.update({part: None for part in replaced})
         changes.update(found)
 
+    def drop(self, name: str) -> None:
+        """Publish without this table from now on."""
+        if name in self.manifest():
+            self.changes[name] = {part: None for part in self.base.get(name, {})}
+
     def commit(self) -> int:
         """Publish. Fails when another run has published since this one began."""
         number = self.version + 1
@@ -141,7 +179,13 @@ class Publication:
             out.write(bytearray(json.dumps(self.manifest(), sort_keys=True).encode("utf-8")))
         finally:
             out.close()
-        # Readers only ever see a finished file: it gets its number by a rename.
+        # The number is claimed by creating a file that must not exist; a reader only ever sees a finished pointer, for
+        # it gets its number by a rename that nobody else may do any more.
+        taken = RuntimeError(f"version {number} of {self.store.root} was published by another run")
+        try:
+            fs.create(self.store._path("_published", f"claim-{number:012d}"), False).close()
+        except Exception as e:
+            raise taken from e
         if fs.exists(path) or not fs.rename(draft, path):
-            raise RuntimeError(f"version {number} of {self.store.root} was published by another run")
+            raise taken
         return number

@@ -312,7 +312,7 @@ _extract("extract_movimentacao_g1", "movimentacao_patio",
 
 def g2_source(x: Context) -> FrameSource:
     c = F.col
-    orders, lines = x.table("orders"), x.table("lineitem").filter("l_linenumber = 1")
+    orders, lines = x.table("orders"), x.table("lineitem")
     client = x.table("customer")
     return FrameSource({
         "empresa": x.table("region").filter("r_regionkey = 2").select(
@@ -367,7 +367,7 @@ def g2_source(x: Context) -> FrameSource:
 
 G2_SQL = {
     "dev": "select l_orderkey id_locacao, max(l_suppkey) id_vaga, max(l_shipdate) data_devolucao from lineitem "
-           "where l_linenumber = 1 group by 1",
+           "group by 1",
 }
 plain("source_mapping_g2_patio_capacity",
       "src_id:i nome:s cidade:s capacidade:i src_empresa_id:i nome_empresa:s",
@@ -521,11 +521,11 @@ def _old_clients(x: Context) -> DataFrame:
 @query("upsert_scd1", "cliente_nk:s nome:s cidade:s sk_mantida:i nova:b",
        """select coalesce(n.cliente_nk, o.cliente_nk) cliente_nk, coalesce(n.nome, 'antigo ' || o.nome) nome,
        coalesce(n.cidade, o.cidade) cidade, (o.src_id + 1) * 10 sk_mantida, o.src_id is null nova
-       from (select * from k_cliente where src_id%2=0) n
+       from k_cliente n
        full join (select * from k_cliente where src_id%3<>0) o on o.cliente_nk = n.cliente_nk""")
 def upsert_scd1(x: Context) -> DataFrame:
     old = _old_clients(x)
-    fresh = x.conf["conf_cliente"].filter("src_id % 2 = 0").select("cliente_nk", "nome", "cidade")
+    fresh = x.conf["conf_cliente"].select("cliente_nk", "nome", "cidade")
     top = old.agg(F.max("sk")).first()[0]
     keyed = fresh.join(M.keys_for_unseen(fresh, old, "cliente_nk", "sk"), "cliente_nk")
     merged = M.merge_type1(keyed, old, "cliente_nk", keep_key="sk")

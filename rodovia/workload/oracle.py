@@ -202,7 +202,7 @@ CTE["s_mov"] = """select event_id src_id, case when event_id%997<>0 then user_id
   user_id%25 src_origem_id, (event_id*7+3)%25 src_destino_id, ts data_movimentacao,
   case when event_id%3=0 then '  ' else event_type end motivo, cast(user_id%4+1 as int) grupo_fonte,
   timestamp '2024-02-01' dt_extracao
-  from events where event_type in ('click','view') and user_id%25 <> (event_id*7+3)%25"""
+  from events where user_id%25 <> (event_id*7+3)%25"""
 
 # --- conformed ------------------------------------------------------------------------------------
 
@@ -381,13 +381,13 @@ CTE["o_locacao"] = """select src_id id, case when src_id%10<=2 then src_id//10 e
 CTE["o_cobranca"] = """select l_orderkey*10+l_linenumber id, case when l_linenumber<3 then l_orderkey*10+1 end locacao_id,
   cast(l_extendedprice as decimal(12,2)) - 2000 valor,
   case when l_returnflag='A' then 'pago' when l_returnflag='R' then 'cancelado' when l_linestatus='O' then 'pendente'
-    else 'estornado' end status, cast(l_shipdate as date) data_pagamento from lineitem where l_linenumber<=3"""
+    else 'estornado' end status, cast(l_shipdate as date) data_pagamento from lineitem"""
 CTE["o_seguro"] = "select n_nationkey id, n_name tipo, n_nationkey*10-20 valor from nation"
 CTE["o_locacao_seguro"] = "select l_orderkey*10+l_linenumber locacao_id, l_suppkey%30 seguro_id from lineitem"
-CTE["o_foto"] = "select event_id id, user_id veiculo_id from events where event_type = 'view'"
-CTE["o_manutencao"] = "select event_id id, user_id*20 veiculo_id from events where event_type = 'purchase'"
+CTE["o_foto"] = "select event_id id, user_id veiculo_id from events"
+CTE["o_manutencao"] = "select event_id id, user_id*20 veiculo_id from events"
 CTE["o_movimentacao_patio"] = """select event_id id, user_id veiculo_id, user_id%25 origem_patio_id,
-  (event_id*7+3)%25 destino_patio_id, ts data_movimentacao, event_type motivo from events where event_type in ('click','view')"""
+  (event_id*7+3)%25 destino_patio_id, ts data_movimentacao, event_type motivo from events"""
 
 # --- extraction log and telemetry -----------------------------------------------------------------
 

@@ -212,8 +212,7 @@ class Inputs:
             "l_shipdate AS dt_extracao")
 
     def _mov(self) -> DataFrame:
-        return (self.table("events").filter("event_type IN ('click', 'view') "
-                                            "AND user_id % 25 <> (event_id * 7 + 3) % 25")
+        return (self.table("events").filter("user_id % 25 <> (event_id * 7 + 3) % 25")
                 .selectExpr("event_id AS src_id",
                             "CASE WHEN event_id % 997 <> 0 THEN user_id END AS src_veiculo_id",
                             "user_id % 25 AS src_origem_id", "(event_id * 7 + 3) % 25 AS src_destino_id",
@@ -232,9 +231,6 @@ class Inputs:
             """The key as text, with every n-th key repeating an earlier one."""
             return txt(F.when(key % n == rest, key - step).otherwise(key))
 
-        def events(types: str) -> DataFrame:
-            return self.table("events").filter(f"event_type IN ({types})")
-
         return LazyTables({
             "empresa_locadora": lambda t: self.table("supplier").select(
                 s.alias("id"), c("s_name").alias("nome"),
@@ -291,7 +287,7 @@ class Inputs:
                 F.when(c("src_id") % 59 != 0, c("km_entrega") - 100).alias("km_entrega"),
                 "km_devolucao", "estado_entrega",
                 F.lit(None).cast("string").alias("estado_devolucao"), "created_at"),
-            "cobranca": lambda t: self.table("lineitem").filter("l_linenumber <= 3").select(
+            "cobranca": lambda t: self.table("lineitem").select(
                 (c("l_orderkey") * 10 + c("l_linenumber")).alias("id"),
                 F.when(c("l_linenumber") < 3, c("l_orderkey") * 10 + 1).alias("locacao_id"),
                 (money("l_extendedprice", 12) - 2000).alias("valor"),
@@ -303,11 +299,11 @@ class Inputs:
             "locacao_seguro": lambda t: self.table("lineitem").select(
                 (c("l_orderkey") * 10 + c("l_linenumber")).alias("locacao_id"),
                 (c("l_suppkey") % 30).alias("seguro_id")),
-            "foto": lambda t: events("'view'").select(c("event_id").alias("id"),
+            "foto": lambda t: self.table("events").select(c("event_id").alias("id"),
                                                       c("user_id").alias("veiculo_id")),
-            "manutencao": lambda t: events("'purchase'").select(
+            "manutencao": lambda t: self.table("events").select(
                 c("event_id").alias("id"), (c("user_id") * 20).alias("veiculo_id")),
-            "movimentacao_patio": lambda t: events("'click', 'view'").select(
+            "movimentacao_patio": lambda t: self.table("events").select(
                 c("event_id").alias("id"), c("user_id").alias("veiculo_id"),
                 (c("user_id") % 25).alias("origem_patio_id"),
                 ((c("event_id") * 7 + 3) % 25).alias("destino_patio_id"),
