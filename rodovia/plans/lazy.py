@@ -13,6 +13,16 @@ class LazyTables(Mapping[str, DataFrame]):
     def __init__(self, builders: Mapping[str, Callable[[Mapping[str, DataFrame]], DataFrame]]):
         self._builders, self._built = dict(builders), {}
 
+    def kept(self, save: Callable[[str, DataFrame], DataFrame]) -> LazyTables:
+        """The same tables, each passed through ``save`` (name, plan) when somebody first asks for it.
+
+        With a ``save`` that writes and reads back, every table is computed once, however many plans branch from it.
+        """
+        def saving(name: str, build: Callable[[Mapping[str, DataFrame]], DataFrame]):
+            return lambda tables: save(name, build(tables))
+
+        return LazyTables({name: saving(name, build) for name, build in self._builders.items()})
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
             self._built[name] = self._builders[name](self)

@@ -48,7 +48,14 @@ class Context(Inputs):
 
     @cached_property
     def dw(self) -> LazyTables:
-        return star.natural_warehouse(self.conf, self.days)
+        """The star, and the conformed tables it comes from, written once to the shared folder as they are needed."""
+        conf = conformed(self.staging, AS_OF).kept(self._written)
+        return star.natural_warehouse(conf, self.days).kept(self._written)
+
+    def _written(self, name: str, rows: DataFrame) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
 
     @cached_property
     def tel(self) -> DataFrame:
