@@ -48,7 +48,12 @@ class Context(Inputs):
 
     @cached_property
     def dw(self) -> LazyTables:
-        """The star, and the conformed tables it comes from, written once to the shared folder as they are needed."""
+        """The star as plans: a report with one branch computes what it needs in one job."""
+        return star.natural_warehouse(self.conf, self.days)
+
+    @cached_property
+    def dw_written(self) -> LazyTables:
+        """The star for checks with many branches: each table is written once to the shared folder when first asked for."""
         conf = conformed(self.staging, AS_OF).kept(self._written)
         return star.natural_warehouse(conf, self.days).kept(self._written)
 
@@ -803,7 +808,7 @@ plain("q12_orphan_keys", "tabela:s chave:s orfaos:i",
       ua(f"select '{t}' tabela, '{c}' chave, "
          + _dangling(F_NAMES[t], _SQL_NK[c] if t == "dim_veiculo" else c, F_NAMES[d], _SQL_NK[k]) + " orfaos"
          for t, c, d, k in Q.STAR_KEYS),
-      lambda x: Q.orphan_keys(x.dw))
+      lambda x: Q.orphan_keys(x.dw_written))
 
 
 def _rules_sql(table: str, cte: str, checks: dict[str, str]) -> str:
@@ -832,7 +837,7 @@ plain("q13_fact_measures", "tabela:s regra:s qtd:i", ua([
                                                 "atraso_devolucao_dias", "valor_cobranca", "valor_multa_atraso")},
         "atraso_incoerente": "atraso_devolucao_dias <> greatest(date_diff('day', dev_prev, dev), 0)"}),
     _rules_sql("fato_veiculo_no_patio", "f_mov", {"qtd_invalida": "qtd_movimentacoes <> 1"})]),
-      lambda x: Q.fact_measures(x.dw))
+      lambda x: Q.fact_measures(x.dw_written))
 plain("q14_date_key_coverage", "origem:s linhas:i qtd_chaves_sem_dim_tempo:i",
       ua(f"select '{f}.{r}' origem, count({r}) linhas, count({r}) filter (where {r} not in "
          f"(select sk_tempo from d_tempo)) qtd_chaves_sem_dim_tempo from {F_NAMES[f]} having count({r}) > 0"
@@ -854,14 +859,14 @@ plain("q16_view_vs_fact", "validacao:s total_view:i total_fato:i",
              ("vw_clientes_mais_frequentes_reservas", "total_reservas", "v_clientes", "f_reserva"),
              ("vw_clientes_mais_frequentes_locacoes", "total_locacoes", "v_clientes", "f_locacao"),
              ("vw_atrasos_devolucao", "1", "v_atrasos", "(from f_locacao where atraso_devolucao_dias > 0)"))),
-      lambda x: Q.view_reconciliation(x.dw))
+      lambda x: Q.view_reconciliation(x.dw_written))
 plain("q17_view_counts", "view_name:s qtd:i",
       ua(f"select '{v}' view_name, count(*) qtd from {c}" for v, c in (
           ("vw_reservas_por_status", "v_status"), ("vw_locacoes_por_mes", "v_mes"),
           ("vw_ocupacao_por_grupo_veiculo", "v_ocupacao"), ("vw_movimentacao_entre_patios", "v_mov"),
           ("vw_matriz_transicao_patios", "v_matriz"), ("vw_clientes_mais_frequentes", "v_clientes"),
           ("vw_atrasos_devolucao", "v_atrasos"))),
-      lambda x: Q.view_row_counts(x.dw))
+      lambda x: Q.view_row_counts(x.dw_written))
 plain("q18_billing_stats", "qtd_locacoes_com_cobranca:i qtd_cobrancas_totais:i valor_total:d",
       "select count(*) qtd_locacoes_com_cobranca, sum(qtd_cobrancas) qtd_cobrancas_totais, "
       "sum(valor_cobranca) valor_total from k_cobranca", lambda x: Q.billing_stats(x.conf["conf_cobranca"]))
@@ -873,7 +878,7 @@ plain("q19_domains", "campo:s valor:s qtd:i",
          for t, c in Q.CATEGORICALS), lambda x: Q.observed_domains(x.conf))
 plain("q20_domain_gate", "campo:s linhas:i fora_do_dominio:i",
       ua(f"select '{t}.{c}' campo, count(*) linhas, 0 fora_do_dominio from {F_NAMES[t]}"
-         for t, c in Q.DOMAINS), lambda x: Q.domain_violations(x.dw))
+         for t, c in Q.DOMAINS), lambda x: Q.domain_violations(x.dw_written))
 plain("q21_imputation", "tabela:s imputados:i total:i",
       "select 'conf_cliente' tabela, count(*) filter (where flag_nome_imputado) imputados, count(*) total from k_cliente "
       "union all select 'conf_veiculo', count(*) filter (where flag_placa_imputada), count(*) from k_veiculo",
