@@ -28,6 +28,7 @@ CONTAINMENT = 75  # percent
 SMALLEST = 8      # shingles; smaller items are looked up shingle by shingle
 BLOCK_SHINGLES = 250_000
 _FILTER_BITS = 20
+_CHUNK = 1 << 16
 
 
 def _item_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -43,14 +44,14 @@ def _minima(base: np.ndarray, width: int) -> np.ndarray:
     pieces = -(-len(base) // width)
     padded = np.full(pieces * width, base[-1], np.uint32)
     padded[:len(base)] = base
+    # All coordinates of some pieces at once; the places within a piece are the middle axis, so minima run along memory.
+    across = np.ascontiguousarray(padded.reshape(pieces, width).T)
+    shifts = np.arange(COORDINATES, dtype=np.uint32)[:, None, None]
     out = np.empty((COORDINATES, pieces), np.uint32)
-    step = max(width, (1 << 15) // width * width)
-    for i in range(0, len(padded), step):
-        part = padded[i:i + step]
-        t = np.empty_like(part)
-        for k in range(COORDINATES):
-            x = part + np.uint32(k)
-            out[k, i // width:(i + len(part)) // width] = _permute(x, t, 0x21F0AAAD, 0xD35A2D97).reshape(-1, width).min(1)
+    step = max(1, _CHUNK // (COORDINATES * width))
+    for i in range(0, pieces, step):
+        x = across[None, :, i:i + step] + shifts
+        out[:, i:i + step] = _permute(x, np.empty_like(x), 0x21F0AAAD, 0xD35A2D97).min(axis=1)
     return out
 
 
