@@ -32,7 +32,8 @@ from rodovia.llm.shingles import mix64, text_slices
 from rodovia.llm.tables import sorted_groups, stored
 
 WINDOW, ANCHOR = 50, 20
-SHARD_BYTES = 32 << 20    # of text whose spans one shard of step 2 gets
+SHARD_BYTES = 16 << 20    # of text whose spans one shard of step 2 gets
+FLUSH_BYTES = 8 << 20     # of text whose spans a scan task holds at once
 SHARD_SPANS = 8192        # spans in a shard of step 3
 HOT = 64                  # rows of one span in a scan batch from which it counts as hot
 _CHUNK = 1 << 19
@@ -109,6 +110,7 @@ def _scan(shards: int) -> Callable:
         for batch in batches:
             ids = batch.column(0).to_numpy()
             found: list[tuple] = []
+            held = 0
             for row, raw, offs in text_slices(batch.column(1), _CHUNK):
                 # A long text goes in chunks that overlap by all but one byte of a string.
                 for lo in range(0, max(len(raw), 1), 2 * _CHUNK):
@@ -122,37 +124,44 @@ def _scan(shards: int) -> Callable:
                         continue
                     h, fp, at, count = _spans(part, begin[long], end[long], power, inverse)
                     which = np.flatnonzero(long)[np.searchsorted(begin[long], at, "right") - 1]
-                    found.append((h, fp, ids[row + which], at + lo - offs[which], count))
-            if not found:
-                continue
-            h, fp, doc, at, n = (np.concatenate(x) for x in zip(*found))
-            hot = np.zeros(len(h), np.uint8)
-            order = np.argsort(fp, kind="stable")
-            edge = np.flatnonzero(np.concatenate([[True], fp[order][1:] != fp[order][:-1]]))
-            size = np.diff(np.append(edge, len(order)))
-            many = np.flatnonzero(size >= HOT)
-            summary = []
-            for g in many:
-                rows = order[edge[g]:edge[g] + size[g]]
-                hot[rows] = 2
-                summary.append(rows[np.argmin(doc[rows])])
-            shard = (h % _U(shards)).astype(np.int64)
-            shard[hot == 2] = (mix64(doc[hot == 2].astype(np.uint64)) % _U(shards)).astype(np.int64)
-            rows = {"h": h >> _U(32), "fp": fp, "doc": doc, "at": at, "n": n, "hot": hot}
-            if summary:
-                rows = {k: np.concatenate([v, v[summary]]) for k, v in rows.items()}
-                rows["hot"][len(h):] = 1
-                shard = np.concatenate([shard, (h[summary] % _U(shards)).astype(np.int64)])
-            order = np.argsort(shard, kind="stable")
-            cut = np.searchsorted(shard[order], np.arange(shards + 1))
-            own = [s for s in range(shards) if cut[s + 1] > cut[s]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(own, pa.int32()),
-                 pa.array([_packed({k: v[order[cut[s]:cut[s + 1]]] for k, v in rows.items()}) for s in own], pa.binary())],
-                ["shard", "spans"])
+                    found.append((h, fp, ids[row + which], at + lo - offs[which], count.astype(np.uint8)))
+                    held += len(part)
+                    if held >= FLUSH_BYTES:
+                        yield _dealt(found, shards)
+                        found, held = [], 0
+            if found:
+                yield _dealt(found, shards)
     return run
 
 
+def _dealt(found: list[tuple], shards: int) -> pa.RecordBatch:
+    """The spans found so far as one block per shard; of a hot span one row more, with its smallest document."""
+    h, fp, doc, at, n = (np.concatenate(x) for x in zip(*found))
+    hot = np.zeros(len(h), np.uint8)
+    order = np.argsort(fp, kind="stable")
+    edge = np.flatnonzero(np.concatenate([[True], fp[order][1:] != fp[order][:-1]]))
+    size = np.diff(np.append(edge, len(order)))
+    summary = []
+    for g in np.flatnonzero(size >= HOT):
+        rows = order[edge[g]:edge[g] + size[g]]
+        hot[rows] = 2
+        summary.append(rows[np.argmin(doc[rows])])
+    shard = (h % _U(shards)).astype(np.int64)
+    shard[hot == 2] = (mix64(doc[hot == 2].astype(np.uint64)) % _U(shards)).astype(np.int64)
+    rows = {"h": h >> _U(32), "fp": fp, "doc": doc, "at": at, "n": n, "hot": hot}
+    if summary:
+        rows = {k: np.concatenate([v, v[summary]]) for k, v in rows.items()}
+        rows["hot"][len(h):] = 1
+        shard = np.concatenate([shard, (h[summary] % _U(shards)).astype(np.int64)])
+    order = np.argsort(shard, kind="stable")
+    cut = np.searchsorted(shard[order], np.arange(shards + 1))
+    own = [s for s in range(shards) if cut[s + 1] > cut[s]]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(own, pa.int32()),
+         pa.array([_packed({k: v[order[cut[s]:cut[s + 1]]] for k, v in rows.items()}) for s in own], pa.binary())],
+        ["shard", "spans"])
+
+
 _OUT = "kind int, h bigint, fp bigint, doc bigint, at bigint, n int"
 
 
