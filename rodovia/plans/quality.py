@@ -404,10 +404,12 @@ def calendar_continuity(dim_tempo: DataFrame) -> DataFrame:
 # --- gates ----------------------------------------------------------------------------------------
 
 def require_zero(df: DataFrame, count: str, label: str) -> None:
-    """Raise when a check reports a non-zero count; the check's rows are a handful of summaries."""
-    bad = [r.asDict() for r in df.filter(F.col(count) != 0).limit(20).collect()]
+    """Raise when a check reports a non-zero count, with the number of such rows, their sum, and the first twenty."""
+    failing = df.filter(F.col(count) != 0)
+    bad = [r.asDict() for r in failing.limit(20).collect()]
     if bad:
-        raise DataQualityError(f"{label}: {bad}")
+        rows, total = failing.agg(F.count("*"), F.sum(F.col(count))).first()
+        raise DataQualityError(f"{label}: {rows} failing check(s), {total} in all: {bad}")
 
 
 def require_rows(dw: Tables, names: Sequence[str] = ("dim_cliente", "dim_veiculo", "fato_locacao")

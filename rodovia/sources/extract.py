@@ -100,9 +100,10 @@ def extract_source(store: TableStore, source: int, tables, run_ts: dt.datetime,
         for entity, frame in source_frames(source, tables, marks, run_ts, options).items():
             written = run.write(entity, frame, partition=str(source))
             counts[entity] = run.rows[entity]
-            clash = duplicate_keys(written, STAGING_KEYS[entity]).limit(3).collect()
-            if clash:
-                raise DuplicateKeys(f"{entity}: {[tuple(r) for r in clash]}")
+            clash = duplicate_keys(written, STAGING_KEYS[entity])
+            some = clash.limit(3).collect()
+            if some:
+                raise DuplicateKeys(f"{entity}: {clash.count()} repeated key(s), such as {[tuple(r) for r in some]}")
         run.commit()
     except Exception as failure:  # one source must not stop the others
         message = " ".join(str(failure).split())[:200]

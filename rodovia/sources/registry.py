@@ -54,6 +54,8 @@ class JdbcSource:
     def table(self, name: str) -> DataFrame:
         reader = (self.spark.read.format("jdbc").option("url", self.url)
                   .option("dbtable", f"{self.schema}.{name}")
+                  # The marks are timestamps without zone; the columns must be read alike to be compared remotely.
+                  .option("preferTimestampNTZ", "true")
                   .option("fetchsize", "10000").options(**self.options))
         if name in self.split:
             column, low, high = self.split[name]
