@@ -7,19 +7,31 @@ The nearest language wins, ties by name.
 
 Profiles are learned from the whole texts of at most SAMPLE documents a language: those with the smallest hash of
 their id.
+
+A floor tells whether the nearest language is near at all. Labelled documents are scored by profiles learned without their
+fold; a text is in no learned language if its score is further below theirs, at the same language and number of distinct
+n-grams, than REACH times what lies between their median and their lowest twentieth.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from rodovia.llm.tables import stored
+
 PROFILE = 300
 SAMPLE = 2000
 UNKNOWN = "und"
+FOLDS = 5
+LOW = 0.05       # quantile
+REACH = 3
+LEAST_SCORES = 50
+_CLASSES = 22    # powers of two of the number of distinct n-grams
 _SHIFT = 21
 
 
@@ -73,26 +85,33 @@ def _count_by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
                                              ["lang", "gram", "n"])
 
 
-def learn_profiles(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
-                   usable: Column | None = None, sample: int = SAMPLE, size: int = PROFILE) -> dict[str, np.ndarray]:
-    """Language -> n-grams in order, from at most ``sample`` documents a language (more if hashes tie).
-
-    Rows with a null id, text or language, or for which ``usable`` is not true, teach nothing. The driver gets
-    ``size`` numbers a language.
-    """
-    rows = docs.filter(usable) if usable is not None else docs
-    rows = (rows.select(F.xxhash64(F.col(doc_id).cast("string")).alias("h"), F.col(lang).cast("string").alias("lang"),
+def _sampled(docs: DataFrame, doc_id: str, text: str, lang: str, sample: int) -> DataFrame | None:
+    """(lang, text, id) of the documents with the smallest hashes of each language; None if there are none."""
+    rows = (docs.select(F.xxhash64(F.col(doc_id).cast("string")).alias("h"), F.col(lang).cast("string").alias("lang"),
                         F.col(text).cast("string").alias("text"), F.col(doc_id).alias("id"))
             .filter("id is not null and lang is not null and text is not null"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
     bounds = (rows.select("lang", "h").withColumn("place", place).filter(F.col("place") <= sample)
               .groupBy("lang").agg(F.max("h").alias("bound")).collect())
     if not bounds:
-        return {}
+        return None
     within = F.lit(False)
     for r in bounds:
         within = within | ((F.col("lang") == r["lang"]) & (F.col("h") <= r["bound"]))
-    counts = (rows.filter(within).select("lang", "text").mapInArrow(_count_by_language, "lang string, gram bigint, n bigint")
+    return rows.filter(within).select("lang", "text", "id")
+
+
+def learn_profiles(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
+                   usable: Column | None = None, sample: int = SAMPLE, size: int = PROFILE) -> dict[str, np.ndarray]:
+    """Language -> n-grams in order, from at most ``sample`` documents a language (more if hashes tie).
+
+    Rows with a null id, text or language, or for which ``usable`` is not true, teach nothing. The driver gets
+    ``size`` numbers a language.
+    """
+    rows = _sampled(docs.filter(usable) if usable is not None else docs, doc_id, text, lang, sample)
+    if rows is None:
+        return {}
+    counts = (rows.select("lang", "text").mapInArrow(_count_by_language, "lang string, gram bigint, n bigint")
               .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
     top = counts.withColumn("rank", rank).filter(F.col("rank") <= size).collect()
@@ -102,7 +121,59 @@ def learn_profiles(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return {k: np.array(v, np.int64) for k, v in profiles.items()}
 
 
-def _predict(profiles: dict[str, np.ndarray], size: int) -> Callable:
+def learn_floors(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE,
+                 size: int = PROFILE) -> dict[str, np.ndarray]:
+    """Language -> least score of a text in it, by the power of two of the number of its distinct n-grams.
+
+    From at most ``sample`` documents a language (more if hashes tie), each scored without its fold; documents that
+    another language is nearest to teach nothing. The driver gets three values for each of them. A class with fewer than
+    LEAST_SCORES scores of its language takes those of all languages, then those of classes around it. With fewer in
+    all, no floor is known and the result is empty.
+    """
+    rows = _sampled(docs, doc_id, text, lang, sample)
+    if rows is None:
+        return {}
+    rows = stored(rows.withColumn("fold", _fold(F.col("id"))).drop("id"), "labelled")
+    # Counted once by fold and language; a profile without a fold is the sum of the others.
+    counts = (rows.select(F.concat("fold", "lang").alias("lang"), "text")
+              .mapInArrow(_count_by_language, "lang string, gram bigint, n bigint")
+              .groupBy(F.substring("lang", 1, 1).cast("int").alias("fold"), F.expr("substring(lang, 2)").alias("lang"), "gram")
+              .agg(F.sum("n").alias("n")))
+    counts = (counts.withColumn("without", F.explode(F.array(*[F.lit(f) for f in range(FOLDS)]))).filter("without <> fold")
+              .groupBy("without", "lang", "gram").agg(F.sum("n").alias("n")))
+    rank = F.row_number().over(Window.partitionBy("without", "lang").orderBy(F.desc("n"), "gram"))
+    profiles: list[dict[str, list]] = [{} for _ in range(FOLDS)]
+    for r in sorted(counts.withColumn("rank", rank).filter(F.col("rank") <= size).collect(), key=lambda r: r["rank"]):
+        profiles[r["without"]].setdefault(r["lang"], []).append(r["gram"])
+    scored = [rows.filter(F.col("fold") == f).select("lang", "text").mapInArrow(
+        _predict({k: np.array(v, np.int64) for k, v in p.items()}, size),
+        "lang string, lang_pred string, score double, n_grams bigint") for f, p in enumerate(profiles)]
+    right = reduce(DataFrame.unionByName, scored).filter("lang = lang_pred").drop("lang_pred").collect()
+    if len(right) < LEAST_SCORES:
+        return {}
+    score = np.array([r["score"] for r in right])
+    classes = np.array([_class(r["n_grams"]) for r in right])
+    langs = np.array([r["lang"] for r in right], object)
+    floors = {}
+    for name in sorted(set(langs)):
+        floors[name] = np.zeros(_CLASSES)
+        for c in range(_CLASSES):
+            alike = (classes == c) & (langs == name)
+            around = 0
+            while np.count_nonzero(alike) < LEAST_SCORES:
+                alike = np.abs(classes - c) <= around
+                around += 1
+            low, middle = np.quantile(score[alike], [LOW, 0.5])
+            floors[name][c] = low - REACH * (middle - low)
+    return floors
+
+
+def _class(n_grams: int) -> int:
+    return min(n_grams.bit_length(), _CLASSES) - 1
+
+
+def _predict(profiles: dict[str, np.ndarray], size: int, floors: dict[str, np.ndarray] | None = None) -> Callable:
+    """``floors``: a text below its language's floor, or without any n-gram of a profile, is unknown; None asks for neither."""
     names = sorted(profiles)
     known = np.unique(np.concatenate([profiles[n] for n in names])) if names else np.zeros(0, np.int64)
     rank = np.full((len(known) + 1, len(names)), -1, np.int64)
@@ -112,24 +183,28 @@ def _predict(profiles: dict[str, np.ndarray], size: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters = _letters()
         for batch in batches:
-            lang, score = [], []
+            lang, score, n_grams = [], [], []
             for text in batch.column(batch.num_columns - 1):
                 grams = _grams(text.as_py() or "", letters)
+                gram, count = _counted(grams) if len(grams) else (grams, grams)
+                n_grams.append(len(gram))
                 if len(grams) == 0 or not names:
                     lang.append(UNKNOWN)
                     score.append(0.0)
                     continue
-                own = _top(*_counted(grams), size)
+                own = _top(gram, count, size)
                 at = np.searchsorted(known, own)
                 at[(at == len(known)) | (known[np.minimum(at, len(known) - 1)] != own)] = len(known)
                 theirs = rank[at]
                 apart = np.where(theirs < 0, size, np.abs(theirs - np.arange(len(own))[:, None])).sum(axis=0)
                 best = int(np.argmin(apart))
-                lang.append(names[best])
                 score.append(1 - int(apart[best]) / (size * len(own)))
+                far = floors is not None and (score[-1] == 0 or (
+                    names[best] in floors and score[-1] < floors[names[best]][_class(len(gram))]))
+                lang.append(UNKNOWN if far else names[best])
             yield pa.RecordBatch.from_arrays(
-                batch.columns[:-1] + [pa.array(lang, pa.string()), pa.array(score, pa.float64())],
-                batch.schema.names[:-1] + ["lang_pred", "score"])
+                batch.columns[:-1] + [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(n_grams, pa.int64())],
+                batch.schema.names[:-1] + ["lang_pred", "score", "n_grams"])
     return run
 
 
@@ -141,16 +216,26 @@ def predict_languages(docs: DataFrame, profiles: dict[str, np.ndarray], doc_id:
     Null and repeated ids stay as they are. Other columns are ignored.
     """
     return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string")).mapInArrow(
-        _predict(profiles, size), "doc_id bigint, lang_pred string, score double")
+        _predict(profiles, size), "doc_id bigint, lang_pred string, score double, n_grams bigint").drop("n_grams")
+
 
+def with_languages(docs: DataFrame, profiles: dict[str, np.ndarray], text: str = "text", size: int = PROFILE,
+                   floors: dict[str, np.ndarray] | None = None) -> DataFrame:
+    """(row, lang_pred, score, n_grams): every row of ``docs`` with all its columns as one struct, and its prediction.
 
-def with_languages(docs: DataFrame, profiles: dict[str, np.ndarray], text: str = "text", size: int = PROFILE) -> DataFrame:
-    """(row, lang_pred, score): every row of ``docs`` with all its columns as one struct, and its prediction."""
+    n_grams counts distinct ones: 0 without letters. With ``floors`` (of ``learn_floors``, maybe empty) lang_pred is ``und``
+    too for a text whose score is below the floor of its nearest language, or that shares no n-gram with any profile.
+    """
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text}`").cast("string").alias("t"))
-    schema = T.StructType([rows.schema["row"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return rows.mapInArrow(_predict(profiles, size), schema)
+    schema = T.StructType([rows.schema["row"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
+                           T.StructField("n_grams", T.LongType())])
+    return rows.mapInArrow(_predict(profiles, size, floors), schema)
+
+
+def _fold(doc_id: Column) -> Column:
+    return F.crc32(doc_id.cast("string").cast("binary")) % FOLDS
 
 
 def held_out(doc_id: Column) -> Column:
     """Every fifth document by the CRC-32 of its id as text; false without an id."""
-    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    return F.coalesce(_fold(doc_id) == 0, F.lit(False))

@@ -184,3 +184,21 @@ def test_stages_with_odd_rows(spark, odd, empty):
         assert kept == sorted(want[name], key=str), name
         assert stage(spark, empty, SF).select(columns).count() == 0
     assert corpus_pipeline.STAGES[-1][1](spark, empty, SF).count() == 0
+
+
+def test_language_stage_rejects_other_languages(spark, documents):
+    """Foreign, gibberish and letterless texts go, also long ones; short clean texts and whole tables stay."""
+    frame, rows = documents
+    foreign = ["Сегодня прекрасная погода, и мы пойдем с детьми на море, чтобы купаться и есть мороженое на солнце.",
+               "今天天气很好我们和孩子们一起去海边游泳吃冰淇淋", "xqzv kjwpq zzxkq vbnmq wqxz jkqpz qqxv zxcvb kwjqz pqxzk vvkqj xzqwk jqzxv",
+               "Dzisiaj jest piękna pogoda i pójdziemy z dziećmi nad morze, żeby popływać i zjeść lody w słońcu razem z przyjaciółmi.",
+               "La vita è bella e il cielo sopra Roma è sereno; domani andremo al mare con gli amici per mangiare il pesce fresco "
+               "e bere un bicchiere di vino bianco."]
+    added = [t * n for t in foreign for n in (1, 30)] + ["12 34", "", None]
+    short = ["That it.", "Reorea. Nd.", "Des enberge die enver.", "La aitreré èéle, éauxè et."]
+    more = spark.createDataFrame([(10 ** 9 + i, t) for i, t in enumerate(added + short)], "doc_id bigint, text string")
+    out = corpus_pipeline.language_id(spark, frame.unionByName(more, allowMissingColumns=True), SF)
+    assert sorted(r["doc_id"] for r in out.select("doc_id").collect()) == sorted(
+        [d for d, _ in rows] + [10 ** 9 + len(added) + i for i in range(len(short))])
+    bare = corpus_pipeline.language_id(spark, more.withColumn("lang", F.lit(None).cast("string")), SF)
+    assert {r["doc_id"] - 10 ** 9 for r in bare.collect()} == {i for i, t in enumerate(added + short) if t not in ("12 34", "", None)}
