@@ -9,6 +9,7 @@ which it holds three quarters have a similarity of at least 0.17; with 64 bands
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +20,8 @@ from rodovia.llm.shingles import WIDTH, sequences, shingle_sets, text_slices, wo
 
 CONTAINMENT = 75  # percent
 
-#: Notices as their licenses word them.
-TEMPLATES: Mapping[str, str] = {
+#: Notices as their licenses word them.
+NOTICES: Mapping[str, str] = {
     "MIT": "Released under the MIT License.",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
@@ -29,8 +30,55 @@ TEMPLATES: Mapping[str, str] = {
                  "associated documentation files (the \"Software\"), to deal in the Software without restriction",
     "Apache-2.0 notice": "you may not use this file except in compliance with the License. You may obtain a copy of the "
                          "License at http://www.apache.org/licenses/LICENSE-2.0",
+    "GPL notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
+                  "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+                  "option) any later version.",
+    "GPL-2.0 notice": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                      "General Public License as published by the Free Software Foundation; either version 2 of the License, "
+                      "or (at your option) any later version.",
+    "LGPL notice": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+                   "General Public License as published by the Free Software Foundation; either version 2.1 of the License, "
+                   "or (at your option) any later version.",
+    "AGPL notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+                   "General Public License as published by the Free Software Foundation, either version 3 of the License, or "
+                   "(at your option) any later version.",
+    "MPL-2.0 notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the "
+                      "MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    "BSD notice": "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
+    "CC-BY-4.0 notice": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "CC-BY-SA-4.0 notice": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "CC-BY-NC-4.0 notice": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
 }
 
+#: Short notices are one to a few shingles, so each wording is a template of its own, and so is each mark behind it unless the
+#: other shingles are three quarters.
+_LEADS = ("Released under the", "Licensed under the", "Distributed under the", "Available under the", "is licensed under the")
+_SHORT: Mapping[str, tuple[str, ...]] = {
+    "MIT": ("MIT License",), "Apache-2.0": ("Apache License, Version 2.0", "Apache License 2.0"), "ISC": ("ISC License",),
+    "BSD-3-Clause": ("3-Clause BSD License", "BSD 3-Clause License"),
+    "BSD-2-Clause": ("2-Clause BSD License", "BSD 2-Clause License"),
+    "MPL-2.0": ("Mozilla Public License 2.0", "Mozilla Public License, Version 2.0"),
+    "GPL-3.0": ("GNU General Public License v3.0", "GNU General Public License, version 3"),
+    "GPL-2.0": ("GNU General Public License v2.0", "GNU General Public License, version 2"),
+    "LGPL-2.1": ("GNU Lesser General Public License, version 2.1",), "LGPL-3.0": ("GNU Lesser General Public License, version 3",),
+    "AGPL-3.0": ("GNU Affero General Public License, version 3",),
+    "CC-BY-4.0": ("CC BY 4.0 license",), "CC-BY-SA-4.0": ("CC BY-SA 4.0 license",), "CC-BY-NC-4.0": ("CC BY-NC 4.0 license",),
+}
+_MARKS = ("", ".", ",", ";", ")", ").")
+
+
+def _templates() -> dict[str, str]:
+    """Name -> text: notices, short notices by wording, and the whole texts in the folder ``licenses``."""
+    known = set(NOTICES.values())
+    short = {f"{name}: {text}": text for name, titles in _SHORT.items() for title in titles for lead in _LEADS
+             for mark in (_MARKS if len(f"{lead} {title}".split()) < WIDTH + 3 else ("",))
+             if (text := f"{lead} {title}{mark}") not in known}
+    whole = {f"{f.stem} text": f.read_text() for f in sorted((Path(__file__).parent / "licenses").glob("*.txt"))}
+    return {**NOTICES, **short, **whole}
+
+
+TEMPLATES: Mapping[str, str] = _templates()
+
 
 def _scan(names: list[str], sets: list[np.ndarray]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -124,6 +124,27 @@ def test_licenses_in_odd_rows(spark, odd, empty):
     assert [(r["license"], len(r["begins"])) for r in rows] == [("MIT grant", 2)]
 
 
+def test_whole_licenses_and_altered_notices(spark):
+    """Every shipped text in a long document with words changed, the usual notices, and short wordings with other marks."""
+    def altered(text):
+        w = text.split()
+        return " ".join("changed" if i % 60 == 59 else x for i, x in enumerate(w))
+
+    whole = [n for n in TEMPLATES if n.endswith(" text")]
+    assert {f"{x} text" for x in ("MIT", "ISC", "BSD", "BSD-2-Clause", "Apache-2.0", "GPL-2", "GPL-3", "LGPL-2.1", "LGPL-3", "MPL-2.0",
+                                  "CC0-1.0")} <= set(whole)
+    want = [*whole, "GPL notice", "GPL-2.0 notice", "LGPL notice", "MPL-2.0 notice"]
+    docs = [(i, "x " * 700 + altered(TEMPLATES[n]) + " y" * 300) for i, n in enumerate(want)]
+    short = ["Released under the MIT License,", "licensed under the Apache License, Version 2.0 (the", "available under the MIT License"]
+    docs += [(1000 + i, f"before it {t} and after") for i, t in enumerate(short)] + [(2000, "under the sea the license of words is free")]
+    got = {}
+    for r in find_licenses(spark.createDataFrame(docs, "doc_id bigint, text string")).collect():
+        got.setdefault(r["doc_id"], set()).add(r["license"])
+    assert all(n in got.get(i, ()) for i, n in enumerate(want)), got
+    assert [{x.split(":")[0] for x in got[1000 + i]} for i in range(3)] == [{"MIT"}, {"Apache-2.0"}, {"MIT"}]
+    assert 2000 not in got
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     profiles = learn_profiles(docs, usable=~held_out(F.col("doc_id")))
