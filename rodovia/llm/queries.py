@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rodovia.llm.decontamination import contained_items
 from rodovia.llm.language_id import held_out, learn_profiles, predict_languages
+from rodovia.llm.lexical_search import ranked_documents
 from rodovia.llm.license_scan import find_licenses
 from rodovia.llm.line_dedup import drop_site_lines
 from rodovia.llm.near_dedup import near_duplicates
@@ -95,8 +96,12 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.md5(F.col("text").cast("binary")).alias("kept_md5")))
 
 
+def op13_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_benchmark_decontamination, op2_minhash_near_dedup, op3_exact_top_k,
     op4_suffix_array_dedup, op5_license_scan, op6_token_counts, op7_url_filter, op8_best_fit_packing,
-    op9_language_id, op10_line_dedup,
+    op9_language_id, op10_line_dedup, op13_ranked_lexical_search,
 )}

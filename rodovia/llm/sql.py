@@ -87,7 +87,28 @@ select doc_id, source, coalesce(len(l), 0) as n_lines, coalesce(len(l) - len(k),
 from kept
 """
 
+_TERMS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+OP13 = f"""
+with d as (select row_number() over () as r, doc_id, {_TERMS} as t from documents where doc_id is not null and text is not null),
+p as (select r, doc_id, len(t) as n, t from d where len(t) > 0),
+total as (select count(*) as docs, cast(sum(n) as bigint) as terms from p),
+tf as (select r, term, count(*) as tf from (select r, unnest(t) as term from p) group by r, term),
+weight as (
+  select term, cast(floor(1000 * ln(cast(2 * docs + 2 as double) / cast(2 * df + 1 as double))) as bigint) as w
+  from (select term, count(*) as df from tf group by term), total),
+asked as (select distinct item_id, unnest({_TERMS}) as term from benchmark where item_id is not null and text is not null),
+scored as (
+  select item_id, r, any_value(doc_id) as doc_id,
+         cast(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms)))) as bigint) as score
+  from asked join weight using (term) join tf using (term) join p using (r), total group by item_id, r),
+ranked as (
+  select *, cast(row_number() over (partition by item_id order by score desc, doc_id) as integer) as rank
+  from scored where score > 0)
+select item_id, rank, doc_id, score from ranked where rank <= 10
+"""
+
 SQL: dict[str, str] = {
     "op1_benchmark_decontamination": OP1, "op2_minhash_near_dedup": OP2, "op3_exact_top_k": OP3,
-    "op7_url_filter": OP7, "op10_line_dedup": OP10,
+    "op7_url_filter": OP7, "op10_line_dedup": OP10, "op13_ranked_lexical_search": OP13,
 }
