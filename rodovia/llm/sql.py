@@ -87,6 +87,25 @@ select doc_id, source, coalesce(len(l), 0) as n_lines, coalesce(len(l) - len(k),
 from kept
 """
 
+OP12 = """
+with d as (
+  select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w from documents),
+windows as (
+  select r, doc_id, i, array_to_string(w[i:i + 49], ' ') as s
+  from (select r, doc_id, w, unnest(range(1, len(w) - 48)) as i from d where doc_id is not null)),
+late as (
+  select r, i from windows join (select s, min(doc_id) as low from windows group by s) using (s) where low < doc_id),
+gone as (select distinct r, unnest(range(i, i + 50)) as p from late),
+places as (select r, list(p) as p from gone group by r),
+kept as (
+  select doc_id, len(w) as n_words, coalesce(len(p), 0) as n_removed,
+         case when p is null then w
+              else list_transform(list_filter(list_zip(w, range(1, len(w) + 1)), lambda x: not list_contains(p, x[2])), lambda x: x[1])
+         end as k
+  from d left join places using (r))
+select doc_id, n_words, n_removed, sha256(array_to_string(k, ' ')) as kept_sha256 from kept
+"""
+
 _TERMS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
 
 OP13 = f"""
@@ -110,5 +129,6 @@ select item_id, rank, doc_id, score from ranked where rank <= 10
 
 SQL: dict[str, str] = {
     "op1_benchmark_decontamination": OP1, "op2_minhash_near_dedup": OP2, "op3_exact_top_k": OP3,
-    "op7_url_filter": OP7, "op10_line_dedup": OP10, "op13_ranked_lexical_search": OP13,
+    "op7_url_filter": OP7, "op10_line_dedup": OP10, "op12_substring_dedup": OP12,
+    "op13_ranked_lexical_search": OP13,
 }
