@@ -13,6 +13,7 @@ from rodovia.llm.near_dedup import near_duplicates
 from rodovia.llm.packing import pack
 from rodovia.llm.repeated_spans import remove_repeats
 from rodovia.llm.repeated_windows import remove_repeated_windows
+from rodovia.llm.spelling import spelling_variants
 from rodovia.llm.tables import stored
 from rodovia.llm.token_counts import DELETE, INSERT, REVISE, TokenTotals, count_tokens
 from rodovia.llm.topk import top_k
@@ -97,6 +98,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.md5(F.col("text").cast("binary")).alias("kept_md5")))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_windows(table(spark, sf_dir, "documents")).drop("kept")
 
@@ -108,5 +113,5 @@ def op13_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_benchmark_decontamination, op2_minhash_near_dedup, op3_exact_top_k,
     op4_suffix_array_dedup, op5_license_scan, op6_token_counts, op7_url_filter, op8_best_fit_packing,
-    op9_language_id, op10_line_dedup, op12_substring_dedup, op13_ranked_lexical_search,
+    op9_language_id, op10_line_dedup, op11_spelling_variants, op12_substring_dedup, op13_ranked_lexical_search,
 )}

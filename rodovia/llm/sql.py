@@ -87,6 +87,36 @@ select doc_id, source, coalesce(len(l), 0) as n_lines, coalesce(len(l) - len(k),
 from kept
 """
 
+OP11 = f"""
+with recursive runs as (
+  select doc_id, unnest(regexp_extract_all({_LOWER}, '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) as run from documents where text is not null),
+counted as (select doc_id, run, count(*) as k, hex(encode(coalesce(cast(doc_id as varchar), '') || ':' || run)) as x from runs group by doc_id, run),
+hashed as (
+  select run, k, xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(range(0, len(x) // 2), lambda i: cast('0x' || substr(x, 2 * i + 1, 2) as bigint))),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(0, 8)), lambda y, j: xor(y >> 1, 3988292384 * (y & 1))))) as h
+  from counted),
+written as (
+  select case when h % 199 = 0 then substr(run, 1, h % len(run)) || substr(run, h % len(run) + 2) else run end as word, k from hashed),
+words as (select word, cast(sum(k) as bigint) as n from written where len(word) >= 6 group by word having sum(k) >= 5),
+lacking as (select word, i, substr(word, 1, i - 1) || substr(word, i + 1) as part from (select word, unnest(range(1, len(word) + 1)) as i from words)),
+pairs as (
+  select lacking.word, b.word as near from lacking join words b on part = b.word
+  union select b.word, lacking.word from lacking join words b on part = b.word
+  union select a.word, b.word from lacking a join lacking b on a.part = b.part and a.i = b.i and a.word <> b.word),
+ranked as (
+  select pairs.word, near, w.n as near_n, count(*) over (partition by pairs.word) as n_near,
+         row_number() over (partition by pairs.word order by w.n desc, encode(near)) as r
+  from pairs join words w on w.word = near),
+forms as (
+  select words.word, n, coalesce(n_near, 0) as n_near, case when near_n >= 5 * n then near end as form,
+         case when near_n >= 5 * n then near_n end as form_n
+  from words left join ranked on ranked.word = words.word and r = 1),
+chain(word, last, step) as (
+  select word, word, 0 from forms union all select chain.word, form, step + 1 from chain join forms on forms.word = last where form is not null)
+select forms.word, form, root, n, n_near, form_n from forms join (select word, arg_max(last, step) as root from chain group by word) using (word)
+"""
+
 OP12 = """
 with d as (
   select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w from documents),
@@ -129,6 +159,6 @@ select item_id, rank, doc_id, score from ranked where rank <= 10
 
 SQL: dict[str, str] = {
     "op1_benchmark_decontamination": OP1, "op2_minhash_near_dedup": OP2, "op3_exact_top_k": OP3,
-    "op7_url_filter": OP7, "op10_line_dedup": OP10, "op12_substring_dedup": OP12,
+    "op7_url_filter": OP7, "op10_line_dedup": OP10, "op11_spelling_variants": OP11, "op12_substring_dedup": OP12,
     "op13_ranked_lexical_search": OP13,
 }
