@@ -9,8 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-MAX_RATIO = 0.1
-MIN_PAGES = 3
+MAX_RATIO = 0.05
 
 
 def _lines(text: Column) -> Column:
@@ -24,11 +23,12 @@ def _key(line: Column) -> Column:
 
 
 def drop_site_lines(pages: DataFrame, site: str = "source", text: str = "text", max_ratio: float = MAX_RATIO,
-                    min_pages: int = MIN_PAGES) -> DataFrame:
+                    min_pages: int = 3) -> DataFrame:
     """All rows and columns of ``pages``, with boilerplate lines taken out of ``text``, and counts of lines.
 
     A line (compared without spaces at its ends) goes if it is on at least ``min_pages`` pages of the site and on more
-    than ``max_ratio`` of the site's pages (all its rows, those without text included). Blank lines stay. Rows
+    than ``max_ratio`` of the site's pages (all its rows, those without text included). ``min_pages`` is the caller's: on sites
+    of few pages every line is on a large part of them; 1 leaves the ratio alone to decide. Blank lines stay. Rows
     without a site are not judged, and a null text stays null with 0 lines. Repeated rows count as pages. Added
     columns: _n_lines, _n_dropped. An empty table gives an empty table.
     """

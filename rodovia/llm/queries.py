@@ -93,7 +93,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (drop_site_lines(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return (drop_site_lines(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), min_pages=3)
             .select("doc_id", "source", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"),
                     F.md5(F.col("text").cast("binary")).alias("kept_md5")))
 

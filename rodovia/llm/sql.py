@@ -76,7 +76,7 @@ lines as (
 totals as (select source, count(*) as pages from documents group by source),
 common as (
   select source, x from (select source, x, count(*) as n from lines group by source, x) join totals using (source)
-  where n >= 3 and n > 0.1 * pages),
+  where n >= 3 and n > 0.05 * pages),
 lost as (select r, list(x) as lost from lines join common using (source, x) group by r),
 kept as (
   select doc_id, source, text, l,

@@ -94,7 +94,7 @@ def licenses(text, templates):
     return out
 
 
-def site_lines(rows, ratio=0.1, least=3):
+def site_lines(rows, ratio=0.05, least=3):
     """Kept text of (source, text) rows in order."""
     pages, count = collections.Counter(), collections.Counter()
     for source, text in rows:
