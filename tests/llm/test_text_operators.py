@@ -1,7 +1,10 @@
 """Decontamination, repeated spans, licenses, language and line de-duplication."""
 
+import collections
 import hashlib
 import random
+import re
+import zlib
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -195,3 +198,68 @@ def test_site_lines_of_odd_rows(spark, odd, empty):
     assert sorted((tuple(r) for r in got), key=str) == sorted(
         [(None, "menu\nx", 2, 0), (None, "menu", 1, 0), (None, "menu", 1, 0), ("s", None, 0, 0), ("s", "\nown", 3, 1),
          ("s", "", 1, 1), ("s", "", 2, 2)], key=str)
+
+
+def test_footers_on_few_of_a_site_s_pages(spark):
+    """A line on 6, 8 or 10 % of a site's pages goes, one on 4 % or on one page stays."""
+    for share in (0.04, 0.06, 0.08, 0.10):
+        rows = [("s", f"own {i}\nmore {i}" + ("\nContact us" if i < share * 300 else "")) for i in range(300)]
+        rows += [("t", "Contact us\nown")] + [("t", f"page {i}") for i in range(50)]
+        frame = spark.createDataFrame(rows, "source string, text string")
+        got = sorted(r["text"] for r in drop_site_lines(frame).collect())
+        assert got == sorted(brute.site_lines(rows))
+        assert sum("Contact us" in t for t in got) == (13 if share == 0.04 else 1)
+        assert sum("own" in t for t in got) == 301
+
+
+def test_ratio_alone_decides_without_a_least_number_of_pages(spark):
+    rows = [("s", "a\nb"), ("s", "c")] + [("t", f"x{i}") for i in range(30)]
+    got = sorted(r["text"] for r in drop_site_lines(spark.createDataFrame(rows, "source string, text string"), min_pages=1).collect())
+    assert got == sorted(brute.site_lines(rows, least=1)) and got[:2] == ["", ""]
+
+
+def test_languages_against_a_plain_version(spark, documents, monkeypatch):
+    """Profiles, prediction and score counted letter by letter, with long texts in pieces."""
+    from rodovia.llm import language_id
+
+    monkeypatch.setattr(language_id, "_PIECE", 300)
+    frame, rows = documents
+    langs = {r["doc_id"]: r["lang"] for r in frame.select("doc_id", "lang").collect()}
+
+    def grams(text):
+        words = re.findall(r"[^\W\d_]+", text.lower())
+        out = collections.Counter()
+        for w in words:
+            out.update(w)
+            w = f" {w} "
+            out.update(w[i:i + 2] for i in range(len(w) - 1))
+            out.update(w[i:i + 3] for i in range(len(w) - 2))
+        return out
+
+    def top(count):
+        return [g for g, _ in sorted(count.items(), key=lambda x: (-x[1], sum(ord(c) << 21 * k for k, c in enumerate(reversed(x[0])))))][:300]
+
+    counts = {}
+    for d, t in rows:
+        if zlib.crc32(str(d).encode()) % 5:
+            counts.setdefault(langs[d], collections.Counter()).update(grams(t))
+    profiles = {k: {g: i for i, g in enumerate(top(c))} for k, c in counts.items()}
+    want = {}
+    for d, t in rows:
+        own = top(grams(t))
+        apart = sorted((sum(abs(p[g] - i) if g in p else 300 for i, g in enumerate(own)), k) for k, p in profiles.items())
+        want[d] = (apart[0][1], 1 - apart[0][0] / (300 * len(own)))
+    learned = learn_profiles(frame, usable=~held_out(F.col("doc_id")))
+    assert {r["doc_id"]: (r["lang_pred"], r["score"]) for r in predict_languages(frame, learned).collect()} == want
+
+
+def test_floors_change_without_a_step():
+    """One document more moves a floor a little, whatever their number; with few the floors are low."""
+    from rodovia.llm.language_id import floors_of
+
+    rng = random.Random(4)
+    scores = [(rng.choice("xy"), rng.randrange(512, 1000), 0.6 + 0.3 * rng.random()) for _ in range(400)]
+    assert floors_of([]) == {}
+    floors = [floors_of(scores[:n]).get("x", np.zeros(22))[9] for n in range(401)]
+    assert floors[0] == 0 and 0 < floors[-1] < 0.6
+    assert max(abs(a - b) for a, b in zip(floors[20:], floors[21:])) < 0.1

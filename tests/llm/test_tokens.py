@@ -133,6 +133,65 @@ def test_token_totals(spark, tmp_path):
         t.apply("a/b", first)
 
 
+def changes(spark, *rows):
+    return spark.createDataFrame(rows, "op string, source string, lang string, tokenizer string, tokens bigint, old_tokens bigint")
+
+
+def test_totals_under_concurrency(spark, tmp_path, monkeypatch):
+    """A batch committed inside a compaction, two compactions at once, two writers of one name, and one that breaks off."""
+    root = f"file://{tmp_path}/totals"
+    t, other = TokenTotals(spark, root), TokenTotals(spark, root)
+    assert t.apply("a", changes(spark, ("insert", "s", "en", "1", 10, 0)))
+    publish = TokenTotals._publish
+
+    def meanwhile(self, draft, name):
+        monkeypatch.setattr(TokenTotals, "_publish", publish)
+        assert other.apply("b", changes(spark, ("insert", "s", "en", "1", 5, 0)))
+        return publish(self, draft, name)
+
+    monkeypatch.setattr(TokenTotals, "_publish", meanwhile)
+    assert t.compact() and totals(t) == [("s", "en", "1", 2, 15)]
+
+    def overtaken(self, draft, name):
+        monkeypatch.setattr(TokenTotals, "_publish", publish)
+        assert other.compact() and other.apply("c", changes(spark, ("insert", "s", "en", "1", 1, 0)))
+        return publish(self, draft, name)
+
+    monkeypatch.setattr(TokenTotals, "_publish", overtaken)
+    assert not t.compact() and totals(t) == [("s", "en", "1", 3, 16)]
+
+    def same_name(self, draft, name):
+        monkeypatch.setattr(TokenTotals, "_publish", publish)
+        assert other.apply("d", changes(spark, ("insert", "s", "en", "1", 100, 0)))
+        return publish(self, draft, name)
+
+    monkeypatch.setattr(TokenTotals, "_publish", same_name)
+    assert not t.apply("d", changes(spark, ("insert", "s", "en", "1", 7, 0))) and totals(t) == [("s", "en", "1", 4, 116)]
+
+    def broken(self, draft, name):
+        raise OSError("lost")
+
+    monkeypatch.setattr(TokenTotals, "_publish", broken)
+    for step in (t.compact, lambda: t.apply("e", changes(spark, ("delete", "s", "en", "1", 1, 0)))):
+        with pytest.raises(OSError):
+            step()
+    monkeypatch.setattr(TokenTotals, "_publish", publish)
+    assert totals(t) == [("s", "en", "1", 4, 116)]
+    assert t.apply("e", changes(spark, ("delete", "s", "en", "1", 1, 0))) and t.compact()
+    # After vacuum the names are still known, and folders hold the newest sum alone.
+    assert t.vacuum() == ["a", "b", "c", "d", "e"] and totals(other) == [("s", "en", "1", 3, 115)]
+    assert not any(t.apply(b, changes(spark, ("insert", "s", "en", "1", 9, 0))) for b in "abcde")
+    assert sorted(p.name for p in (tmp_path / "totals").iterdir()) == ["batches", "done", "sums"]
+    assert not list((tmp_path / "totals/batches").iterdir()) and len(list((tmp_path / "totals/sums").iterdir())) == 1
+    assert t.apply("f", changes(spark, ("insert", "s", "en", "1", 9, 0))) and t.compact() and totals(t) == [("s", "en", "1", 4, 124)]
+
+
+def test_counts_of_clashing_columns(spark):
+    frame = spark.createDataFrame([(1, "a b", 7, "x", "y"), (1, "a b", 7, "x", "y")], "id int, text string, n int, _text string, row string")
+    got = count_tokens(frame, ["id", "n", "_text", "row"])
+    assert got.columns == ["id", "_text", "row", "n"] and [tuple(r) for r in got.collect()] == [(1, "x", "y", 2)] * 2
+
+
 def test_counts_and_query(spark, odd, empty, documents):
     import base64
 
