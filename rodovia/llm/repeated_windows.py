@@ -33,7 +33,8 @@ from rodovia.llm.tables import sorted_groups, stored
 from rodovia.llm.word_hashes import Splitter
 
 WINDOW, GRAM = 50, 8       # words
-BUCKET_BYTES = 16 << 20    # of text whose super-k-mers one bucket gets
+BUCKET_BYTES = 4 << 20     # of text whose super-k-mers one bucket gets
+TASK_BUCKETS = 4           # that a task gets on average, one after the other
 FLUSH_BYTES = 8 << 20      # of text whose super-k-mers a scan task holds at once
 COMMON = 64                # places of a string in a scan task from which they are looked up afterwards
 SAMPLE = 16                # one of so many documents tells the minimisers with very many strings
@@ -274,6 +275,9 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = np.full(len(strings), np.iinfo(np.int64).max)
         np.minimum.at(first, of["string"], of["doc"])
         np.minimum.at(first, of["c_string"], of["c_doc"])
+        # A string that was common in several scan tasks is answered once.
+        once = np.unique(of["c_string"], return_index=True)[1]
+        of |= {k: of[k][once] for k in _COMMON}
         n = np.array([s.count(b" ") + 2 - WINDOW for s in strings])
         order = np.argsort(minimiser, kind="stable")
         edge = np.flatnonzero(np.concatenate([[True], minimiser[order][1:] != minimiser[order][:-1]]))
@@ -390,7 +394,7 @@ def remove_repeated_windows(docs: DataFrame, doc_id: str = "doc_id", text: str =
               .orderBy(F.desc("n"), "minimiser").limit(MOST_VARIED).toArrow().column("minimiser").to_numpy().view(np.uint64))
     size = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-size // BUCKET_BYTES))
-    blocks = named.mapInArrow(_scan(buckets, varied), "bucket int, block binary").repartition(buckets, "bucket")
+    blocks = named.mapInArrow(_scan(buckets, varied), "bucket int, block binary").repartition(-(-buckets // TASK_BUCKETS), "bucket")
     settled = stored(blocks.sortWithinPartitions("bucket").mapInArrow(_settle, _OUT), "windows")
 
     def of(kind: int) -> DataFrame:
