@@ -50,3 +50,29 @@ def with_sequence(df: DataFrame, key: str, ts: str, tie: str, name: str = "seq",
                           F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     return (rows.withColumn("_place", place).join(starts, [key, "_slice"])
             .select(*df.columns, (F.col("_before") + F.col("_place")).alias(name)))
+
+
+def with_latest(df: DataFrame, events: DataFrame, key: str, ts: str, at: str, name: str, seconds: int = HOUR) -> DataFrame:
+    """Add to every row, as the struct ``name``, the latest of ``events`` of its key that is not after it; null without one.
+
+    ``at`` is the time of an event; of events at the same time the greatest struct counts. Rows and events are swept together
+    within (key, slice), and the last event of a slice is carried on to all later slices of the key, so events may reach as far
+    as they like without being copied into every slice between.
+    """
+    columns = [c for c in events.columns if c != key]
+    both = (df.withColumns({"_at": F.col(ts).cast("timestamp"), "_row": F.struct(*df.columns), "_event": F.lit(None)})
+            .select(key, "_at", "_row", "_event").withColumn("_kind", F.lit(1)))
+    shape = F.struct(F.col(at).cast("timestamp").alias("_at"), F.struct(*columns).alias("_value"))
+    marks = events.filter(F.col(at).isNotNull() & F.col(key).isNotNull()).select(
+        key, F.col(at).cast("timestamp").alias("_at"), F.lit(None).cast(both.schema["_row"].dataType).alias("_row"), shape.alias("_event"),
+        F.lit(0).alias("_kind"))
+    both = both.withColumn("_event", F.lit(None).cast(marks.schema["_event"].dataType)).unionByName(marks).withColumn("_slice", slice_of("_at", seconds))
+    # Events come before rows of the same moment, equal ones in order of their value.
+    inside = Window.partitionBy(key, "_slice").orderBy("_at", "_kind", "_event").rowsBetween(Window.unboundedPreceding, 0)
+    swept = both.withColumn("_seen", F.last("_event", ignorenulls=True).over(inside))
+    tails = both.groupBy(key, "_slice").agg(F.max("_event").alias("_tail"))
+    before = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    carried = tails.select(key, "_slice", F.max("_tail").over(before).alias("_carried"))
+    found = F.coalesce("_seen", "_carried")
+    return (swept.filter("_kind = 1").join(carried, [key, "_slice"], "left")
+            .select("_row.*", found["_value"].alias(name)))

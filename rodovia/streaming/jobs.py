@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from rodovia.operators.dedup import latest_per_key
 from rodovia.operators.store import TableStore
@@ -59,24 +59,85 @@ def current(spark: SparkSession, out: str, keys: Sequence[str]) -> DataFrame:
     return latest_per_key(updates, keys, newest="batch").drop("batch")
 
 
-def keep_latest_status(stream: DataFrame, store: TableStore, checkpoint: str,
-                       table: str = "status_frota"):
+def keep_latest_status(stream: DataFrame, store: TableStore, checkpoint: str, table: str = "status_frota", buckets: int = 64):
     """Upsert the newest reading per vehicle after every micro-batch.
 
-    The batch is reduced to one row per vehicle first; taking the newest of old and new again is
-    idempotent, so a replayed batch leaves the table as it was.
+    The table is hashed into a fixed number of buckets, each published by itself: a micro-batch reads and rewrites only the
+    buckets in which one of its vehicles has something newer. Taking the newest of old and new is idempotent, so a replayed
+    batch rewrites nothing.
     """
+    bucket = F.pmod(F.xxhash64("vehicle"), F.lit(buckets)).cast("int")
+
     def save(batch: DataFrame, number: int) -> None:
-        fresh = latest_status(batch)
-        known = store.get(table)
         run = store.begin()
-        run.write(table, latest_status(fresh if known is None else known.unionByName(fresh)))
-        run.commit()
+        fresh = run.write("_novos", latest_status(batch).withColumn("_part", bucket))
+        del run.changes["_novos"]
+        held = {str(r[0]) for r in fresh.select("_part").distinct().collect()}  # at most ``buckets``
+        known = run.read(table, held & run.partitions(table))
+        if known is not None:
+            before = known.select("vehicle", F.struct("ts", "event_id").alias("_known"))
+            fresh = fresh.join(before, "vehicle", "left").filter("_known is null or struct(ts, event_id) > _known").drop("_known")
+            touched = {str(r[0]) for r in fresh.select("_part").distinct().collect()}
+            old = run.read(table, touched & run.partitions(table))
+            fresh = fresh if old is None else fresh.unionByName(old.withColumn("_part", bucket))
+        else:
+            touched = held
+        if touched:
+            run.write_partitions(table, latest_status(fresh).withColumn("_part", bucket), "_part", touched)
+            run.commit()
 
     return (stream.writeStream.outputMode("update").foreachBatch(save)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
+def route(stream: DataFrame, store: TableStore, checkpoint: str, routes: Mapping[str, Callable[[DataFrame], DataFrame]],
+          ledger: str = "lotes", gather: int = 100):
+    """Several tables from one reading of a stream, each micro-batch in all of them or in none.
+
+    A micro-batch is read once into the store, the tables are written from there, and they are published together with the
+    batch's entry in ``ledger``. A batch that broke off between two tables left nothing that anybody sees; one that is
+    replayed after its publication is recognised by its entry. Every ``gather`` batches become one partition.
+    """
+    def save(batch: DataFrame, number: int) -> None:
+        run = store.begin()
+        done = run.read(ledger)
+        if done is not None and not done.filter(F.col("lote") >= number).isEmpty():
+            return
+        rows = run.write("_lote", batch)
+        del run.changes["_lote"]
+        name = f"{number:012d}"
+        for table, build in routes.items():
+            run.write(table, build(rows), partition=name)
+            small = sorted(p for p in run.partitions(table) if len(p) == 12)
+            if len(small) >= gather:
+                run.write(table, run.read(table, set(small)), partition=f"{small[0]}-{small[-1]}")
+                run.changes[table].update({p: None for p in small})
+        run.write(ledger, store.spark.createDataFrame([(number,)], "lote bigint"))
+        run.commit()
+
+    return (stream.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
+def open_trips(spark: SparkSession, checkpoint: str, gap: str = "30 minutes") -> DataFrame:
+    """The trips in progress of a :func:`telemetry.trips` query, from its state: no reading is read again.
+
+    The state of a session has its window, which ends ``gap`` after the last reading, and the buffers of the aggregates.
+    """
+    state = spark.read.format("statestore").load(checkpoint)
+    fields = state.schema["value"].dataType.fields
+    # Buffers are named after their functions, so names repeat: number them.
+    value = F.col("value").cast(T.StructType([T.StructField(f"f{i}", f.dataType) for i, f in enumerate(fields)]))
+
+    def buffer(name: str, kind: type) -> Column:
+        at = next(i for i, f in enumerate(fields) if f.name == name and isinstance(f.dataType, kind))
+        return value.getField(f"f{at}")
+
+    window = buffer("session_window", T.StructType)
+    return state.select(F.col("key.vehicle").alias("vehicle"), window["start"].cast("timestamp_ntz").alias("inicio"),
+                        (window["end"] - F.expr(f"INTERVAL {gap}")).cast("timestamp_ntz").alias("fim"),
+                        buffer("count", T.LongType).alias("mensagens"), buffer("max", T.DecimalType).alias("velocidade_max"))
+
+
 def trip_table(stream: DataFrame, out: str, checkpoint: str, gap: str = "30 minutes"):
     """Trips of each micro-batch, one folder a batch, so a replay changes nothing.
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rodovia.functions import rules as R
 from rodovia.operators.dedup import latest_per_key
-from rodovia.operators.timeslice import with_previous
+from rodovia.operators.timeslice import with_latest, with_previous
 
 WATERMARK = "10 minutes"
 CRITICAL_EVENT = "error"
@@ -69,6 +69,25 @@ def windows(df: DataFrame, length: str, slide: str | None = None, by: Sequence[s
                     _mean("_v", "mensagens").alias("velocidade_media"), "lentas"))
 
 
+def hourly_activity(df: DataFrame, delay: str = WATERMARK) -> DataFrame:
+    """(hora, vehicle, ...): seconds, minutes and readings of each hour, by windows over windows in one query.
+
+    Readings become seconds, these minutes, and these hours; as a stream each step takes what the one before it has closed,
+    so the steps after the first hold one row per vehicle and second or minute instead of readings.
+    """
+    def step(rows: DataFrame, length: str, units: str) -> DataFrame:
+        frame = F.window(F.window_time("window"), length)
+        return rows.groupBy(frame, "vehicle").agg(
+            F.count("*").alias(units), F.sum("mensagens").alias("mensagens"), F.sum("soma").cast("decimal(28,2)").alias("soma"),
+            F.max("velocidade_max").alias("velocidade_max"), *([F.sum("segundos").alias("segundos")] if units == "minutos" else []))
+
+    seconds = (_watermarked(df, delay).groupBy(F.window("ts", "1 second"), "vehicle")
+               .agg(F.count("*").alias("mensagens"), F.sum("speed").alias("soma"), F.max("speed").alias("velocidade_max")))
+    hours = step(step(seconds, "1 minute", "segundos"), "1 hour", "minutos")
+    return hours.select(_plain(F.col("window.start")).alias("hora"), "vehicle", "minutos", "segundos", "mensagens",
+                        _mean("soma", "mensagens").alias("velocidade_media"), "velocidade_max")
+
+
 def trips(df: DataFrame, gap: str = "30 minutes", delay: str = WATERMARK) -> DataFrame:
     """Trips as sessions: a vehicle silent for ``gap`` has ended its trip.
 
@@ -211,6 +230,29 @@ def open_rentals(locacao: DataFrame, veiculo: DataFrame, grupo: DataFrame) -> Da
             .join(rate, "veiculo_nk", "left"))
 
 
+def rental_usage(df: DataFrame, rentals: DataFrame, max_gap_seconds: int = 300, hard_speed: float = 80) -> DataFrame:
+    """(locacao_nk, leituras, segundos, km, pct_rapidas): what a vehicle did while a rental of it was open.
+
+    ``rentals`` has vehicle, locacao_nk, inicio and fim (null: not returned). A reading belongs to the latest rental that began
+    by then, unless that has ended (half-open intervals of any length). Time and distance between two readings count
+    as in :func:`daily_usage`, if both belong to the same rental. pct_rapidas is the share of readings above ``hard_speed``.
+    """
+    tagged = with_latest(df, rentals.select("vehicle", "inicio", "locacao_nk", "fim"), "vehicle", "ts", "inicio", "_r")
+    end = F.col("_r.fim").cast("timestamp")
+    tagged = tagged.withColumn("_nk", F.when(end.isNull() | (F.col("ts") < end), F.col("_r.locacao_nk"))).drop("_r")
+    rows = with_previous(tagged, "vehicle", "ts", "event_id", ["ts", "speed", "_nk"]).filter("_nk is not null")
+    micros = F.unix_micros("ts") - F.unix_micros("prev_ts")
+    used = F.when((F.col("prev__nk") == F.col("_nk")) & (micros <= max_gap_seconds * 1_000_000), micros).otherwise(0)
+    metres = F.coalesce(F.col("prev_speed"), F.lit(0).cast(SPEED)) * used.cast("decimal(18,0)")
+    micros_per_hour = F.lit(3_600_000_000).cast("decimal(18,0)")
+    return (rows.groupBy(F.col("_nk").alias("locacao_nk"))
+            .agg(F.count("*").alias("leituras"), F.sum(used).alias("_us"), F.sum(metres).cast("decimal(32,2)").alias("_ku"),
+                 F.count_if(F.col("speed") > hard_speed).alias("_hard"))
+            .select("locacao_nk", "leituras", F.floor(F.col("_us") / 1_000_000).alias("segundos"),
+                    F.round(F.col("_ku") / micros_per_hour, 2).cast("decimal(18,2)").alias("km"),
+                    R.percent("_hard", "leituras", 2).alias("pct_rapidas")))
+
+
 def bill_returns(returns: DataFrame, rentals: DataFrame, source: int = 1) -> DataFrame:
     """Charges at return: the same day, lateness, km and fee rules as the warehouse.
 

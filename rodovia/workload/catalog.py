@@ -13,16 +13,20 @@ from rodovia.functions import rules as R
 from rodovia.functions.calendar import calendar_attributes, continuous_days, date_bounds
 from rodovia.operators import keys as K, merge as M
 from rodovia.operators.dedup import latest_per_key
+from rodovia.operators.store import TableStore
 from rodovia.operators.timeslice import with_sequence
 from rodovia.plans import (integrity as I, operational as P, quality as Q, refresh, reports, star,
                            views)
 from rodovia.plans.conform import (REFERENCES as CONF_REFERENCES, conf_tempo, conformed, resolve,
                                    staging_dates, staging_warnings, store_conformed)
 from rodovia.plans.lazy import LazyTables
-from rodovia.session import scratch_path
+from rodovia.session import CLUSTER_SETTINGS, scratch_path
 from rodovia.sources import extract as X, mappings as MAP
 from rodovia.sources.registry import FrameSource
-from rodovia.streaming import jobs, telemetry as T
+from rodovia.streaming import jobs, parts, telemetry as T
+from rodovia.streaming.handover import HandOver
+from rodovia.streaming.ordered import in_order
+from rodovia.streaming.tiers import RUNGS, Tiers
 from rodovia.workload import oracle as O
 from rodovia.workload.proxies import Inputs, money
 
@@ -990,11 +994,17 @@ plain("p7_clients_without_reservation", "id:i nome:s",
 
 # --- telemetry ------------------------------------------------------------------------------------
 
-def _stream(x: Context) -> DataFrame:
-    """The events file as a stream, in a session with few state partitions for a local run."""
+def _session(x: Context) -> SparkSession:
+    """A session for streams, with few state partitions for a local run."""
     session = x.spark.newSession()
     session.conf.set("spark.sql.shuffle.partitions", str(x.spark.sparkContext.defaultParallelism))
-    return jobs.file_stream(session, f"{x.dir}/events.parquet", x.table("events").schema)
+    session.conf.set("spark.sql.streaming.stateStore.providerClass", CLUSTER_SETTINGS["spark.sql.streaming.stateStore.providerClass"])
+    return session
+
+
+def _stream(x: Context) -> DataFrame:
+    """The events file as a stream."""
+    return jobs.file_stream(_session(x), f"{x.dir}/events.parquet", x.table("events").schema)
 
 
 def _delay(x: Context) -> str:
@@ -1002,36 +1012,90 @@ def _delay(x: Context) -> str:
     return T.backlog_delay(x.tel)
 
 
-def _finished_updates(x: Context, stream: DataFrame, keys: list[str]) -> DataFrame:
-    out, checkpoint = scratch_path(x.spark, "stream"), scratch_path(x.spark, "checkpoint")
-    jobs.finish(jobs.update_table(stream, out, checkpoint))
-    return jobs.current(x.spark, out, keys)
-
-
 def _appended(x: Context, stream: DataFrame) -> DataFrame:
     out, checkpoint = scratch_path(x.spark, "stream"), scratch_path(x.spark, "checkpoint")
     jobs.finish(jobs.append_table(stream, out, checkpoint))
     return x.spark.read.schema(stream.schema).parquet(out)
 
 
+LIVE_FILES = 6
+
+
+def _arrivals(x: Context, rows: DataFrame, feed: str) -> None:
+    """Add events to a feed as files in order of arrival: up to ten minutes after the event, one file after the other."""
+    arrival = F.unix_micros(F.col("ts").cast("timestamp")) + F.pmod(F.xxhash64("event_id"), F.lit(590_000_000))
+    jvm, folder = x.spark._jvm, x.spark._jvm.org.apache.hadoop.fs.Path(feed)
+    fs = folder.getFileSystem(x.spark._jsc.hadoopConfiguration())
+    known = {s.getPath().getName() for s in fs.listStatus(folder)} if fs.exists(folder) else set()
+    rows.repartitionByRange(LIVE_FILES, arrival).write.mode("append").parquet(feed)
+    fresh = sorted(s.getPath().toString() for s in fs.listStatus(folder)
+                   if s.getPath().getName().startswith("part-") and s.getPath().getName() not in known)
+    now = jvm.java.lang.System.currentTimeMillis()
+    for k, path in enumerate(fresh):  # a stream takes files by age
+        fs.setTimes(jvm.org.apache.hadoop.fs.Path(path), now + k, -1)
+
+
+def _closing(x: Context) -> DataFrame:
+    """An event of no vehicle a day after all others: with it the watermark passes them."""
+    events = x.table("events")
+    last = events.agg(F.max("ts").alias("ts"))
+    return last.select(*[(F.col("ts") + F.expr("INTERVAL 1 DAY")).alias("ts") if f.name == "ts" else
+                         F.lit(-1 if f.name in ("event_id", "user_id") else None).cast(f.dataType).alias(f.name)
+                         for f in events.schema.fields]).filter("ts is not null")
+
+
+def _handed_over(x: Context, overlap: str = "INTERVAL 0 SECONDS") -> HandOver:
+    """A feed whose older half is a backlog in any order and whose newer half arrives after the cut.
+
+    What happened less than ``overlap`` before the cut arrives once more after it.
+    """
+    events, feed = x.table("events"), scratch_path(x.spark, "feed")
+    middle = events.agg((F.min(F.unix_micros(F.col("ts").cast("timestamp"))) + F.max(F.unix_micros(F.col("ts").cast("timestamp")))) / 2).first()[0]
+    ts = F.unix_micros(F.col("ts").cast("timestamp"))
+    old = events.filter(ts < F.lit(int(middle or 0)))
+    old.repartition(8, F.xxhash64("event_id")).write.parquet(feed)
+    over = HandOver(x.spark, feed, events.schema, scratch_path(x.spark, "handover"))
+    over.history_files()
+    again = F.timestamp_micros(F.lit(int(middle or 0))) - F.expr(overlap)
+    _arrivals(x, events.filter(F.col("ts").cast("timestamp") >= again), feed)
+    _arrivals(x, _closing(x), feed)
+    return over
+
+
+def _summed(x: Context, name: str, by: list[str], parts: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Parts of the history, and of the feed with ten minutes of watermark, added up."""
+    over = _handed_over(x)
+    over.keep_history(name, lambda rows: parts(T.telemetry(rows)))
+    jobs.finish(over.follow(name, lambda rows: parts(T.telemetry(rows).withWatermark("ts", T.WATERMARK)), _session(x), 1))
+    return over.parts(name, by).filter(F.col("inicio") < F.lit(x.table("events").agg(F.max("ts")).first()[0]) + F.expr("INTERVAL 12 HOURS"))
+
+
 _MEAN = f"{_H('sum(speed*100)::bigint', 'count(*)')} / 100.0"
 _SECOND = (f"select time_bucket(interval 1 second, ts) segundo, vehicle, count(*) mensagens, {_MEAN} velocidade_media, "
            "max(speed) velocidade_max, count(*) filter (where critical) criticas from p_tel group by 1, 2")
 _SECOND_COLS = "segundo:s vehicle:i mensagens:i velocidade_media:d velocidade_max:d criticas:i"
 plain("z_per_second", _SECOND_COLS, _SECOND,
-      lambda x: _finished_updates(x, T.per_second(T.telemetry(_stream(x)), _delay(x)), ["segundo", "vehicle"]))
+      lambda x: _summed(x, "segundo", ["vehicle"], lambda rows: parts.parts_of(rows, "1 second")).select(
+          F.col("inicio").alias("segundo"), "vehicle", "mensagens", parts.mean_speed(), "velocidade_max", "criticas"))
 plain("z_per_second_batch", _SECOND_COLS, _SECOND, lambda x: T.per_second(x.tel))
+
+
+def _traffic(x: Context, length: str, slide: str | None = None) -> DataFrame:
+    summed = _summed(x, "trafego", ["event_type"], lambda rows: parts.parts_of(rows, length, slide, ["event_type"]))
+    return summed.select("inicio", (F.col("inicio") + F.expr(f"INTERVAL {length}")).alias("fim"), "event_type", "mensagens",
+                         parts.mean_speed(), "lentas")
+
+
 _WINDOW_COLS = "inicio:s fim:s event_type:s mensagens:i velocidade_media:d lentas:i"
 plain("z_tumbling", _WINDOW_COLS,
       f"select time_bucket(interval 1 hour, ts) inicio, time_bucket(interval 1 hour, ts) + interval 1 hour fim, event_type, "
       f"count(*) mensagens, {_MEAN} velocidade_media, count(*) filter (where speed < 10) lentas from p_tel group by 1, 2, 3",
-      lambda x: _finished_updates(x, T.windows(T.telemetry(_stream(x)), "1 hour", delay=_delay(x)), ["inicio", "event_type"]))
+      lambda x: _traffic(x, "1 hour"))
 plain("z_sliding", _WINDOW_COLS,
       "select inicio, inicio + interval 6 hour fim, event_type, count(*) mensagens, "
       f"{_MEAN} velocidade_media, count(*) filter (where speed < 10) lentas from (select *, "
       "time_bucket(interval 3 hour, ts) - to_hours(3 * k) inicio from p_tel cross join (select unnest([0, 1]) k)) group by 1, 2, 3",
-      lambda x: _finished_updates(x, T.windows(T.telemetry(_stream(x)), "6 hours", "3 hours", delay=_delay(x)),
-                                  ["inicio", "event_type"]))
+      lambda x: _traffic(x, "6 hours", "3 hours"))
 _TRIPS = ("select vehicle, min(ts) inicio, max(ts) fim, count(*) mensagens, max(speed) velocidade_max from ("
           "select *, sum(novo) over (partition by vehicle order by ts, event_id) viagem from (select *, case when "
           "ts >= lag(ts) over (partition by vehicle order by ts, event_id) + interval 3 hour then 1 else 0 end novo "
@@ -1052,27 +1116,38 @@ def z_session_stream(x: Context) -> DataFrame:
        "select vehicle, event_id, event_type, speed, ts from p_tel "
        "qualify row_number() over (partition by vehicle order by ts desc, event_id desc) = 1")
 def z_latest(x: Context) -> DataFrame:
-    from rodovia.operators.store import TableStore
     store = TableStore(x.spark, scratch_path(x.spark, "frota"))
     jobs.finish(jobs.keep_latest_status(T.telemetry(_stream(x)), store,
                                         scratch_path(x.spark, "checkpoint")))
     return store.read("status_frota").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
+def _routed(x: Context, table: str) -> DataFrame:
+    """One reading of the events into two tables."""
+    store = TableStore(x.spark, scratch_path(x.spark, "rotas"))
+    jobs.finish(jobs.route(T.telemetry(_stream(x)), store, scratch_path(x.spark, "checkpoint"),
+                           {"alertas": T.critical, "rotina": T.routine}))
+    return store.read(table)
+
+
 plain("z_alerts", "event_id:i vehicle:i ts:s speed:d", "select event_id, vehicle, ts, speed from p_tel where critical",
-      lambda x: _appended(x, T.critical(T.telemetry(_stream(x)))).withColumn(
-          "ts", F.col("ts").cast("timestamp_ntz")))
+      lambda x: _routed(x, "alertas").withColumn("ts", F.col("ts").cast("timestamp_ntz")))
 plain("z_routine", "event_type:s n:i", "select event_type, count(*) n from p_tel where not critical group by 1",
-      lambda x: _appended(x, T.routine(T.telemetry(_stream(x)))).groupBy("event_type").agg(
-          F.count("*").alias("n")))
+      lambda x: _routed(x, "rotina").groupBy("event_type").agg(F.count("*").alias("n")))
 
 
 @query("z_dedup", "event_id:i vehicle:i speed:d", "select event_id, vehicle, speed from p_tel")
 def z_dedup(x: Context) -> DataFrame:
-    """The stream delivered twice, de-duplicated back to one copy of each event."""
-    raw = _stream(x)
-    twice = T.telemetry(raw).withColumn("copia", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copia")
-    return _appended(x, T.without_replays(twice, _delay(x)))
+    """A feed that delivers everything twice, and what happened in the hour before the cut once more after it."""
+    def twice(rows: DataFrame) -> DataFrame:
+        return T.telemetry(rows).withColumn("copia", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copia")
+
+    over = _handed_over(x, "INTERVAL 1 HOUR")
+    past = over.keep_history("eventos", lambda rows: T.without_replays(twice(rows)))
+    stream = over.live(_session(x), 1)
+    jobs.finish(over.append("eventos", lambda rows: T.without_replays(twice(rows)), stream.sparkSession, 1))
+    live = over.live_rows("eventos", past.schema).join(past.select("event_id"), "event_id", "left_anti").select(past.columns)
+    return past.unionByName(live).filter("event_id >= 0")
 
 
 _CLIP = ("select event_id, vehicle, ts from p_tel e where exists (select 1 from p_tel c where c.critical and "
@@ -1106,6 +1181,77 @@ plain("z_order", "event_id:i vehicle:i seq:i",
       lambda x: with_sequence(x.tel, "vehicle", "ts", "event_id"))
 
 
+@query("z_order_stream", "event_id:i vehicle:i seq:i",
+       "select event_id, vehicle, row_number() over (partition by vehicle order by ts, event_id) seq from p_tel")
+def z_order_stream(x: Context) -> DataFrame:
+    """The backlog numbered by the batch function; the stream goes on from each vehicle's last number."""
+    over = _handed_over(x)
+    past = over.keep_history("ordem", lambda rows: with_sequence(T.telemetry(rows), "vehicle", "ts", "event_id"))
+    path = scratch_path(x.spark, "begun")
+    past.groupBy("vehicle").agg(F.max("seq").alias("base"), F.max(F.unix_micros("ts")).alias("until")).write.parquet(path)
+    session = _session(x)
+    begun = session.read.parquet(path)
+    jobs.finish(over.append("ordem", lambda rows: in_order(T.telemetry(rows), 600, begun), session, 1))
+    live = x.spark.read.schema("vehicle bigint, event_id bigint, micros bigint, seq bigint, late boolean").parquet(f"{over.root}/live/ordem")
+    return past.select("event_id", "vehicle", "seq").unionByName(live.select("event_id", "vehicle", "seq"))
+
+
+@query("z_trips_open", _TRIP_COLS, _TRIPS)
+def z_trips_open(x: Context) -> DataFrame:
+    """Trips that the stream has closed, and those still open in its state."""
+    feed, out, checkpoint = (scratch_path(x.spark, n) for n in ("feed", "stream", "checkpoint"))
+    _arrivals(x, x.table("events"), feed)
+    stream = T.trips(T.telemetry(jobs.file_stream(_session(x), feed, x.table("events").schema, 1)), "3 hours")
+    jobs.finish(jobs.append_table(stream, out, checkpoint))
+    return x.spark.read.schema(stream.schema).parquet(out).unionByName(jobs.open_trips(x.spark, checkpoint, "3 hours"))
+
+
+@query("z_hourly", "hora:s vehicle:i minutos:i segundos:i mensagens:i velocidade_media:d velocidade_max:d",
+       "select time_bucket(interval 1 hour, ts) hora, vehicle, count(distinct time_bucket(interval 1 minute, ts)) minutos, "
+       f"count(distinct time_bucket(interval 1 second, ts)) segundos, count(*) mensagens, {_MEAN} velocidade_media, "
+       "max(speed) velocidade_max from p_tel group by 1, 2")
+def z_hourly(x: Context) -> DataFrame:
+    """Windows over windows over windows in one streaming query."""
+    feed, out, checkpoint = (scratch_path(x.spark, n) for n in ("feed", "stream", "checkpoint"))
+    _arrivals(x, x.table("events"), feed)
+    _arrivals(x, _closing(x), feed)
+    stream = T.hourly_activity(T.telemetry(jobs.file_stream(_session(x), feed, x.table("events").schema, 1)))
+    jobs.finish(jobs.append_table(stream, out, checkpoint))
+    return x.spark.read.schema(stream.schema).parquet(out)
+
+
+_RUNG = ("select '{n}' faixa, time_bucket(interval '{i}', ts) inicio, vehicle, count(*) mensagens, " + _MEAN + " velocidade_media, "
+         "min(speed) velocidade_min, max(speed) velocidade_max, count(*) filter (where critical) criticas from p_tel group by 2, 3")
+
+
+@query("z_tiers", "faixa:s inicio:s vehicle:i mensagens:i velocidade_media:d velocidade_min:d velocidade_max:d criticas:i",
+       ua(_RUNG.format(n=n, i=i) for n, i in (("segundo", "1 second"), ("minuto", "1 minute"), ("hora", "1 hour"), ("dia", "1 day"))))
+def z_tiers(x: Context) -> DataFrame:
+    """All rungs after raw days have expired, a late delivery into them, and that delivery once more."""
+    tiers = Tiers(TableStore(x.spark, scratch_path(x.spark, "faixas")))
+    late = F.pmod(F.xxhash64("event_id"), F.lit(20)) == 0
+    tiers.deliver("1", x.tel.filter(~late))
+    tiers.expire({"bruto": dt.date(2024, 1, 20)})
+    for _ in range(2):
+        tiers.deliver("2", x.tel.filter(late))
+    return Q.stack(tiers.read(rung).select(
+        F.lit(rung).alias("faixa"), "inicio", "vehicle", "mensagens", parts.mean_speed(), "velocidade_min", "velocidade_max", "criticas")
+        for rung in RUNGS)
+
+
+plain("z_rental_usage", "locacao_nk:s leituras:i segundos:i km:d pct_rapidas:d",
+      "select nk locacao_nk, count(*) leituras, sum(usado) // 1000000 segundos, "
+      "cast(((2 * sum(cast(v * 100 as hugeint) * usado) + 3600000000) // 7200000000) as double) / 100.0 km, "
+      f"{_H('10000 * count(*) filter (where speed > 40)', 'count(*)')} / 100.0 pct_rapidas from ("
+      "select *, case when antes = nk and d <= 43200000000 then d else 0 end usado from (select *, coalesce(lag(speed) over w, 0) v, "
+      "lag(nk) over w antes, epoch_us(ts) - epoch_us(lag(ts) over w) d from (select t.*, "
+      "case when r.fim is null or t.ts < r.fim then r.locacao_nk end nk from p_tel t asof left join (select * from p_ar "
+      "qualify row_number() over (partition by vehicle, inicio order by locacao_nk desc) = 1) r "
+      "on t.vehicle = r.vehicle and t.ts >= r.inicio) window w as (partition by vehicle order by ts, event_id))) "
+      "where nk is not null group by 1",
+      lambda x: T.rental_usage(x.tel, x.rentals_on_air, 43200, 40))
+
+
 def _open(x: Context) -> DataFrame:
     return T.open_rentals(x.conf["conf_locacao"], x.conf["conf_veiculo"], x.conf["conf_grupo_veiculo"])
 

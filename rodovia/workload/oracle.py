@@ -398,6 +398,11 @@ CTE["p_log"] = """select grupo_fonte, tabela_stg, dt_extracao, qtd_registros, st
 CTE["p_tel"] = """select event_id, user_id vehicle, ts, event_type, cast(value as decimal(12,2)) speed,
   event_type = 'error' critical from events"""
 
+CTE["p_ar"] = """select l_partkey % (select max(user_id) + 1 from events) vehicle, cast(l_orderkey*10+l_linenumber as varchar) locacao_nk,
+  timestamp '2024-01-01' + to_minutes((l_orderkey*7+l_linenumber*131) % 41760) inicio,
+  case when l_linenumber <> 6 then timestamp '2024-01-01' + to_minutes((l_orderkey*7+l_linenumber*131) % 41760)
+    + to_hours(cast(l_quantity as int)) end fim from lineitem"""
+
 _NAMES = re.compile(r"\b(" + "|".join(sorted(CTE, key=len, reverse=True)) + r")\b")
 
 

@@ -325,3 +325,13 @@ class Inputs:
                                              .alias("grupo_fonte"), ok.alias("status"))
                 .agg((F.min("o_orderdate") + F.expr("INTERVAL 1500 DAYS")).alias("dt_extracao"),
                      F.count("*").alias("qtd_registros")))
+
+    @cached_property
+    def rentals_on_air(self) -> DataFrame:
+        """Rentals of the vehicles that send telemetry, in its month: (vehicle, locacao_nk, inicio, fim)."""
+        vehicles = self.table("events").agg(F.max("user_id") + 1).first()[0]
+        return self.table("lineitem").selectExpr(
+            f"l_partkey % {vehicles} AS vehicle", "CAST(l_orderkey * 10 + l_linenumber AS STRING) AS locacao_nk",
+            "TIMESTAMP_NTZ'2024-01-01' + make_dt_interval(0, 0, CAST((l_orderkey * 7 + l_linenumber * 131) % 41760 AS INT)) AS inicio",
+            "CAST(l_quantity AS INT) AS horas", "l_linenumber").selectExpr(
+            "vehicle", "locacao_nk", "inicio", "CASE WHEN l_linenumber <> 6 THEN inicio + make_dt_interval(0, horas) END AS fim")
