@@ -3,8 +3,8 @@
 The frequent words form a trie, kept as a distributed table of edges between prefixes. States (word, node, rest) say that an edit
 has been made and that the rest of the word must follow below the node. Level by level all states are joined with the edges: a
 state follows the next letter of its rest, while the words themselves walk down their own path and branch off into states that
-skip a letter, or enter any other child with an additional or a replaced letter. A state without rest at the node of a word has
-found a neighbour.
+skip a letter, or enter another child in place of the next letter. A state without rest at the node of a word has found a
+neighbour; words with a letter more are found from the other side.
 
 Near the root a trie is dense, and every branch would survive for long. One edit leaves either the first or the second half of a
 word as it is, so there are two tries, of the words and of the reversed words, and branching begins in the middle, where tries are
@@ -101,12 +101,12 @@ def _frontier(words: DataFrame, least_letters: int) -> DataFrame:
         own = (paths.filter(at <= F.col("size"))
                .select("word", F.substring("path", F.lit(1), at).alias("node"), _after("path", at + 1).alias("rest")))
         letter, follows = _char("rest", 1), _after("rest", 2)
-        # Of equal letters in a row the last one is skipped, and a letter is added only before another one.
+        # One side of a pair is enough: the longer word skips a letter, of two equally long ones that with the smaller letter
+        # replaces it. Of equal letters in a row the last one is skipped.
         skipped = own.filter((F.col("rest") != "") & (letter != _char("rest", 2))).select("word", "node", follows.alias("rest"))
-        other = own.join(edges, own["node"] == edges["parent"]).filter(_char("child", F.length("child")) != letter)
-        added = other.select("word", F.col("child").alias("node"), "rest")
-        replaced = other.filter("rest <> ''").select("word", F.col("child").alias("node"), follows.alias("rest"))
-        states = skipped.unionByName(added).unionByName(replaced)
+        replaced = (own.filter("rest <> ''").join(edges, own["node"] == edges["parent"]).filter(_char("child", F.length("child")) > letter)
+                    .select("word", F.col("child").alias("node"), follows.alias("rest")))
+        states = skipped.unionByName(replaced)
         if levels:
             moved = (levels[-1].filter("rest <> ''").select("word", F.concat("node", letter).alias("child"), follows.alias("rest"))
                      .join(edges.select("child"), "child").select("word", F.col("child").alias("node"), "rest"))
@@ -115,7 +115,13 @@ def _frontier(words: DataFrame, least_letters: int) -> DataFrame:
     if not levels:
         return words.select("word", F.col("word").alias("near")).limit(0)
     found = reduce(DataFrame.unionByName, [x.filter("rest = ''").select("word", F.col("node").alias("path")) for x in levels])
-    return found.join(paths.select("path", F.col("word").alias("near")), "path").select("word", "near").distinct()
+    pairs = found.join(paths.select("path", F.col("word").alias("near")), "path").select("word", "near").distinct()
+    return _both_ways(pairs, "word", "near")
+
+
+def _both_ways(pairs: DataFrame, a: str, b: str) -> DataFrame:
+    return pairs.select(F.explode(F.array(F.struct(F.col(a).alias("word"), F.col(b).alias("near")),
+                                          F.struct(F.col(b).alias("word"), F.col(a).alias("near")))).alias("p")).select("p.*")
 
 
 def _lacking_one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,8 +156,7 @@ def _long_neighbours(words: DataFrame) -> DataFrame:
     pairs = longer.unionByName(replaced).distinct()
     pairs = (pairs.join(named.select(F.col("id").alias("a"), F.col("word").alias("x")), "a")
              .join(named.select(F.col("id").alias("b"), F.col("word").alias("y")), "b").filter(F.levenshtein("x", "y", 1) == 1))
-    return pairs.select(F.explode(F.array(F.struct(F.col("x").alias("word"), F.col("y").alias("near")),
-                                          F.struct(F.col("y").alias("word"), F.col("x").alias("near")))).alias("p")).select("p.*")
+    return _both_ways(pairs, "x", "y")
 
 
 def neighbours(words: DataFrame, least_letters: int = LEAST_LETTERS) -> DataFrame:
