@@ -217,6 +217,10 @@ def conf_locacao(stg: Tables, veiculo: DataFrame, grupo: DataFrame, as_of) -> Da
         "estado_entrega", "estado_devolucao", "dt_extracao")
 
 
+# What the billings of a rental come to together.
+BILLING_LABELS = PENDING, LATE, PAID, CANCELLED, MIXED = "pendente", "em_atraso", "pago", "cancelada", "parcial"
+
+
 def conf_cobranca(stg: Tables) -> DataFrame:
     """One row per rental. A plain aggregate: partial counts and sums are combined map-side."""
     status = R.billing_status("status")
@@ -230,15 +234,15 @@ def conf_cobranca(stg: Tables) -> DataFrame:
         every.alias("qtd_cobrancas"),
         F.sum(F.coalesce("valor", F.lit(0).cast(R.MONEY))).cast("decimal(12,2)")
         .alias("valor_cobranca"),
-        having("pendente").alias("_pendente"), having("em_atraso").alias("_atraso"),
-        having("pago").alias("_pago"), having("cancelada").alias("_cancelada"),
+        having(PENDING).alias("_pendente"), having(LATE).alias("_atraso"),
+        having(PAID).alias("_pago"), having(CANCELLED).alias("_cancelada"),
         F.max("data_pagamento").alias("data_ultimo_pagamento"),
         F.max("dt_extracao").alias("dt_extracao"))
-    consolidated = (F.when(F.col("_pendente") > 0, "pendente")
-                    .when(F.col("_atraso") > 0, "em_atraso")
-                    .when(F.col("_pago") == F.col("qtd_cobrancas"), "pago")
-                    .when(F.col("_cancelada") == F.col("qtd_cobrancas"), "cancelada")
-                    .otherwise("parcial"))
+    consolidated = (F.when(F.col("_pendente") > 0, PENDING)
+                    .when(F.col("_atraso") > 0, LATE)
+                    .when(F.col("_pago") == F.col("qtd_cobrancas"), PAID)
+                    .when(F.col("_cancelada") == F.col("qtd_cobrancas"), CANCELLED)
+                    .otherwise(MIXED))
     return totals.select(
         _nk("src_locacao_id").alias("locacao_nk"), "grupo_fonte", "src_locacao_id",
         "qtd_cobrancas", "valor_cobranca", consolidated.alias("status_cobranca"),

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rodovia.plans.conform import unpivot_counts
-from rodovia.plans.quality import dangling_rows, stack
+from rodovia.plans.quality import reference_audit, stack
 from rodovia.sources.extract import duplicate_keys
 
 Tables = Mapping[str, DataFrame]
@@ -133,12 +133,8 @@ def uniqueness(oltp: Tables) -> DataFrame:
 
 
 def foreign_keys(oltp: Tables) -> DataFrame:
-    """(tabela, coluna, pai, orfaos) for every reference."""
-    return stack(
-        dangling_rows(oltp[r.child], r.column, oltp[r.parent], r.key)
-        .select(F.lit(r.child).alias("tabela"), F.lit(r.column).alias("coluna"),
-                F.lit(r.parent).alias("pai"), "orfaos")
-        for r in REFERENCES)
+    """(tabela, coluna, pai, orfaos) for every reference; every table is read once."""
+    return reference_audit(oltp, [(r.child, r.column, r.parent, r.key) for r in REFERENCES]).drop("nulos")
 
 
 def _impact(oltp: Tables, table: str, doomed: DataFrame, seen: tuple[str, ...]):

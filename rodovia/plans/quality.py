@@ -8,8 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rodovia.functions import rules as R
+from rodovia.operators.distinct import distinct_counts
 from rodovia.plans import star
-from rodovia.plans.conform import REFERENCES, unpivot_counts
+from rodovia.plans.conform import BILLING_LABELS, REFERENCES, resolve, unpivot_counts
 from rodovia.plans.views import VIEWS
 from rodovia.sources.extract import duplicate_keys
 
@@ -49,6 +50,16 @@ def reconcile(pairs: Mapping[str, tuple[DataFrame, DataFrame]], left: str, right
         *[F.sum(F.when(F.col("lado") == s, F.col("qtd"))).alias(s) for s in (left, right)])
 
 
+def staged_and_conformed(stg: Tables, conf: Tables, entities: Sequence[str]) -> DataFrame:
+    """Rows per entity in both tiers; companies have no staging table and count as the distinct ones that yards name."""
+    name = F.coalesce(F.col("src_empresa_id").cast("string"), "nome_empresa")
+    companies = distinct_counts(stg["patio"], {"empresa": F.concat(F.col("grupo_fonte").cast("string"), F.lit("-"), name)})
+    counted = reconcile({e: (stg[e], conf[f"conf_{e}"]) for e in entities}, "qtd_staging", "qtd_transform")
+    held = _count(conf["conf_empresa"], expressao="empresa").withColumnRenamed("qtd", "qtd_transform")
+    return counted.unionByName(companies.join(held, "expressao").select(
+        F.col("expressao").alias("entidade"), F.col("qtd").alias("qtd_staging"), "qtd_transform"))
+
+
 def additive_reconciliation(conf: Tables, dw: Tables) -> DataFrame:
     """Conformed row counts against the summed counters of the facts."""
     parts = (("reservas", "conf_reserva", "fato_reserva", "qtd_reservas"),
@@ -133,6 +144,16 @@ def null_audit(tables: Tables, required: Mapping[str, Sequence[str]],
 # Columns that must be filled, per tier.
 REQUIRED_STAGING = {"cliente": ["src_id", "nome"], "veiculo": ["src_id", "placa"],
                     "condutor": ["src_id", "cnh"]}
+# Of the conformed tier: natural keys, and references and dates that a row must have (markers of ``resolve`` included).
+REQUIRED_CONFORMED = {
+    "conf_cliente": {"nk_nulo": ["cliente_nk"]},
+    "conf_condutor": {"nk_nulo": ["condutor_nk", "cliente_nk"], "fk_nula": ["src_cliente_id"]},
+    "conf_veiculo": {"nk_nulo": ["veiculo_nk"], "fk_nula": ["grupo_veiculo_nk", "sk_grupo"]},
+    "conf_reserva": {"nk_nulo": ["reserva_nk"],
+                     "fk_nula": ["sk_cliente", "sk_grupo", "sk_patio_retirada", "data_reserva", "data_inicio"]},
+    "conf_locacao": {"nk_nulo": ["locacao_nk"],
+                     "fk_nula": ["sk_cliente", "sk_condutor", "sk_veiculo", "sk_patio_retirada", "data_registro"]},
+}
 REQUIRED_DW = {
     "dim_cliente": ["cliente_id", "nome", "tipo"],
     "dim_veiculo": ["veiculo_id", "placa", "status", "sk_grupo_veiculo", "sk_empresa"],
@@ -147,10 +168,22 @@ UNIQUE_CONFORMED = {
     "conf_locacao": "locacao_nk", "conf_cobranca": "locacao_nk",
     "conf_movimentacao_patio": "movimentacao_patio_nk",
 }
+CONFORMED_BY_SOURCE = ("conf_cliente", "conf_condutor", "conf_grupo_veiculo", "conf_empresa", "conf_patio", "conf_veiculo",
+                       "conf_reserva", "conf_locacao", "conf_movimentacao_patio")
 UNIQUE_DW = {**{d.name: d.nk for d in star.DIMENSIONS.values()},
              **{f.name: f.nk for f in star.FACTS.values()}, "dim_tempo": "data"}
 
 
+def conformed_nulls(conf: Tables) -> DataFrame:
+    """(tabela, tipo, nulos): conformed rows without a natural key, or without a reference or date they must have."""
+    def one(name: str, kinds: Mapping[str, Sequence[str]]) -> DataFrame:
+        rows = resolve(conf, name) if any(c.startswith("sk_") for cols in kinds.values() for c in cols) else conf[name]
+        counted = rows.agg(*[F.count_if(reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])).alias(kind)
+                             for kind, cols in kinds.items()])
+        return unpivot_counts(counted, "tipo", "nulos").select(F.lit(name).alias("tabela"), "tipo", "nulos")
+    return stack(one(n, k) for n, k in REQUIRED_CONFORMED.items())
+
+
 def duplicates_summary(tables: Tables, keys: Mapping[str, Sequence[str] | str]) -> DataFrame:
     """Per table: how many keys occur more than once and how many rows they hold."""
     def one(name: str, key) -> DataFrame:
@@ -210,31 +243,41 @@ def log_against_staging(entries: DataFrame, staging: Tables) -> DataFrame:
 
 # --- references -----------------------------------------------------------------------------------
 
-def dangling_rows(child: DataFrame, column: str, parent: DataFrame, key: str) -> DataFrame:
-    """One row: child rows whose non-null reference has no parent.
+def reference_audit(tables: Tables, refs: Sequence[tuple[str, str, str, str]]) -> DataFrame:
+    """(tabela, coluna, pai, nulos, orfaos) for references (child, column, parent, key).
 
-    Rows are counted per reference first, so a reference that a third of the table shares reaches
-    the anti join as a single row.
+    Every child is read once, whatever the number of its references, and every parent once: rows are counted per reference and
+    value before they meet the keys, so a value that a third of a child shares reaches the join as a single row.
     """
-    refs = (child.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("_ref"))
-            .agg(F.count("*").alias("_n")))
-    known = parent.select(F.col(key).alias("_ref"))
-    return refs.join(known, "_ref", "left_anti").agg(
-        F.coalesce(F.sum("_n"), F.lit(0).cast("bigint")).alias("orfaos"))
+    numbered = list(enumerate(refs))
+
+    def used(df: DataFrame, columns: Sequence[tuple[int, str]]) -> DataFrame:
+        pairs = F.array(*[F.struct(F.lit(i).alias("_r"), F.col(c).cast("string").alias("_v")) for i, c in columns])
+        return df.select(F.explode(pairs).alias("x")).select("x.*")
+
+    def by_table(of: int, column: int) -> dict[str, list[tuple[int, str]]]:
+        out: dict[str, list[tuple[int, str]]] = {}
+        for i, ref in numbered:
+            out.setdefault(ref[of], []).append((i, ref[column]))
+        return out
+
+    asked = stack(used(tables[t], columns).groupBy("_r", "_v").agg(F.count("*").alias("_n")) for t, columns in by_table(0, 1).items())
+    held = stack(used(tables[t], columns).distinct() for t, columns in by_table(2, 3).items()).withColumn("_held", F.lit(True))
+    missing = F.col("_v").isNotNull() & F.col("_held").isNull()
+    found = asked.join(held, ["_r", "_v"], "left").groupBy("_r").agg(
+        F.sum(F.when(F.col("_v").isNull(), F.col("_n"))).alias("nulos"), F.sum(F.when(missing, F.col("_n"))).alias("orfaos"))
+    spark = tables[refs[0][0]].sparkSession
+    labels = spark.createDataFrame([(i, t, c, p) for i, (t, c, p, _) in numbered], "_r int, tabela string, coluna string, pai string")
+    zero = F.lit(0).cast("bigint")
+    return labels.join(found, "_r", "left").select("tabela", "coluna", "pai", F.coalesce("nulos", zero).alias("nulos"),
+                                                   F.coalesce("orfaos", zero).alias("orfaos"))
 
 
 def unresolved_dimensions(conf: Tables) -> DataFrame:
     """Conformed rows whose reference is NULL or unknown, per fact and reference."""
-    def one(name, column, target, key):
-        bad = dangling_rows(conf[name], column, conf[target], key)
-        null = conf[name].agg(F.count_if(F.col(column).isNull()).alias("nulos"))
-        parts = null.select("nulos", F.lit(0).cast("bigint").alias("orfaos")).union(
-            bad.select(F.lit(0).cast("bigint").alias("nulos"), "orfaos"))
-        return parts.agg(F.sum("nulos").alias("nulos"), F.sum("orfaos").alias("orfaos")).select(
-            F.lit(name).alias("tabela"), F.lit(column).alias("referencia"), "nulos", "orfaos")
-    return stack(one(name, column, target, key)
-                 for name in ("conf_reserva", "conf_locacao", "conf_movimentacao_patio")
-                 for column, target, key, _ in REFERENCES[name])
+    refs = [(name, column, target, key) for name in ("conf_reserva", "conf_locacao", "conf_movimentacao_patio")
+            for column, target, key, _ in REFERENCES[name]]
+    return reference_audit(conf, refs).select("tabela", F.col("coluna").alias("referencia"), "nulos", "orfaos")
 
 
 # Surrogate keys of each fact (and of dim_veiculo) and the dimension they point at.
@@ -265,10 +308,7 @@ TIME_KEYS = [
 
 
 def orphan_keys(dw: Tables) -> DataFrame:
-    return stack(
-        dangling_rows(dw[t], column, dw[dim], key)
-        .select(F.lit(t).alias("tabela"), F.lit(column).alias("chave"), "orfaos")
-        for t, column, dim, key in STAR_KEYS)
+    return reference_audit(dw, STAR_KEYS).select("tabela", F.col("coluna").alias("chave"), "orfaos")
 
 
 def date_key_usage(dw: Tables) -> DataFrame:
@@ -331,7 +371,8 @@ def fact_measures(dw: Tables) -> DataFrame:
             & c("sk_tempo_devolucao_prevista").isNotNull())
     res = dw["fato_reserva"].agg(
         F.count_if(~c("qtd_reservas").eqNullSafe(1)).alias("qtd_invalida"),
-        F.count_if(c("dias_reservados") <= 0).alias("dias_invalidos"))
+        F.count_if(c("dias_reservados") <= 0).alias("dias_invalidos"),
+        F.count_if(c("dias_reservados") < 0).alias("dias_negativos"))
     loc = dw["fato_locacao"].agg(
         F.count_if(~c("qtd_locacoes").eqNullSafe(1)).alias("qtd_invalida"),
         *[F.count_if(c(m) < 0).alias(f"{m}_negativo") for m in
@@ -379,7 +420,7 @@ DOMAINS = {
     ("dim_veiculo", "tipo_mecanizacao"): ["automatico", "manual"],
     ("dim_veiculo", "status"): _labels(R.VEHICLE_STATUS, R.VEHICLE_STATUS_OTHER),
     ("fato_reserva", "status_reserva"): _labels(R.RESERVATION_STATUS, R.RESERVATION_STATUS_OTHER),
-    ("fato_locacao", "status_cobranca"): ["cancelada", "em_atraso", "parcial", "pago", "pendente"],
+    ("fato_locacao", "status_cobranca"): sorted(BILLING_LABELS),
 }
 
 

@@ -13,13 +13,17 @@ Tables = Mapping[str, DataFrame]
 
 
 def monthly_revenue(dw: Tables) -> DataFrame:
+    return revenue_of(V.locacoes_por_mes(dw))
+
+
+def revenue_of(months: DataFrame) -> DataFrame:
     """Revenue per month, its three-month moving average and the change on the month before.
 
     The ordered window runs over one row per month of history.
     """
     chronological = Window.orderBy(F.col("ano").asc_nulls_last(), F.col("mes").asc_nulls_last())
     revenue = F.col("valor_total_cobrado")
-    return V.locacoes_por_mes(dw).select(
+    return months.select(
         "ano", "mes", "nome_mes", "total_locacoes",
         F.round(revenue, 2).alias("receita_total"),
         F.round(F.avg(revenue).over(chronological.rowsBetween(-2, 0)), 2).alias("media_movel_3m"),

@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rodovia.functions import rules as R
 from rodovia.functions.calendar import calendar_attributes, continuous_days, date_bounds
@@ -142,14 +144,44 @@ def dim_veiculo_candidates(conf: Tables, dims: Tables) -> DataFrame:
         (F.col("sk_grupo_veiculo").isNull() | F.col("sk_empresa").isNull()).alias(ORPHAN))
 
 
-def _outside(calendar, *dates: str) -> Column:
-    """True when a non-null date lies outside the stored calendar."""
+@dataclass(frozen=True)
+class Calendar:
+    """What a gate needs to know of dim_tempo: its bounds, and the days it lacks between them."""
+
+    low: dt.date
+    high: dt.date
+    missing: tuple[dt.date, ...] = ()
+
+
+def calendar_gaps(dim_tempo: DataFrame) -> DataFrame:
+    """(data): the days missing between the runs of consecutive days of a calendar.
+
+    The window orders the calendar itself, a row per day of history.
+    """
+    following = dim_tempo.select("data", F.lead("data").over(Window.orderBy("data")).alias("proxima"))
+    return (following.filter(F.datediff("proxima", "data") > 1)
+            .select(F.explode(F.sequence(F.date_add("data", 1), F.date_sub("proxima", 1))).alias("data")))
+
+
+def calendar_of(dim_tempo: DataFrame) -> Calendar | None:
+    """None for an empty calendar. The driver gets at most a date per day of history."""
+    low, high = dim_tempo.agg(F.min("data"), F.max("data")).first()
+    if low is None:
+        return None
+    return Calendar(low, high, tuple(sorted(r["data"] for r in calendar_gaps(dim_tempo).collect())))
+
+
+def _outside(calendar: Calendar | None, *dates: str) -> Column:
+    """True when the calendar has no row for a non-null date: outside its bounds, or in a gap."""
     if calendar is None:
         return F.lit(False)
-    low, high = (F.lit(d).cast("date") for d in calendar)
+    low, high = (F.lit(d).cast("date") for d in (calendar.low, calendar.high))
     out = F.lit(False)
     for d in dates:
-        out = out | F.coalesce((F.col(d) < low) | (F.col(d) > high), F.lit(False))
+        absent = (F.col(d) < low) | (F.col(d) > high)
+        if calendar.missing:
+            absent = absent | F.col(d).cast("date").isin(*calendar.missing)
+        out = out | F.coalesce(absent, F.lit(False))
     return out
 
 
@@ -161,9 +193,9 @@ def _dangling(nk: str, sk: str) -> Column:
     return F.col(nk).isNotNull() & F.col(sk).isNull()
 
 
-def reserva_candidates(conf: Tables, dims: Tables, calendar=None) -> DataFrame:
+def reserva_candidates(conf: Tables, dims: Tables, calendar: Calendar | None = None) -> DataFrame:
     """Reservation facts plus the orphan flags; time keys are a function of the date itself, so no
-    calendar join is needed, only a check against the calendar's bounds."""
+    calendar join is needed, only a check against the calendar's bounds and gaps."""
     rows = conf["conf_reserva"]
     rows = _look_up(rows, dims["dim_cliente"], "cliente_id", "cliente_nk",
                     {"sk_cliente": "sk_cliente"})
@@ -192,7 +224,7 @@ def reserva_candidates(conf: Tables, dims: Tables, calendar=None) -> DataFrame:
         .alias("_sem_tempo"))
 
 
-def locacao_candidates(conf: Tables, dims: Tables, calendar=None) -> DataFrame:
+def locacao_candidates(conf: Tables, dims: Tables, calendar: Calendar | None = None) -> DataFrame:
     billing = conf["conf_cobranca"].select(
         "grupo_fonte", F.col("src_locacao_id").alias("src_id"),
         F.col("valor_cobranca").alias("_cobrado"), "status_cobranca")
@@ -232,7 +264,7 @@ def locacao_candidates(conf: Tables, dims: Tables, calendar=None) -> DataFrame:
         _outside(calendar, *dates).alias("_sem_tempo"))
 
 
-def movimentacao_candidates(conf: Tables, dims: Tables, calendar=None) -> DataFrame:
+def movimentacao_candidates(conf: Tables, dims: Tables, calendar: Calendar | None = None) -> DataFrame:
     rows = conf["conf_movimentacao_patio"]
     rows = _look_up(rows, dims["dim_veiculo"], "veiculo_id", "veiculo_nk",
                     {"sk_veiculo": "sk_veiculo"})

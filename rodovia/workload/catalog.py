@@ -13,9 +13,10 @@ from rodovia.functions import rules as R
 from rodovia.functions.calendar import calendar_attributes, continuous_days, date_bounds
 from rodovia.operators import keys as K, merge as M
 from rodovia.operators.dedup import latest_per_key
+from rodovia.operators.distinct import distinct_counts
 from rodovia.operators.store import TableStore
 from rodovia.operators.timeslice import with_sequence
-from rodovia.plans import (integrity as I, operational as P, quality as Q, refresh, reports, star,
+from rodovia.plans import (integrity as I, maintained, operational as P, quality as Q, refresh, reports, star,
                            views)
 from rodovia.plans.conform import (REFERENCES as CONF_REFERENCES, conf_tempo, conformed, resolve,
                                    staging_dates, staging_warnings, store_conformed)
@@ -102,6 +103,10 @@ def plain(name: str, columns: str, sql: str | None, build: Callable[[Context], D
     query(name, columns, sql)(build)
 
 
+def ua(parts) -> str:
+    return " union all ".join(parts)
+
+
 # --- rules ----------------------------------------------------------------------------------------
 
 def _rule(name: str, table: str, cte: str, sql: str, expr: Callable[[], Column], kind: str = "s",
@@ -519,6 +524,231 @@ plain("source_mapping_g4_cobranca", "src_id:i valor:d status:s data_pagamento:s"
       "case when o_orderstatus<>'P' then cast(o_orderdate as date) end data_pagamento from orders",
       lambda x: MAP.g4_cobranca(g4_source(x), MAP.Options(), None))
 
+def g1_source(x: Context) -> FrameSource:
+    c, k = F.col, F.col("c_custkey")
+    yes = (c("p_size") % 2 == 0)
+    return FrameSource({
+        "cliente": x.table("customer").select(k.alias("id"), c("c_name").alias("nome"), c("c_mktsegment").alias("tipo"),
+                                              c("c_nationkey").cast("string").alias("cidade")),
+        "condutor": x.table("customer").select(
+            (k + 1).alias("id"), k.alias("cliente_id"), c("c_name").alias("nome"), k.cast("string").alias("cnh"),
+            F.lit("2027-01-01").cast("date").alias("validade"), c("c_mktsegment").alias("categoria")),
+        "grupo_veiculo": x.categories.select(c("tid").alias("id"), c("p_type").alias("nome"), c("p_type").alias("categoria"), "diaria"),
+        "empresa_locadora": x.table("region").select(c("r_regionkey").alias("id"), c("r_name").alias("nome")),
+        "veiculo": x.table("part").select(
+            c("p_partkey").alias("id"), c("p_name").alias("placa"), c("p_brand").alias("chassi"), c("p_name").alias("modelo"),
+            c("p_brand").alias("marca"), F.lit("azul").alias("cor"), c("p_type").alias("tipo_mecanizacao"), yes.alias("ar_condicionado"),
+            (~yes).alias("adaptado_cadeirante"), c("p_type").alias("status"), (c("p_partkey") % 6).alias("grupo_id"),
+            (c("p_partkey") % 8).cast("int").alias("empresa_id")),
+        "patio": x.table("nation").select(c("n_nationkey").alias("id"), c("n_name").alias("nome"),
+                                          c("n_regionkey").cast("string").alias("cidade")),
+        "vaga": x.table("supplier").select(c("s_name").alias("codigo"), c("s_nationkey").alias("patio_id"),
+                                           F.when(c("s_suppkey") % 3 == 0, "ocupada").otherwise("livre").alias("status")),
+        "reserva": x.table("orders").select(
+            c("o_orderkey").alias("id"), c("o_custkey").alias("cliente_id"), (c("o_orderkey") % 6).alias("grupo_id"),
+            (c("o_orderkey") % 25).alias("patio_retirada_id"), (c("o_orderkey") % 7).alias("patio_devolucao_id"),
+            c("o_orderdate").alias("data_inicio"), c("o_orderdate").alias("data_fim"),
+            F.when(c("o_orderkey") % 4 == 0, "cancelada").otherwise("confirmada").alias("status")),
+        "locacao": x.table("orders").select(
+            c("o_orderkey").alias("id"), c("o_orderkey").alias("reserva_id"), (c("o_orderkey") % 99).alias("veiculo_id"),
+            (c("o_custkey") + 1).alias("condutor_id"), (c("o_orderkey") % 25).alias("patio_retirada_id"),
+            (c("o_orderkey") % 7).alias("patio_devolucao_id"), c("o_orderdate").alias("data_retirada_prevista"),
+            c("o_orderdate").alias("data_retirada_realizada"), c("o_orderdate").alias("data_devolucao_prevista"),
+            F.when(c("o_orderkey") % 3 != 0, c("o_orderdate")).alias("data_devolucao_realizada"),
+            (c("o_orderkey") % 1000).cast("int").alias("km_entrega"), (c("o_orderkey") % 1500).cast("int").alias("km_devolucao"),
+            F.lit("ok").alias("estado_entrega"), F.lit("ok").alias("estado_devolucao"), c("o_orderdate").alias("created_at")),
+        "cobranca": x.table("orders").select(
+            c("o_orderkey").alias("id"), c("o_orderkey").alias("locacao_id"), money("o_totalprice").alias("valor"),
+            F.when(c("o_orderkey") % 2 == 0, "pendente").otherwise("pago").alias("status"),
+            c("o_orderdate").cast("date").alias("data_pagamento")),
+        "movimentacao_patio": x.table("events").select(
+            c("event_id").alias("id"), c("user_id").alias("veiculo_id"), (c("user_id") % 25).alias("origem_patio_id"),
+            (c("event_id") % 25).alias("destino_patio_id"), c("ts").alias("data_movimentacao"), c("event_type").alias("motivo")),
+    })
+
+
+def _more_of_g3(x: Context) -> FrameSource:
+    """Source 3 with the tables that its other mappings read."""
+    c, k, g3 = F.col, F.col("c_custkey"), g3_source(x)
+    return FrameSource({
+        **g3.tables,
+        "empresa": x.table("region").select(c("r_regionkey").alias("id_empresa"), c("r_name").alias("nome_empresa")),
+        "motorista": x.table("customer").select(
+            (k + 1).alias("id_motorista"), k.alias("id_cliente"), c("c_name").alias("nome_motorista"), k.cast("string").alias("numero_cnh"),
+            F.lit("2027-01-01").cast("date").alias("validade_cnh"), c("c_mktsegment").alias("categoria_cnh")),
+        "categoria": x.categories.select(c("tid").alias("id_categoria"), c("p_type").alias("nome_categoria"),
+                                         c("p_type").alias("descricao_categoria"), c("diaria").alias("valor_diaria_base")),
+        "veiculo": x.table("part").select(
+            c("p_partkey").alias("id_veiculo"), c("p_name").alias("placa"), c("p_brand").alias("chassi"), c("p_name").alias("modelo"),
+            c("p_brand").alias("marca"), c("p_type").alias("tipo_cambio"), (c("p_size") % 3).alias("possui_ar_condicionado"),
+            c("p_type").alias("status_veiculo"), (c("p_partkey") % 6).alias("id_categoria"), (c("p_partkey") % 8).cast("int").alias("id_empresa")),
+        "patio": x.table("nation").select(
+            c("n_nationkey").alias("id_patio"), c("n_name").alias("nome_patio"), c("n_nationkey").alias("id_endereco"),
+            (c("n_regionkey") * 2).alias("id_empresa"), (c("n_nationkey") * 20).alias("capacidade")),
+    })
+
+
+def _more_of_g4(x: Context) -> FrameSource:
+    c, k, g4 = F.col, F.col("c_custkey"), g4_source(x)
+    return FrameSource({
+        **g4.tables,
+        "cliente": x.table("customer").select(k.alias("id_cliente"), c("c_name").alias("nome_razao_social"),
+                                              c("c_mktsegment").alias("tipo_cliente")),
+        "motorista": x.table("customer").select(
+            k.alias("id_motorista"), (k % 50).alias("id_cliente"), c("c_name").alias("nome_condutor"), k.cast("string").alias("numero_cnh"),
+            F.lit("2027-01-01").cast("date").alias("data_expiracao_cnh"), c("c_mktsegment").alias("categoria_habilitacao")),
+        "grupo_veiculo": x.categories.select(c("tid").alias("id_grupo"), c("p_type").alias("nome_categoria"),
+                                             c("p_type").alias("classe_luxo"), c("diaria").alias("valor_diaria")),
+        "patio": x.table("nation").select(c("n_nationkey").alias("id_patio"), c("n_name").alias("nome_localizacao"),
+                                          (c("n_nationkey") * 20).alias("capacidade_vagas"), c("n_name").alias("empresa_dona")),
+        "reserva": x.table("orders").select(
+            c("o_orderkey").alias("id_reserva"), c("o_custkey").alias("id_cliente"), (c("o_orderkey") % 6).alias("id_grupo"),
+            (c("o_orderkey") % 25).alias("id_patio_retirada"), c("o_orderdate").alias("data_hora_solicitacao"),
+            c("o_orderdate").alias("data_hora_retirada_prevista"), c("o_orderdate").alias("data_hora_devolucao_prevista"),
+            F.when(c("o_orderkey") % 5 == 0, "CANCELADA").when(c("o_orderkey") % 5 != 4, "ok").alias("status_reserva")),
+    })
+
+
+def _mapped(number: int, source: Callable[[Context], FrameSource], entity: str, columns: str, sql: str) -> None:
+    """One mapping of a source, by the function that an extraction of the source would call."""
+    mapping = next(m for m in MAP.MAPPINGS[number] if m.entity == entity)
+    plain(f"source_mapping_g{number}_{entity}_all" if f"source_mapping_g{number}_{entity}" in QUERIES else f"source_mapping_g{number}_{entity}",
+          columns, sql, lambda x: mapping.frame(source(x), MAP.Options(), mark(x, entity, number) if mapping.incremental else None))
+
+
+_PEOPLE = "src_id:i nome:s tipo:s cidade:s"
+_mapped(1, g1_source, "cliente", _PEOPLE,
+        "select c_custkey src_id, c_name nome, c_mktsegment tipo, cast(c_nationkey as varchar) cidade from customer")
+_mapped(2, g2_source, "cliente", _PEOPLE + " uf:s email:s telefone:s",
+        "select c_custkey src_id, c_name nome, 'PF' tipo, n_name cidade, 'RJ' uf, c_mktsegment email, c_name telefone from customer "
+        "join nation on n_nationkey = c_nationkey")
+_mapped(4, _more_of_g4, "cliente", "src_id:i nome:s tipo:s", "select c_custkey src_id, c_name nome, c_mktsegment tipo from customer")
+_DRIVERS = "src_id:i src_cliente_id:i nome:s cnh:s validade:s categoria:s"
+for _n, _source, _id, _client in ((1, g1_source, "c_custkey + 1", "c_custkey"), (3, _more_of_g3, "c_custkey + 1", "c_custkey"),
+                                  (4, _more_of_g4, "c_custkey", "c_custkey % 50")):
+    _mapped(_n, _source, "condutor", _DRIVERS, f"select {_id} src_id, {_client} src_cliente_id, c_name nome, "
+            "cast(c_custkey as varchar) cnh, date '2027-01-01' validade, c_mktsegment categoria from customer")
+_mapped(2, g2_source, "condutor", "src_id:i src_cliente_id:i nome:s cnh:s",
+        "select c_custkey src_id, c_custkey src_cliente_id, c_name nome, cast(c_custkey as varchar) cnh from customer where c_custkey%4<>0")
+for _n, _source in ((1, g1_source), (2, g2_source), (3, _more_of_g3), (4, _more_of_g4)):
+    _mapped(_n, _source, "grupo_veiculo", "src_id:i nome:s categoria:s diaria:d",
+            "select tid src_id, p_type nome, p_type categoria, diaria from p_tipos")
+_mapped(1, g1_source, "veiculo", "src_id:i placa:s marca:s cor:s ar_condicionado:b adaptado_cadeirante:b src_grupo_id:i src_empresa_id:i "
+        "nome_empresa:s", "select p_partkey src_id, p_name placa, p_brand marca, 'azul' cor, p_size%2=0 ar_condicionado, "
+        "p_size%2<>0 adaptado_cadeirante, p_partkey%6 src_grupo_id, p_partkey%8 src_empresa_id, r_name nome_empresa from part "
+        "join region on r_regionkey = p_partkey%8")
+_mapped(2, g2_source, "veiculo", "src_id:i placa:s chassi:s modelo:s marca:s src_grupo_id:i status:s",
+        "select p_partkey src_id, p_name placa, p_brand chassi, p_name modelo, p_brand marca, p_partkey%6 src_grupo_id, "
+        "case when s_suppkey is not null then 'alugado' else 'disponivel' end status from part "
+        "left join supplier on s_suppkey = p_partkey and s_suppkey%3=0")
+_mapped(3, _more_of_g3, "veiculo", "src_id:i placa:s tipo_mecanizacao:s ar_condicionado:b status:s src_grupo_id:i src_empresa_id:i nome_empresa:s",
+        "select p_partkey src_id, p_name placa, p_type tipo_mecanizacao, p_size%3=1 ar_condicionado, p_type status, p_partkey%6 src_grupo_id, "
+        "p_partkey%8 src_empresa_id, r_name nome_empresa from part join region on r_regionkey = p_partkey%8")
+_mapped(4, _more_of_g4, "veiculo", "src_id:i placa:s chassi:s modelo:s marca:s tipo_mecanizacao:s status:s src_grupo_id:i",
+        "select p_partkey src_id, p_name placa, p_brand chassi, p_name modelo, p_brand marca, p_type tipo_mecanizacao, p_type status, "
+        "p_partkey%6 src_grupo_id from part")
+_mapped(1, g1_source, "patio", "src_id:i nome:s cidade:s",
+        "select n_nationkey src_id, n_name nome, cast(n_regionkey as varchar) cidade from nation")
+_mapped(3, _more_of_g3, "patio", "src_id:i nome:s cidade:s capacidade:i src_empresa_id:i nome_empresa:s",
+        "select n_nationkey src_id, n_name nome, n_name cidade, n_nationkey*20 capacidade, n_regionkey*2 src_empresa_id, r_name nome_empresa "
+        "from nation join region on r_regionkey = n_regionkey*2")
+_mapped(4, _more_of_g4, "patio", "src_id:i nome:s capacidade:i nome_empresa:s",
+        "select n_nationkey src_id, n_name nome, n_nationkey*20 capacidade, n_name nome_empresa from nation")
+_mapped(1, g1_source, "vaga", "codigo:s src_patio_id:i status:s", "select s_name codigo, s_nationkey src_patio_id, "
+        "case when s_suppkey%3=0 then 'ocupada' else 'livre' end status from supplier")
+_mapped(2, g2_source, "vaga", "codigo:s src_patio_id:i status:s", "select cast(s_suppkey as varchar) codigo, s_nationkey src_patio_id, "
+        "case when s_suppkey%3=0 then 'ocupada' else 'livre' end status from supplier")
+_mapped(4, _more_of_g4, "reserva", "src_id:i src_cliente_id:i src_grupo_id:i src_patio_retirada_id:i data_solicitacao:s status:s",
+        "select o_orderkey src_id, o_custkey src_cliente_id, o_orderkey%6 src_grupo_id, o_orderkey%25 src_patio_retirada_id, "
+        "o_orderdate data_solicitacao, case when o_orderkey%5=0 then 'CANCELADA' when o_orderkey%5<>4 then 'ok' end status from orders "
+        f"where o_orderdate >= {sql_mark('reserva', 4)} or o_orderkey%5=0")
+_mapped(3, _more_of_g3, "cobranca", "src_id:i src_locacao_id:i valor:d status:s data_pagamento:s",
+        "select o_orderkey src_id, o_orderkey src_locacao_id, cast(o_totalprice as decimal(10,2)) valor, "
+        "case when o_orderstatus<>'O' then 'pago' else 'pendente' end status, "
+        "case when o_orderstatus<>'O' then cast(o_orderdate as date) end data_pagamento from orders")
+_mapped(4, _more_of_g4, "cobranca", "src_id:i src_locacao_id:i valor:d",
+        "select o_orderkey src_id, o_orderkey src_locacao_id, cast(o_totalprice as decimal(10,2)) valor from orders")
+
+
+# --- extraction runs ------------------------------------------------------------------------------
+
+def _only_premises(x: Context) -> dict[int, FrameSource]:
+    """Three sources: one sound, one with two companies, one that lacks a table."""
+    g2, g3 = g2_source(x), _more_of_g3(x)
+    two = x.table("region").filter("r_regionkey < 2").select(F.col("r_regionkey").alias("id_empresa"), F.col("r_name").alias("nome_empresa"))
+    return {1: g1_source(x), 2: FrameSource({**g2.tables, "empresa": two}),
+            3: FrameSource({n: t for n, t in g3.tables.items() if n != "categoria"})}
+
+
+@dataclass(frozen=True)
+class Extracted:
+    store: TableStore
+    log: DataFrame
+
+
+def _extracted(x: Context) -> Extracted:
+    """All sources twice; the second time source 1 has lost a third of its clients, and source 2 one of its companies."""
+    store = TableStore(x.spark, scratch_path(x.spark, "stg"))
+    sources = _only_premises(x)
+    X.extract_all(store, sources, RUN_TS)
+    g1 = sources[1].tables
+    fewer = FrameSource({**g1, "cliente": g1["cliente"].filter("id % 3 <> 0")})
+    X.extract_all(store, {1: fewer, 2: FrameSource({**sources[2].tables, "empresa": g2_source(x).tables["empresa"]})},
+                  RUN_TS + dt.timedelta(hours=2))
+    return Extracted(store, X.Log(x.spark, store.root).read())
+
+
+#: Rows of source 1 in its first run and its second, and of source 2 in its second: the first window is a week.
+_G1_ROWS = {"cliente": "customer", "condutor": "customer", "grupo_veiculo": "p_tipos", "veiculo": "(from part where p_partkey%8 < 5)",
+            "patio": "nation", "vaga": "supplier",
+            "reserva": "(from orders where o_orderdate >= {m}::date or o_orderkey%4=0)",
+            "locacao": "(from orders where o_orderdate >= {m} or o_orderkey%3=0)",
+            "cobranca": "(from orders where o_orderkey%2=0 or cast(o_orderdate as date) >= {m}::date)",
+            "movimentacao_patio": "(from events where ts >= {m})"}
+_G2_ROWS = {"cliente": "(from customer join nation on n_nationkey = c_nationkey)", "condutor": "(from customer where c_custkey%4<>0)",
+            "grupo_veiculo": "p_tipos", "veiculo": "part", "patio": "nation", "vaga": "supplier",
+            "reserva": "(from orders where o_orderdate >= {m}::date or o_orderkey%4=1)",
+            "locacao": f"(from orders left join ({G2_SQL['dev']}) d on d.id_locacao = o_orderkey "
+                       "where o_orderdate >= {m} or d.id_locacao is null)",
+            "cobranca": "orders"}
+
+
+def _log_sql(source: int, rows: dict[str, str], hours: int, mark_: str) -> list[str]:
+    when = f"timestamp '{O.RUN_TS}' + interval {hours} hour"
+    return [f"select {source} grupo_fonte, '{t}' tabela_stg, {when} dt_extracao, (select count(*) from {f.format(m=mark_)}) qtd, 'OK' status, "
+            "null::varchar motivo" for t, f in rows.items()]
+
+
+_FIRST = f"(timestamp '{O.RUN_TS}' - interval 7 day)"
+_SECOND_MARK = f"(timestamp '{O.RUN_TS}' - interval 1 hour)"
+_SECOND_FIRST = f"(timestamp '{O.RUN_TS}' + interval 2 hour - interval 7 day)"
+_LATER = {**_G1_ROWS, "cliente": "(from customer where c_custkey%3<>0)"}
+
+
+def _failed_sql(source: int, motive: str) -> str:
+    return (f"select {source} grupo_fonte, 'GRUPO_{source}' tabela_stg, timestamp '{O.RUN_TS}' dt_extracao, 0 qtd, 'ERR' status, "
+            f"'{motive}' motivo")
+
+
+plain("extraction_log", "grupo_fonte:i tabela_stg:s dt_extracao:s qtd:i status:s motivo:s",
+      ua([*_log_sql(1, _G1_ROWS, 0, _FIRST), *_log_sql(1, _LATER, 2, _SECOND_MARK), *_log_sql(2, _G2_ROWS, 2, _SECOND_FIRST),
+          _failed_sql(2, "source 2 holds 2 companies"), _failed_sql(3, "table categoria not found")]),
+      lambda x: _extracted(x).log.select(
+          "grupo_fonte", "tabela_stg", "dt_extracao", F.col("qtd_registros").alias("qtd"), "status",
+          F.nullif(F.regexp_extract("observacao", "source 2 holds 2 companies|table categoria not found", 0), F.lit("")).alias("motivo")))
+plain("staging_refresh", "tabela:s grupo_fonte:i dt_extracao:s qtd:i",
+      ua(f"select '{t}' tabela, {g} grupo_fonte, timestamp '{O.RUN_TS}' + interval 2 hour dt_extracao, count(*) qtd "
+         f"from {f.format(m=m)} having count(*) > 0" for g, rows, m in ((1, _LATER, _SECOND_MARK), (2, _G2_ROWS, _SECOND_FIRST))
+         for t, f in rows.items()),
+      lambda x: Q.stack(rows.groupBy("grupo_fonte", "dt_extracao").agg(F.count("*").alias("qtd"))
+                        .select(F.lit(t).alias("tabela"), "grupo_fonte", "dt_extracao", "qtd")
+                        for store in [_extracted(x).store] for t in store.tables() for rows in [store.read(t)]))
+plain("literal_rows", "tabela:s total:i esperado:i ok:b",
+      "select * from (values ('region', (select count(*) from region), 5, (select count(*) from region) = 5), "
+      "('nation', (select count(*) from nation), 24, (select count(*) from nation) = 24)) v(tabela, total, esperado, ok)",
+      lambda x: Q.expected_counts({n: x.table(n) for n in ("region", "nation")},
+                                  x.spark.createDataFrame([("region", 5), ("nation", 24)], "tabela string, esperado bigint")))
+
 # --- keys and upserts -----------------------------------------------------------------------------
 
 plain("assign_keys", "reserva_nk:s sk:i",
@@ -604,6 +834,119 @@ def warehouse_load(x: Context) -> DataFrame:
                               "patio", "sk_tempo_movimentacao", "qtd_movimentacoes", no_value)))
 
 
+def _older(conf: LazyTables) -> dict[str, DataFrame]:
+    """An earlier delivery: some rentals, bookings and moves are missing, some had other dates, some other measures."""
+    def moved(rows: DataFrame, date: str, key: str, other: dict[str, Column]) -> DataFrame:
+        was = {c: F.when(F.col("src_id") % 10 == 7, e).otherwise(F.col(c)) for c, e in other.items()}
+        return (rows.filter("src_id % 10 <> 3").withColumn(date, F.when(F.col("src_id") % 10 == 5, F.date_add(date, -40)).otherwise(F.col(date)))
+                .withColumns(was))
+
+    return {**{n: conf[n] for n in conf},
+            "conf_locacao": moved(conf["conf_locacao"], "data_retirada", "locacao_nk", {"km_rodado": F.col("km_rodado") + 1}),
+            "conf_reserva": moved(conf["conf_reserva"], "data_inicio", "reserva_nk", {"status": F.lit("espera")}),
+            "conf_movimentacao_patio": moved(conf["conf_movimentacao_patio"], "data_movimentacao", "movimentacao_patio_nk",
+                                             {"motivo": F.lit("antes")})}
+
+
+def _loaded_twice(x: Context) -> tuple[refresh.TableStore, dict[str, DataFrame]]:
+    """The warehouse after a second load over an older one, and the older facts."""
+    cfg = refresh.Config(scratch_path(x.spark, "dw"), AS_OF, RUN_TS, quarantine=True, maintain_views=True)
+    run = cfg.store(x.spark, "conf").begin()
+    conf = store_conformed(x.staging, run.write, AS_OF)
+    run.commit()
+    # The older dates lie in the same calendar.
+    before = refresh.warehouse(refresh.run_load(x.spark, cfg, _older(LazyTables({n: (lambda t, d=d: d) for n, d in conf.items()}))))
+    return refresh.run_load(x.spark, cfg, conf), before
+
+
+_AFTER = ua(f"select '{f}' fato, {nk} nk, {sk} sk_tempo, {m} medida, {src} % 10 <> 3 conhecida from {c}" for f, nk, sk, m, src, c in (
+    ("fato_locacao", "locacao_id", "sk_tempo_retirada_realizada", "cast(km_rodado as varchar)", "cast(split_part(locacao_id, '-', 2) as bigint)",
+     "f_locacao"),
+    ("fato_reserva", "reserva_id", "sk_tempo_inicio", "status_reserva", "cast(split_part(reserva_id, '-', 2) as bigint)", "f_reserva"),
+    ("fato_veiculo_no_patio", "movimentacao_patio_id", "sk_tempo_movimentacao", "motivo",
+     "cast(split_part(movimentacao_patio_id, '-', 2) as bigint)", "f_mov")))
+
+
+@query("second_load", "fato:s nk:s sk_tempo:i medida:s conhecida:b", _AFTER)
+def second_load(x: Context) -> DataFrame:
+    """Facts after a delivery of changed, moved, new and unchanged rows; conhecida: the row kept the key it had before."""
+    store, before = _loaded_twice(x)
+    dw = refresh.warehouse(store)
+    measure = {"fato_locacao": ("sk_tempo_retirada_realizada", F.col("km_rodado").cast("string")),
+               "fato_reserva": ("sk_tempo_inicio", F.col("status_reserva")),
+               "fato_veiculo_no_patio": ("sk_tempo_movimentacao", F.col("motivo"))}
+
+    def one(name: str) -> DataFrame:
+        spec, (date, value) = star.FACTS[name], measure[name]
+        had = before[name].select(F.col(spec.nk).alias("_nk"), F.col(spec.sk).alias("_sk"))
+        rows = dw[name].join(had, F.col(spec.nk) == F.col("_nk"), "left")
+        return rows.select(F.lit(name).alias("fato"), F.col(spec.nk).alias("nk"), F.col(date).alias("sk_tempo"), value.alias("medida"),
+                           F.coalesce(F.col("_sk") == F.col(spec.sk), F.lit(False)).alias("conhecida"))
+
+    return Q.stack(one(n) for n in star.FACTS)
+
+
+@query("maintained_views", "visao:s chave:s n:i m:i", ua([
+    "select 'vw_reservas_por_status' visao, status_reserva chave, total_reservas n, 0 m from v_status",
+    "select 'vw_locacoes_por_mes', coalesce(ano * 100 + mes, 0)::varchar, total_locacoes, centavos from v_mes",
+    "select 'vw_ocupacao_por_grupo_veiculo', grupo || '/' || categoria, total_locacoes, km_total_rodado from v_ocupacao",
+    "select 'vw_movimentacao_entre_patios', patio_origem || '/' || patio_destino, total_movimentacoes, 0 from v_mov",
+    f"select 'vw_matriz_transicao_patios', origem || '/' || destino, total_movimentacoes, centesimos from v_matriz",
+    "select 'vw_clientes_mais_frequentes', cliente || '/' || tipo || '/' || coalesce(cidade, ''), sum(total_reservas) * 1000000 + "
+    "sum(total_locacoes), sum(centavos) from v_clientes group by 2",
+    "select 'r1_monthly_revenue', coalesce(ano * 100 + mes, 0)::varchar, total_locacoes, centavos from v_mes"]))
+def maintained_views(x: Context) -> DataFrame:
+    """The additive views from their maintained parts, after the second load."""
+    v = maintained.current(_loaded_twice(x)[0])
+    month = F.coalesce(F.col("ano") * 100 + F.col("mes"), F.lit(0)).cast("string")
+
+    def cents(c: str) -> Column:
+        return (F.col(c) * 100).cast("bigint")
+
+    def shape(name: str, key: Column, n: Column, m: Column) -> DataFrame:
+        return v[name].select(F.lit(name).alias("visao"), key.alias("chave"), n.alias("n"), m.alias("m"))
+
+    none = F.lit(0).cast("bigint")
+    clients = v["vw_clientes_mais_frequentes"].groupBy(F.concat_ws("/", "cliente", "tipo", F.coalesce("cidade", F.lit(""))).alias("chave")).agg(
+        (F.sum("total_reservas") * 1000000 + F.sum("total_locacoes")).alias("n"), (F.sum("valor_total_cobrado") * 100).cast("bigint").alias("m"))
+    return Q.stack([
+        shape("vw_reservas_por_status", F.col("status_reserva"), F.col("total_reservas"), none),
+        shape("vw_locacoes_por_mes", month, F.col("total_locacoes"), cents("valor_total_cobrado")),
+        shape("vw_ocupacao_por_grupo_veiculo", F.concat_ws("/", "grupo", "categoria"), F.col("total_locacoes"), F.col("km_total_rodado")),
+        shape("vw_movimentacao_entre_patios", F.concat_ws("/", "patio_origem", "patio_destino"), F.col("total_movimentacoes"), none),
+        shape("vw_matriz_transicao_patios", F.concat_ws("/", "origem", "destino"), F.col("total_movimentacoes"),
+              cents("percentual_transicao_origem")),
+        clients.select(F.lit("vw_clientes_mais_frequentes").alias("visao"), "chave", "n", "m"),
+        shape("r1_monthly_revenue", month, F.col("total_locacoes"), cents("receita_total"))])
+
+
+@query("guarded_rebuild", "passo:s tabelas:i linhas:i", ua([
+    "select 'antes' passo, 2 tabelas, (select count(*) from k_cliente) + (select count(*) from k_patio) linhas",
+    "select 'recusado', 2, (select count(*) from k_cliente) + (select count(*) from k_patio)", "select 'depois', 0, 0"]))
+def guarded_rebuild(x: Context) -> DataFrame:
+    """A published tier before, after a rebuild without confirmation, and after one with it."""
+    store = TableStore(x.spark, scratch_path(x.spark, "dw"))
+    run = store.begin()
+    for name in ("conf_cliente", "conf_patio"):
+        run.write(name, x.conf[name])
+    run.commit()
+
+    def state(step: str) -> DataFrame:
+        names = store.tables()
+        names = [n for n in names if store.get(n) is not None]
+        held = Q.volumes({n: store.read(n) for n in names}, by=None) if names else x.spark.createDataFrame([], "tabela string, qtd bigint")
+        return held.agg(F.count("*").alias("tabelas"), F.coalesce(F.sum("qtd"), F.lit(0)).alias("linhas")).select(
+            F.lit(step).alias("passo"), "tabelas", "linhas")
+
+    steps = [state("antes")]
+    try:
+        refresh.rebuild(store)
+    except PermissionError:
+        steps.append(state("recusado"))
+    refresh.rebuild(store, confirm=True)
+    return Q.stack([*steps, state("depois")])
+
+
 plain("calendar", "sk_tempo:i data:s ano:i mes:i nome_mes:s trimestre:i dia:i dia_semana:i nome_dia_semana:s "
       "flag_fim_de_semana:b", "select * from d_tempo", lambda x: star.dim_tempo(x.conf))
 plain("dim_veiculo", "veiculo_id:s placa:s marca:s modelo:s status:s sk_grupo_veiculo:s sk_empresa:s",
@@ -620,13 +963,28 @@ def _gate(name: str, cte: str, reasons: list[str], rows: Callable[[Context], Dat
 plain("gate_counts_veiculo", "motivo:s qtd:i",
       "select 'orfaos' motivo, (select count(*) from k_veiculo) - (select count(*) from d_veiculo) qtd",
       lambda x: star.gate_counts(star.dim_veiculo_candidates(x.conf, x.dw)))
-_gate("gate_counts_reserva", "c_reserva", ["sem_cliente", "sem_grupo", "sem_patio", "sem_tempo"],
-      lambda x: star.reserva_candidates(x.conf, x.dw))
-_gate("gate_counts_locacao", "(select *, false sem_tempo from c_locacao)",
+_NO_DAY = "dayofyear({}) % 97 = 13"  # days that the calendar of the gates lacks
+
+
+def _torn(x: Context) -> star.Calendar:
+    """The calendar without some days inside its bounds."""
+    return star.calendar_of(x.days.filter(F.dayofyear("data") % 97 != 13))
+
+
+def _absent(*dates: str) -> str:
+    return "(" + " or ".join(f"coalesce({_NO_DAY.format(d)}, false)" for d in dates) + ")"
+
+
+_gate("gate_counts_reserva", f"(select * replace (sem_tempo or {_absent('d_inicio', 'd_fim')} as sem_tempo) from c_reserva)",
+      ["sem_cliente", "sem_grupo", "sem_patio", "sem_tempo"], lambda x: star.reserva_candidates(x.conf, x.dw, _torn(x)))
+_gate("gate_counts_locacao", f"(select *, {_absent('ret_prev', 'ret', 'dev_prev', 'dev')} sem_tempo from c_locacao)",
       ["sem_cliente", "sem_condutor", "sem_veiculo", "sem_patio", "sem_tempo"],
-      lambda x: star.locacao_candidates(x.conf, x.dw))
-_gate("gate_counts_movimentacao", "c_mov", ["sem_veiculo", "sem_patio", "sem_tempo"],
-      lambda x: star.movimentacao_candidates(x.conf, x.dw))
+      lambda x: star.locacao_candidates(x.conf, x.dw, _torn(x)))
+_gate("gate_counts_movimentacao", f"(select * replace (sem_tempo or {_absent('data_movimentacao')} as sem_tempo) from c_mov)",
+      ["sem_veiculo", "sem_patio", "sem_tempo"], lambda x: star.movimentacao_candidates(x.conf, x.dw, _torn(x)))
+plain("calendar_gaps", "data:s", "select data from d_tempo where dayofyear(data) % 97 = 13 and data between "
+      "(select min(data) from d_tempo where dayofyear(data) % 97 <> 13) and (select max(data) from d_tempo where dayofyear(data) % 97 <> 13)",
+      lambda x: star.calendar_gaps(x.days.filter(F.dayofyear("data") % 97 != 13)))
 
 plain("fato_reserva", "reserva_id:s sk_cliente:s sk_grupo_veiculo:s sk_patio_retirada:s sk_patio_devolucao:s "
       "sk_tempo_inicio:i sk_tempo_fim:i status_reserva:s qtd_reservas:i dias_reservados:i flag_cancelada:b "
@@ -661,6 +1019,19 @@ _view("vw_clientes_mais_frequentes", "cliente:s tipo:s cidade:s total_reservas:i
       "valor_total_cobrado:d", "select *, centavos / 100.0 valor_total_cobrado from v_clientes")
 _view("vw_atrasos_devolucao", "locacao_id:s cliente:s veiculo:s patio_devolucao:s data_prevista:s "
       "data_realizada:s atraso_em_dias:i", "select * from v_atrasos")
+_VIEW_CTES = {"vw_reservas_por_status": "v_status", "vw_locacoes_por_mes": "v_mes", "vw_ocupacao_por_grupo_veiculo": "v_ocupacao",
+              "vw_movimentacao_entre_patios": "v_mov", "vw_matriz_transicao_patios": "v_matriz",
+              "vw_clientes_mais_frequentes": "v_clientes", "vw_atrasos_devolucao": "v_atrasos"}
+
+
+@query("registered_views", "view_name:s linhas:i", " union all ".join(
+    f"select '{v}' view_name, count(*) linhas from {c}" for v, c in _VIEW_CTES.items()))
+def registered_views(x: Context) -> DataFrame:
+    """The views as Spark SQL finds them by name."""
+    views.register(x.spark, {n: x.dw_written[n] for n in x.dw_written})
+    return x.spark.sql(" UNION ALL ".join(f"SELECT '{v}' AS view_name, count(*) AS linhas FROM {v}" for v in _VIEW_CTES))
+
+
 plain("vw_ocupacao_por_chave", "grupo_id:s grupo:s categoria:s total_locacoes:i",
       "select g.grupo_veiculo_nk grupo_id, g.nome grupo, g.categoria, count(*) total_locacoes from f_locacao f "
       "join k_grupo g on g.grupo_veiculo_nk = f.sk_grupo_veiculo group by 1, 2, 3",
@@ -727,16 +1098,53 @@ F_NAMES = {"dim_veiculo": "d_veiculo", "dim_cliente": "k_cliente", "dim_condutor
            "fato_reserva": "f_reserva", "fato_locacao": "f_locacao", "fato_veiculo_no_patio": "f_mov"}
 
 
-def ua(parts) -> str:
-    return " union all ".join(parts)
-
-
 plain("q01_volumes", "tabela:s grupo_fonte:i qtd:i",
       ua(f"select '{n}' tabela, grupo_fonte, count(*) qtd from {s} group by 2" for n, s in S_NAMES.items()),
       lambda x: Q.volumes(x.staging))
 plain("q01_conformed_volumes", "tabela:s qtd:i",
       ua(f"select '{n}' tabela, count(*) qtd from {s}" for n, s in K_NAMES.items()),
       lambda x: Q.volumes(x.conf, by=None))
+plain("q01_conformed_by_source", "tabela:s grupo_fonte:i qtd:i",
+      ua(f"select '{n}' tabela, grupo_fonte, count(*) qtd from {K_NAMES[n]} group by 2" for n in (
+          "conf_cliente", "conf_condutor", "conf_grupo_veiculo", "conf_empresa", "conf_patio", "conf_veiculo", "conf_reserva",
+          "conf_locacao", "conf_movimentacao_patio")),
+      lambda x: Q.volumes({n: x.conf[n] for n in Q.CONFORMED_BY_SOURCE}))
+plain("q02_conformed_nulls", "tabela:s tipo:s nulos:i", ua([
+    "select 'conf_cliente' tabela, 'nk_nulo' tipo, count(*) filter (where cliente_nk is null) nulos from k_cliente",
+    "select 'conf_condutor', 'nk_nulo', count(*) filter (where condutor_nk is null or cliente_nk is null) from k_condutor",
+    "select 'conf_condutor', 'fk_nula', count(*) filter (where src_cliente_id is null) from k_condutor",
+    "select 'conf_veiculo', 'nk_nulo', count(*) filter (where veiculo_nk is null) from k_veiculo",
+    "select 'conf_veiculo', 'fk_nula', count(*) filter (where v.grupo_veiculo_nk is null or g.grupo_veiculo_nk is null) "
+    "from k_veiculo v left join k_grupo g on g.grupo_veiculo_nk = v.grupo_veiculo_nk",
+    "select 'conf_reserva', 'nk_nulo', count(*) filter (where reserva_nk is null) from k_reserva",
+    "select 'conf_reserva', 'fk_nula', count(*) filter (where c.cliente_nk is null or g.grupo_veiculo_nk is null or p.patio_nk is null "
+    "or r.d_reserva is null or r.d_inicio is null) from k_reserva r left join k_cliente c on c.cliente_nk = r.cliente_nk "
+    "left join k_grupo g on g.grupo_veiculo_nk = r.grupo_veiculo_nk left join k_patio p on p.patio_nk = r.patio_retirada_nk",
+    "select 'conf_locacao', 'nk_nulo', count(*) filter (where locacao_nk is null) from k_locacao",
+    "select 'conf_locacao', 'fk_nula', count(*) filter (where c.cliente_nk is null or d.condutor_nk is null or v.veiculo_nk is null "
+    "or p.patio_nk is null or l.registro is null) from k_locacao l left join k_cliente c on c.cliente_nk = l.cliente_nk "
+    "left join k_condutor d on d.condutor_nk = l.condutor_nk left join k_veiculo v on v.veiculo_nk = l.veiculo_nk "
+    "left join k_patio p on p.patio_nk = l.patio_retirada_nk"]),
+      lambda x: Q.conformed_nulls(x.conf))
+plain("q02_dw_nulls", "tabela:s coluna:s nulos:i",
+      ua(f"select '{t}' tabela, '{c}' coluna, count(*) filter (where {e} is null or trim(cast({e} as varchar)) = '') nulos from {f}"
+         for t, f, cols in (
+             ("dim_cliente", "k_cliente", {"cliente_id": "cliente_nk", "nome": "nome", "tipo": "tipo"}),
+             ("dim_veiculo", "d_veiculo", {"veiculo_id": "veiculo_nk", "placa": "placa", "status": "status",
+                                           "sk_grupo_veiculo": "grupo_veiculo_nk", "sk_empresa": "empresa_nk"}),
+             ("fato_locacao", "f_locacao", {c: c for c in ("sk_cliente", "sk_condutor", "sk_veiculo", "sk_grupo_veiculo", "sk_empresa",
+                                                           "sk_patio_retirada")}),
+             ("fato_reserva", "f_reserva", {c: c for c in ("sk_cliente", "sk_grupo_veiculo", "sk_patio_retirada", "sk_tempo_inicio")}))
+         for c, e in cols.items()),
+      lambda x: Q.null_audit(x.dw_written, Q.REQUIRED_DW, by=None))
+plain("q04_dw_duplicates", "tabela:s chaves:i linhas:i",
+      ua(f"select '{t}' tabela, count(*) chaves, coalesce(sum(n), 0) linhas from (select count(*) n from {f} group by {k} having count(*) > 1)"
+         for t, f, k in (("dim_cliente", "k_cliente", "cliente_nk"), ("dim_condutor", "k_condutor", "condutor_nk"),
+                         ("dim_grupo_veiculo", "k_grupo", "grupo_veiculo_nk"), ("dim_empresa", "k_empresa", "empresa_nk"),
+                         ("dim_patio", "k_patio", "patio_nk"), ("dim_veiculo", "d_veiculo", "veiculo_nk"),
+                         ("fato_reserva", "f_reserva", "reserva_id"), ("fato_locacao", "f_locacao", "locacao_id"),
+                         ("fato_veiculo_no_patio", "f_mov", "movimentacao_patio_id"), ("dim_tempo", "d_tempo", "data"))),
+      lambda x: Q.duplicates_summary(x.dw_written, Q.UNIQUE_DW))
 plain("q02_nulls", "tabela:s grupo_fonte:i coluna:s nulos:i",
       ua(f"select '{t}' tabela, grupo_fonte, '{c}' coluna, count(*) filter (where {c} is null or "
          f"trim(cast({c} as varchar)) = '') nulos from {S_NAMES[t]} group by 2"
@@ -773,9 +1181,18 @@ _PAIRS = {"cliente": "cliente", "condutor": "condutor", "grupo_veiculo": "grupo_
           "movimentacao_patio": "movimentacao_patio"}
 plain("q09_staging_vs_conformed", "entidade:s qtd_staging:i qtd_transform:i",
       ua(f"select '{e}' entidade, (select count(*) from {S_NAMES[e]}) qtd_staging, "
-         f"(select count(*) from {K_NAMES['conf_' + e]}) qtd_transform" for e in _PAIRS),
-      lambda x: Q.reconcile({e: (x.staging[e], x.conf[f"conf_{e}"]) for e in _PAIRS},
-                            "qtd_staging", "qtd_transform"))
+         f"(select count(*) from {K_NAMES['conf_' + e]}) qtd_transform" for e in _PAIRS)
+      + " union all select 'empresa', (select count(distinct grupo_fonte || '-' || coalesce(cast(src_empresa_id as varchar), nome_empresa)) "
+        "from s_patio), (select count(*) from k_empresa)",
+      lambda x: Q.staged_and_conformed(x.staging, x.conf, list(_PAIRS)))
+plain("distinct_counts", "expressao:s qtd:i",
+      "select 'veiculos' expressao, count(distinct l_partkey) qtd from lineitem union all select 'fornecedores', count(distinct l_suppkey) "
+      "from lineitem union all select 'pedidos', count(distinct l_orderkey) from lineitem union all "
+      "select 'dias', count(distinct cast(l_shipdate as date)) from lineitem union all "
+      "select 'estados', count(distinct l_returnflag || '-' || l_linestatus) from lineitem",
+      lambda x: distinct_counts(x.table("lineitem"), {
+          "veiculos": F.col("l_partkey"), "fornecedores": F.col("l_suppkey"), "pedidos": F.col("l_orderkey"),
+          "dias": F.col("l_shipdate").cast("date"), "estados": F.concat("l_returnflag", F.lit("-"), "l_linestatus")}))
 _DW_PAIRS = {"clientes": ("conf_cliente", "dim_cliente"), "condutores": ("conf_condutor", "dim_condutor"),
              "grupos_veiculo": ("conf_grupo_veiculo", "dim_grupo_veiculo"),
              "empresas": ("conf_empresa", "dim_empresa"), "patios": ("conf_patio", "dim_patio"),
@@ -834,7 +1251,7 @@ plain("q13_conformed_measures", "tabela:s regra:s qtd:i", ua([
       lambda x: Q.conformed_measures(x.conf))
 plain("q13_fact_measures", "tabela:s regra:s qtd:i", ua([
     _rules_sql("fato_reserva", "f_reserva", {"qtd_invalida": "qtd_reservas <> 1",
-                                            "dias_invalidos": "dias_reservados <= 0"}),
+                                            "dias_invalidos": "dias_reservados <= 0", "dias_negativos": "dias_reservados < 0"}),
     _rules_sql("fato_locacao", "f_locacao", {
         "qtd_invalida": "qtd_locacoes <> 1",
         **{f"{m}_negativo": f"{m} < 0" for m in ("km_rodado", "dias_previstos", "dias_realizados",
@@ -842,6 +1259,35 @@ plain("q13_fact_measures", "tabela:s regra:s qtd:i", ua([
         "atraso_incoerente": "atraso_devolucao_dias <> greatest(date_diff('day', dev_prev, dev), 0)"}),
     _rules_sql("fato_veiculo_no_patio", "f_mov", {"qtd_invalida": "qtd_movimentacoes <> 1"})]),
       lambda x: Q.fact_measures(x.dw_written))
+plain("q13_seeded_violations", "tabela:s regra:s qtd:i", ua([
+    _rules_sql("fato_reserva", "(select * replace (if(hash7 = 0, -1, dias_reservados) as dias_reservados, if(hash7 = 1, 2, 1) as qtd_reservas) "
+               "from (select *, sk_tempo_inicio % 7 hash7 from f_reserva))",
+               {"qtd_invalida": "qtd_reservas <> 1", "dias_invalidos": "dias_reservados <= 0", "dias_negativos": "dias_reservados < 0"}),
+    _rules_sql("fato_locacao", "(select * replace (if(hash7 = 0, -1, atraso_devolucao_dias) as atraso_devolucao_dias, "
+               "if(hash7 = 1, -km_rodado, km_rodado) as km_rodado) from (select *, coalesce(sk_tempo_retirada_realizada, 0) % 7 hash7 "
+               "from f_locacao))", {
+                   "qtd_invalida": "qtd_locacoes <> 1",
+                   **{f"{m}_negativo": f"{m} < 0" for m in ("km_rodado", "dias_previstos", "dias_realizados",
+                                                           "atraso_devolucao_dias", "valor_cobranca", "valor_multa_atraso")},
+                   "atraso_incoerente": "dev is not null and dev_prev is not null and atraso_devolucao_dias <> greatest(date_diff('day', dev_prev, dev), 0)"}),
+    _rules_sql("fato_veiculo_no_patio", "f_mov", {"qtd_invalida": "qtd_movimentacoes <> 1"})]),
+      lambda x: Q.fact_measures(_seeded(x)))
+
+
+def _seeded(x: Context) -> dict[str, DataFrame]:
+    """Facts with wrong measures on some days of the week of the calendar, for checks that a clean load never trips."""
+    day = F.coalesce("sk_tempo_inicio", F.lit(0)) % 7
+    out = F.coalesce("sk_tempo_retirada_realizada", F.lit(0)) % 7
+    return {
+        "fato_reserva": x.dw["fato_reserva"].withColumns({
+            "dias_reservados": F.when(day == 0, -1).otherwise(F.col("dias_reservados")), "qtd_reservas": F.when(day == 1, 2).otherwise(1)}),
+        "fato_locacao": x.dw["fato_locacao"].withColumns({
+            "atraso_devolucao_dias": F.when(out == 0, -1).otherwise(F.col("atraso_devolucao_dias")),
+            "km_rodado": F.when(out == 1, -F.col("km_rodado")).otherwise(F.col("km_rodado"))}),
+        "fato_veiculo_no_patio": x.dw["fato_veiculo_no_patio"],
+    }
+
+
 plain("q14_date_key_coverage", "origem:s linhas:i qtd_chaves_sem_dim_tempo:i",
       ua(f"select '{f}.{r}' origem, count({r}) linhas, count({r}) filter (where {r} not in "
          f"(select sk_tempo from d_tempo)) qtd_chaves_sem_dim_tempo from {F_NAMES[f]} having count({r}) > 0"

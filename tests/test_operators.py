@@ -116,3 +116,45 @@ def test_calendar(spark):
         "Março", "Domingo", 7, True, 1)
     empty = spark.sql("SELECT CAST(NULL AS DATE) dt_min, CAST(NULL AS DATE) dt_max")
     assert C.continuous_days(empty).count() == 0
+
+
+def test_distinct_counts_in_one_pass(spark):
+    from rodovia.operators.distinct import distinct_counts
+
+    rows = [(i % 3, i % 7, "hot" if i % 3 else None) for i in range(300)]
+    df = spark.createDataFrame(rows, "g int, a int, b string").repartition(5)
+    asked = {"a": F.col("a"), "b": F.col("b"), "ab": F.concat_ws("-", "a", "b"), "none": F.lit(None).cast("string")}
+    assert {r["expressao"]: r["qtd"] for r in distinct_counts(df, asked).collect()} == {
+        "a": 7, "b": 1, "ab": len({(a, b) for _, a, b in rows}), "none": 0}
+    by = {(r["g"], r["expressao"]): r["qtd"] for r in distinct_counts(df, asked, ["g"]).collect()}
+    assert by[0, "a"] == 7 and by[0, "b"] == 0 and by[1, "b"] == 1 and len(by) == 12
+    assert {r["qtd"] for r in distinct_counts(df.limit(0), asked).collect()} == {0}
+    plan = distinct_counts(df, asked)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") <= 2  # the rows once, and the names
+
+
+def test_calendar_gaps_and_gate(spark):
+    import datetime as dt
+
+    from rodovia.plans import star
+
+    days = [dt.date(2026, 1, 1) + dt.timedelta(days=i) for i in range(20)]
+    torn = [d for i, d in enumerate(days) if i not in (4, 5, 6, 11)]
+    frame = spark.createDataFrame([(d,) for d in torn], "data date")
+    calendar = star.calendar_of(frame)
+    assert calendar == star.Calendar(days[0], days[-1], (days[4], days[5], days[6], days[11]))
+    assert star.calendar_of(frame.limit(0)) is None and star.calendar_of(spark.createDataFrame([(d,) for d in days], "data date")).missing == ()
+    probe = spark.createDataFrame([(d,) for d in [*days, days[0] - dt.timedelta(days=1), days[-1] + dt.timedelta(days=1), None]], "d date")
+    bad = {r["d"] for r in probe.filter(star._outside(calendar, "d")).collect()}
+    assert bad == {days[4], days[5], days[6], days[11], days[0] - dt.timedelta(days=1), days[-1] + dt.timedelta(days=1)}
+
+
+def test_references_of_several_tables_in_one_pass(spark):
+    from rodovia.plans.quality import reference_audit
+
+    parent = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b")], "id int, nk string")
+    child = spark.createDataFrame([(1, "a"), (1, "x"), (9, None), (None, "b"), (9, "x")], "p int, q string")
+    got = reference_audit({"child": child, "parent": parent, "empty": child.limit(0)},
+                          [("child", "p", "parent", "id"), ("child", "q", "parent", "nk"), ("empty", "p", "parent", "id")])
+    assert sorted(tuple(r) for r in got.collect()) == [("child", "p", "parent", 1, 2), ("child", "q", "parent", 1, 2),
+                                                       ("empty", "p", "parent", 0, 0)]
