@@ -120,8 +120,10 @@ def _sampled(docs: DataFrame, doc_id: str, text: str, lang: str, sample: int) ->
                         F.col(text).cast("string").alias("text"), F.col(doc_id).alias("id"))
             .filter("id is not null and lang is not null and text is not null"))
     part = 2 * sample / F.col("n")
-    limits = (rows.groupBy("lang").agg(F.count("*").alias("n"))
-              .select("lang", F.when(part >= 1, F.lit(2 ** 63 - 1)).otherwise((part * 2.0 ** 64 - 2.0 ** 63).cast("bigint")).alias("limit")))
+    # Written, so that Spark knows how small they are and need not deal the rows by language to join them.
+    limits = stored(rows.groupBy("lang").agg(F.count("*").alias("n"))
+                    .select("lang", F.when(part >= 1, F.lit(2 ** 63 - 1)).otherwise((part * 2.0 ** 64 - 2.0 ** 63).cast("bigint"))
+                            .alias("limit")), "limits")
     place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
     bounds = (rows.select("lang", "h").join(limits, "lang").filter("h <= limit").withColumn("place", place)
               .filter(F.col("place") <= sample).groupBy("lang").agg(F.max("h").alias("bound")))
