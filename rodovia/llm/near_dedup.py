@@ -8,12 +8,14 @@ k. 128 coordinates are cut into 32 bands of four: at a similarity of 0.75 two se
 Work on a bucket of the bands is cut into blocks, so no group has to fit into one task:
 
 1. sets that are equal count as one (their smallest document stands for them);
-2. per pair of blocks of a bucket, the strongest tree of estimated similarities proposes links; these are
-   verified exactly and joined to components;
-3. only buckets that still hold several components are looked at again: their members are compared exactly, all
-   with all across components, as products of incidence matrices, and only spanning links are emitted.
-
-A third of all documents in one bucket thus costs tree edges, not pairs.
+2. a bucket is dealt into blocks at random, and in each the strongest tree of estimated similarities proposes links; these are
+   verified exactly and joined to components. Buckets of several blocks that still hold several components are dealt anew, a
+   few times: each round moves every member once, and a dense group, however large, becomes one component;
+3. only buckets that still hold several components are looked at again: their members are compared exactly across
+   components, as products of incidence matrices, and only spanning links are emitted. Members of a bucket's largest
+   component meet the others, never each other.
+
+A third of all documents in one bucket thus costs a few rounds of tree edges, not pairs.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from rodovia.llm.components import components
 from rodovia.llm.shingles import intersection_size, mix64, shingle_sets
@@ -34,6 +36,7 @@ THRESHOLD = 75  # percent
 #: Estimates below this many equal coordinates (of 128) are no candidates: five deviations below 0.75.
 LEAST_EQUAL = int(COORDINATES * 0.75 - 5 * (COORDINATES * 0.75 * 0.25) ** 0.5)
 BLOCK = 512
+ROUNDS = 3
 _CHUNK = 1 << 15
 _U32 = np.uint32
 
@@ -192,14 +195,38 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _in_blocks(members: DataFrame) -> DataFrame:
-    """Cut each bucket of ``size`` members into blocks of about BLOCK and deal out all pairs of blocks."""
-    n = F.ceil(F.col("size") / BLOCK).cast("int")
-    return (members.withColumn("blocks", n)
-            .withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .withColumn("lo", F.least("mine", "other")).withColumn("hi", F.greatest("mine", "other"))
-            .drop("mine", "other", "blocks", "size"))
+def _in_blocks(members: DataFrame, salt: int) -> DataFrame:
+    """Cut each bucket of ``size`` members into blocks of about BLOCK, another way for each salt."""
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    block = F.pmod(F.xxhash64(F.lit(salt), "id"), blocks).cast("int")
+    return members.withColumns({"lo": block, "hi": F.lit(0)}).drop("size")
+
+
+def _across(members: DataFrame) -> DataFrame:
+    """(bucket, lo, hi, id, label): blocks in which every two members of a bucket with different labels meet.
+
+    Members of the bucket's largest component are cut into blocks, and so are the others; each block of one kind meets each of
+    the other, and the others' blocks meet each other. A bucket of at most BLOCK members is one block.
+    """
+    count = members.groupBy("bucket", "label").agg(F.count("*").alias("n"))
+    shape = count.groupBy("bucket").agg(F.sum("n").alias("size"), F.max(F.struct("n", (-F.col("label")).alias("l"))).alias("top"))
+    shape = shape.filter("size > top.n").select("bucket", "size", F.col("top.n").alias("most"), (-F.col("top.l")).alias("major"))
+    rows = members.join(shape, "bucket")
+    many, few = F.ceil(F.col("most") / BLOCK).cast("int"), F.ceil((F.col("size") - F.col("most")) / BLOCK).cast("int")
+    key = F.xxhash64(F.lit(-1), "id")
+    block = F.when(F.col("label") == F.col("major"), F.pmod(key, many)).otherwise(F.pmod(key, few)).cast("int")
+
+    def pairs(lo: Column, hi: Column) -> Column:
+        return F.struct(lo.cast("int").alias("lo"), hi.cast("int").alias("hi"))
+
+    large = F.transform(F.sequence(F.lit(0), few - 1), lambda i: pairs(F.col("_b"), i))
+    # Blocks of the others come after those of the largest component.
+    small = F.concat(F.transform(F.sequence(F.lit(0), many - 1), lambda j: pairs(j, F.col("_b"))),
+                     F.transform(F.sequence(F.lit(0), few - 1), lambda i: pairs(many + F.least(F.col("_b"), i), F.greatest(F.col("_b"), i))))
+    places = (F.when(F.col("size") <= BLOCK, F.array(pairs(F.lit(0), F.lit(0))))
+              .when(F.col("label") == F.col("major"), large).otherwise(small))
+    return rows.withColumn("_b", block).select("bucket", "id", "label", F.explode(places).alias("p")).select(
+        "bucket", F.col("p.lo").alias("lo"), F.col("p.hi").alias("hi"), "id", "label")
 
 
 def _grouped(df: DataFrame) -> DataFrame:
@@ -212,8 +239,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
     Documents are linked when their sets of five-word shingles have a Jaccard similarity of at least 0.75;
     component_id is the smallest id reachable over links, kept tells whether it is the document itself.
-    A null text or a text without words has no shingles and no links. Rows that repeat a doc_id are one document:
-    a link of any of them counts. A row without doc_id is linked with nothing: its component_id is null and it is
+    A null text or a text without words has no shingles and no links. Rows that repeat a doc_id are one document: a link of
+    any of them counts for all that have words. A row without doc_id is linked with nothing: its component_id is null and it is
     kept. Other columns are ignored, whatever their names. An empty table gives an empty table.
     """
     docs = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).cast("string").alias("text"))
@@ -222,6 +249,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     filled = profile.filter("n > 0 and id is not null")
     # Equal sets: the smallest id stands for all of them.
     sets = stored(filled.groupBy("f1", "f2", "n").agg(F.min("id").alias("rep")), "sets")
+    rows = stored(profile.select("id", "n", "f1", "f2").join(sets.select("f1", "f2", "rep"), ["f1", "f2"], "left")
+                  .select("id", "n", F.when(F.col("n") > 0, F.col("rep")).alias("rep")), "rows")
+    # Different sets of one id belong together.
+    several = rows.filter("rep is not null and id is not null").groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).filter("a <> z")
+    links = stored(several.select("id", "a").join(rows.select("id", F.col("rep").alias("b")), "id").filter("a <> b").select("a", "b").distinct(), "links")
     reps = (filled.join(sets.select("f1", "f2", F.col("rep").alias("id")), ["f1", "f2", "id"])
             .dropDuplicates(["id", "f1", "f2"]))
     banded = reps.select("id", F.explode("bands").alias("bucket"))
@@ -233,32 +265,57 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
                .groupBy("size", "s1", "s2").agg(F.min("bucket").alias("bucket")).select("bucket", "size"))
     members = stored(banded.join(buckets, "bucket"), "members")
     signed = reps.select("id", "n", "sig")
-    proposed = stored(_grouped(_in_blocks(members).join(signed, "id"))
-                      .mapInArrow(_strongest_tree, "a bigint, b bigint").distinct(), "proposed")
-    near = proposed.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    # The only pass that moves texts: those of documents with a likely partner. Their ids grow with the corpus, so
-    # the join is the same at every size.
-    texts = stored(docs.join(near.hint("merge"), "id"), "texts")
-    first = proposed.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a").join(
-        texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
-    links = stored(first.mapInArrow(_confirmed, "a bigint, b bigint").distinct(), "links")
-    labels = stored(components(links), "labels")
-    open_ = (members.drop("size").join(near, "id").join(labels, members["id"] == labels["node"], "left")
-             .select("bucket", "id", F.coalesce("component", "id").alias("label")))
-    mixed = (open_.groupBy("bucket").agg(F.count("*").alias("size"), F.min("label").alias("x"),
-                                         F.max("label").alias("y"))
-             .filter("x <> y").select("bucket", "size"))
-    undecided = stored(_grouped(_in_blocks(open_.join(mixed, "bucket")).join(signed, "id"))
+    large = members.filter(F.col("size") > BLOCK)
+    several_blocks = not large.isEmpty()
+    near = texts = labels = None
+
+    def labelled(rows: DataFrame) -> DataFrame:
+        return (rows.join(labels, rows["id"] == labels["node"], "left")
+                .select(*rows.columns, F.coalesce("component", "id").alias("label")))
+
+    def fetched(ids: DataFrame) -> DataFrame:
+        # The only passes that move texts: those of documents with a likely partner. Their ids grow with the corpus, so
+        # the join is the same at every size.
+        return stored(docs.join(ids.hint("merge"), "id"), "texts")
+
+    for salt in range(ROUNDS if several_blocks else 1):
+        if salt == 0:
+            asked = members
+        else:
+            known = stored(labelled(large), "labelled")
+            mixed = known.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("bucket")
+            if mixed.isEmpty():
+                break
+            asked = known.join(mixed, "bucket").select("bucket", "id", "size")
+        proposed = stored(_grouped(_in_blocks(asked, salt).join(signed, "id"))
+                          .mapInArrow(_strongest_tree, "a bigint, b bigint").distinct(), "proposed")
+        if salt:
+            # Only what joins two components is news.
+            ends = labels.select("node", "component")
+            news = (proposed.join(ends.select(F.col("node").alias("a"), F.col("component").alias("_x")), "a", "left")
+                    .join(ends.select(F.col("node").alias("b"), F.col("component").alias("_y")), "b", "left")
+                    .filter("coalesce(_x, a) <> coalesce(_y, b)").select("a", "b"))
+            proposed = stored(news, "proposed")
+        ids = proposed.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        own = fetched(ids)
+        pairs = proposed.join(own.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a").join(
+            own.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
+        links = stored(links.unionByName(pairs.mapInArrow(_confirmed, "a bigint, b bigint")).distinct(), "links")
+        labels = stored(components(links), "labels")
+        near = ids if near is None else near
+        texts = own if texts is None else texts
+    open_ = members.select("bucket", "id", "size").join(near.withColumn("_near", F.lit(True)), "id", "left")
+    # In a bucket of one block, who has no likely partner is decided; of larger ones not all pairs have been looked at.
+    open_ = labelled(open_.filter((F.col("size") > BLOCK) | F.col("_near")).select("bucket", "id"))
+    undecided = stored(_grouped(_across(open_).join(signed, "id"))
                        .mapInArrow(_undecided, "bucket bigint, lo int, hi int, id bigint, label bigint"), "undecided")
-    more = stored(_grouped(undecided.join(texts, "id")).mapInArrow(_links_across, "a bigint, b bigint").distinct(),
-                  "links")
+    if several_blocks:
+        texts = fetched(undecided.select("id").distinct())
+    more = stored(_grouped(undecided.join(texts, "id")).mapInArrow(_links_across, "a bigint, b bigint").distinct(), "links")
     if not more.isEmpty():
         labels = components(links.unionByName(more))
-    joined = (profile.join(sets.withColumnRenamed("n", "_n").filter("rep is not null"), ["f1", "f2"], "left")
-              .join(labels.withColumnRenamed("node", "rep"), "rep", "left"))
+    joined = rows.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
     found = F.when(F.col("n") > 0, F.coalesce("component", "rep", "id")).otherwise(F.col("id"))
     found = F.when(F.col("id").isNotNull(), found)
-    rows = joined.select("id", "n", found.alias("component_id"))
-    # Rows that repeat an id belong together.
-    return rows.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id",
-                       F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    return joined.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), found.alias("component_id"),
+                         F.coalesce(F.col("id") == found, F.lit(True)).alias("kept"))

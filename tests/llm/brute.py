@@ -69,20 +69,23 @@ def repeats(rows, window=50):
 
 
 def licenses(text, templates):
-    """name -> merged (first word, end) of windows that hold three quarters of a template, all windows compared."""
-    w = words(text)
-    seq = [tuple(w[i:i + 5]) for i in range(len(w) - 4)] if len(w) >= 5 else ([tuple(w)] if w else [])
+    """license -> merged (first word, end) of stretches that hold three quarters of a template, from every start place."""
+    def cut(t):
+        w = re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", (t or "").translate(UPPER))
+        return w, [tuple(w[i:i + 5]) for i in range(len(w) - 4)] if len(w) >= 5 else ([tuple(w)] if w else [])
+
+    w, seq = cut(text)
     out = {}
-    for name, template in templates.items():
-        want = shingles(template)
-        q = 1 << (len(want).bit_length() - 1)
+    for name, texts in templates.items():
         spans = []
-        for lo in range(0, max(1, len(seq)), 2 * q):
-            if lo and lo + 2 * q >= len(seq) + 2 * q:
-                break
-            part = [(i, s) for i, s in enumerate(seq[lo:lo + 4 * q], lo) if s in want]
-            if part and 100 * len({s for _, s in part}) >= 75 * len(want):
-                spans.append((part[0][0], min(part[-1][0] + 5, len(w))))
+        for template in texts:
+            want = set(cut(template)[1])
+            if not want & set(seq):
+                continue
+            for lo in range(len(seq)):
+                part = [(i, s) for i, s in enumerate(seq[lo:lo + 4 * len(want)], lo) if s in want]
+                if part and 100 * len({s for _, s in part}) >= 75 * len(want):
+                    spans.append((part[0][0], min(part[-1][0] + 5, len(w))))
         merged = []
         for b, e in sorted(spans):
             if merged and b < merged[-1][1]:

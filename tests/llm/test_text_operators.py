@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from rodovia.llm.decontamination import contained_items, without_items
 from rodovia.llm.language_id import held_out, learn_profiles, predict_languages, with_languages
-from rodovia.llm.license_scan import TEMPLATES, find_licenses
+from rodovia.llm.license_scan import NOTICES, TEMPLATES, find_licenses
 from rodovia.llm.line_dedup import drop_site_lines
 from rodovia.llm.repeated_spans import common_prefixes, remove_repeats, suffix_array
 from tests.llm import brute
@@ -99,6 +99,24 @@ def test_repeats_merge_shards(spark, documents, monkeypatch):
     assert repeats(frame.limit(120)) == brute.repeats([tuple(r) for r in frame.limit(120).select("doc_id", "text").collect()])
 
 
+def test_repeats_of_ids_with_several_texts(spark):
+    rng = random.Random(3)
+    long = "".join(rng.choice("abcdefgh ") for _ in range(248))
+    rows = [(1, long), (2, long[20:] + "tail of the first"), (2, "short"), (2, long[20:] + "tail of the first"), (2, "own " * 30), (3, "own " * 30),
+            (3, long), (None, long)]
+    got = sorted((tuple(r)[:5] for r in remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()), key=str)
+    want = []
+    for d, t in rows:
+        if d is None:
+            want.append((d, len(t), 0, 0, hashlib.sha256(t.encode()).hexdigest()))
+        else:
+            others = [(e, u) for e, u in rows if e is not None and e < d]
+            # Each row by itself against the smaller ids: ids of rows with other texts must not count.
+            numbered = [(k, u) for k, (_, u) in enumerate(sorted(others))] + [(len(others), t)]
+            want.append((d, *brute.repeats(numbered)[len(others)]))
+    assert got == sorted(want, key=str)
+
+
 def test_repeats_in_odd_rows(odd, empty):
     got = sorted((tuple(r)[:4] for r in remove_repeats(odd).collect()), key=str)
     n = len(LONG)
@@ -118,13 +136,47 @@ def test_licenses(documents):
     assert got == want
 
 
+GRANT = TEMPLATES["MIT"][1]
+
+
 def test_licenses_in_odd_rows(spark, odd, empty):
-    assert find_licenses(odd, {"two": "Two WORDS", "none": " "}).select("doc_id", "license").collect() == [
+    assert find_licenses(odd, {"two": ["Two WORDS"], "none": [" "]}).select("doc_id", "license").collect() == [
         (6, "two"), (7, "two"), (7, "two")]
     assert find_licenses(empty).count() == 0 and find_licenses(odd, {}).count() == 0
-    text = "x " * 500 + TEMPLATES["MIT grant"].upper() + " y" * 300 + " " + TEMPLATES["MIT grant"]
+    text = "x " * 500 + GRANT.upper() + " y" * 300 + " " + GRANT
     rows = find_licenses(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).collect()
-    assert [(r["license"], len(r["begins"])) for r in rows] == [("MIT grant", 2)]
+    assert [(r["license"], len(r["begins"])) for r in rows] == [("MIT", 2)]
+
+
+def test_licenses_at_every_place(spark, monkeypatch):
+    """A notice with foreign words in its middle, after 0 to 63 other words, in texts of one piece and of many."""
+    w = GRANT.split()
+    broken = w[:len(w) // 2] + [f"foreign{i}" for i in range(30)] + w[len(w) // 2:]
+    docs = [(k, " ".join([f"before{i}" for i in range(k)] + broken + ["after"] * 200)) for k in range(64)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    for piece in (1 << 20, 100):
+        monkeypatch.setattr("rodovia.llm.word_hashes.PIECE_BYTES", piece)
+        got = {r["doc_id"]: list(zip(r["begins"], r["ends"])) for r in find_licenses(frame).collect()}
+        assert got == {d: brute.licenses(t, TEMPLATES)["MIT"] for d, t in docs}
+
+
+def test_licenses_with_edits_everywhere(spark):
+    """Notices with words changed at random: the share found of those that hold three quarters."""
+    rng = random.Random(12)
+    docs, held = [], {}
+    for d in range(150):
+        name = rng.choice(["MIT", "GPL-3.0", "LGPL-2.1", "MPL-2.0"])
+        words = max(NOTICES[name], key=len).split()
+        for _ in range(rng.randrange(3)):
+            words[rng.randrange(len(words))] = "changed"
+        text = " ".join([f"a{rng.randrange(99)}" for _ in range(rng.randrange(200))] + words + [f"b{i}" for i in range(rng.randrange(200))])
+        docs.append((d, text))
+        held[d] = set(brute.licenses(text, TEMPLATES))
+    got = {}
+    for r in find_licenses(spark.createDataFrame(docs, "doc_id bigint, text string")).collect():
+        got.setdefault(r["doc_id"], set()).add(r["license"])
+    total, found = sum(map(len, held.values())), sum(len(held[d] & got.get(d, set())) for d in held)
+    assert total > 80 and found == total and all(got.get(d, set()) <= held[d] for d in held)
 
 
 def test_whole_licenses_and_altered_notices(spark):
@@ -133,18 +185,18 @@ def test_whole_licenses_and_altered_notices(spark):
         w = text.split()
         return " ".join("changed" if i % 60 == 59 else x for i, x in enumerate(w))
 
-    whole = [n for n in TEMPLATES if n.endswith(" text")]
-    assert {f"{x} text" for x in ("MIT", "ISC", "BSD", "BSD-2-Clause", "Apache-2.0", "GPL-2", "GPL-3", "LGPL-2.1", "LGPL-3", "MPL-2.0",
-                                  "CC0-1.0")} <= set(whole)
-    want = [*whole, "GPL notice", "GPL-2.0 notice", "LGPL notice", "MPL-2.0 notice"]
-    docs = [(i, "x " * 700 + altered(TEMPLATES[n]) + " y" * 300) for i, n in enumerate(want)]
+    assert {"MIT", "ISC", "BSD-3-Clause", "BSD-2-Clause", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0",
+            "CC0-1.0"} <= set(TEMPLATES)
+    want = [(n, t) for n, texts in TEMPLATES.items() for t in texts if len(t) > 150]
+    docs = [(i, "x " * 700 + altered(t) + " y" * 300) for i, (_, t) in enumerate(want)]
     short = ["Released under the MIT License,", "licensed under the Apache License, Version 2.0 (the", "available under the MIT License"]
     docs += [(1000 + i, f"before it {t} and after") for i, t in enumerate(short)] + [(2000, "under the sea the license of words is free")]
     got = {}
     for r in find_licenses(spark.createDataFrame(docs, "doc_id bigint, text string")).collect():
-        got.setdefault(r["doc_id"], set()).add(r["license"])
-    assert all(n in got.get(i, ()) for i, n in enumerate(want)), got
-    assert [{x.split(":")[0] for x in got[1000 + i]} for i in range(3)] == [{"MIT"}, {"Apache-2.0"}, {"MIT"}]
+        assert r["license"] not in got.setdefault(r["doc_id"], set())  # one row a license
+        got[r["doc_id"]].add(r["license"])
+    assert all(n in got.get(i, ()) for i, (n, _) in enumerate(want)), got
+    assert [got[1000 + i] for i in range(3)] == [{"MIT"}, {"Apache-2.0"}, {"MIT"}]
     assert 2000 not in got
 
 

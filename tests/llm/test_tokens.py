@@ -245,6 +245,18 @@ def test_stages_with_odd_rows(spark, odd, empty):
     assert corpus_pipeline.STAGES[-1][1](spark, empty, SF).count() == 0
 
 
+def test_near_dedup_stage_loses_no_text_of_a_repeated_id(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(1, a), (5, a), (5, b), (7, b), (8, c), (8, c), (9, c.upper()), (10, ""), (10, None), (10, ""), (None, a), (None, a)]
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    out = corpus_pipeline.minhash_near_dedup(spark, docs, SF)
+    assert out.columns == docs.columns
+    got = sorted((tuple(r)[:2] for r in out.collect()), key=str)
+    assert sorted(t for d, t in got if d is not None and t) == [a, b, c]  # one row for each of the three texts
+    assert (1, a) in got and (8, c) in got and sum(r == (None, a) for r in got) == 2
+    assert sorted((t for d, t in got if d == 10), key=str) == ["", None]
+
+
 def test_language_stage_rejects_other_languages(spark, documents):
     """Foreign, gibberish and letterless texts go, also long ones; short clean texts and whole tables stay."""
     frame, rows = documents
