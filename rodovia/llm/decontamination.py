@@ -8,7 +8,7 @@ agreeing coordinates depends on the number of shared shingles, not on how pieces
 shingles form a class whose pieces are single shingles, so their search is exact. Longer pieces' minima are minima of
 shorter ones'. Each candidate is verified on the document's whole set.
 
-The benchmark is taken in blocks of bounded size, each shipped to all tasks that scan the documents.
+Equal items are searched as one. They are taken in blocks of bounded size, each shipped to all tasks that scan the documents.
 """
 
 from __future__ import annotations
@@ -84,8 +84,8 @@ def _coordinate_keys(minima: np.ndarray) -> np.ndarray:
     return mixed ^ (mixed >> np.uint64(29))
 
 
-def _search(item_ids: list, sets: list[np.ndarray], clean: bool = False) -> Callable:
-    """Find and verify the items of one block in every document.
+def _search(set_ids: list, sets: list[np.ndarray], clean: bool = False) -> Callable:
+    """Find and verify the sets of one block in every document.
 
     ``clean``: give the first column of the rows that hold none of them, instead of pairs.
     """
@@ -135,9 +135,9 @@ def _search(item_ids: list, sets: list[np.ndarray], clean: bool = False) -> Call
                 yield batch.select([0]).filter(pa.array(keep))
             elif doc:
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(doc)), pa.array([item_ids[i] for i in item], pa.int64()),
+                    [batch.column(0).take(pa.array(doc)), pa.array([set_ids[i] for i in item], pa.int64()),
                      pa.array([len(sets[i]) for i in item], pa.int64()), pa.array(common, pa.int64())],
-                    ["doc_id", "item_id", "n_shingles", "n_common"])
+                    ["doc_id", "set_id", "n_shingles", "n_common"])
     return run
 
 
@@ -149,33 +149,41 @@ def contained_items(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", t
     words match nothing. Other columns are ignored. Empty tables give an empty table.
     """
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    schema = "doc_id bigint, item_id bigint, n_shingles bigint, n_common bigint"
+    sets = _item_table(items, item_id, item_text)
+    schema = "doc_id bigint, set_id bigint, n_shingles bigint, n_common bigint"
     found = docs.sparkSession.createDataFrame([], schema)
-    for ids, sets in _blocks(items, item_id, item_text):
-        found = found.unionByName(docs.mapInArrow(_search(ids, sets), schema))
-    return found
+    for ids, own in _blocks(sets):
+        # Written before the next block is fetched, so that one block at a time is held.
+        found = found.unionByName(stored(docs.mapInArrow(_search(ids, own), schema), "found"))
+    return found.join(sets.select("set_id", "item_id"), "set_id").select("doc_id", "item_id", "n_shingles", "n_common")
 
 
 def without_items(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id",
                   item_text: str = "text") -> DataFrame:
     """The rows of ``docs``, with all their columns, that hold no item; nothing is shuffled.
 
-    Null texts and texts without words hold none. Ids play no part.
+    Null texts and texts without words hold none. Ids play no part. Empty tables of documents or items leave all rows.
     """
     columns = docs.columns
-    for ids, sets in _blocks(items, item_id, item_text):
+    for ids, sets in _blocks(_item_table(items, item_id, item_text)):
         rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col(f"`{text}`").cast("string").alias("t"))
         kept = rows.mapInArrow(_search(ids, sets, clean=True), T.StructType([rows.schema["row"]]))
         docs = kept.select(*[F.col("row").getField(c).alias(c) for c in columns])
     return docs
 
 
-def _blocks(items: DataFrame, item_id: str, item_text: str) -> Iterator[tuple[list, list[np.ndarray]]]:
-    """The items with words in blocks of about BLOCK_SHINGLES shingles."""
-    sets = stored(items.select(F.col(item_id).cast("bigint"), F.col(item_text).cast("string"))
-                  .mapInArrow(_item_sets, "item_id bigint, n bigint, hashes binary").filter("n > 0"), "items")
-    blocks = -(-(sets.agg(F.sum("n")).first()[0] or 0) // BLOCK_SHINGLES)
+def _item_table(items: DataFrame, item_id: str, item_text: str) -> DataFrame:
+    """(item_id, n, hashes, set_id): the items with words; equal sets of shingles have the same set_id."""
+    return stored(items.select(F.col(item_id).cast("bigint"), F.col(item_text).cast("string"))
+                  .mapInArrow(_item_sets, "item_id bigint, n bigint, hashes binary").filter("n > 0")
+                  .withColumn("set_id", F.xxhash64("hashes")), "items")
+
+
+def _blocks(sets: DataFrame) -> Iterator[tuple[list, list[np.ndarray]]]:
+    """The distinct sets in blocks of about BLOCK_SHINGLES shingles: copies of an item are searched once."""
+    distinct = stored(sets.groupBy("set_id").agg(F.first("n").alias("n"), F.first("hashes").alias("hashes")), "sets")
+    blocks = -(-(distinct.agg(F.sum("n")).first()[0] or 0) // BLOCK_SHINGLES)
     for b in range(blocks):
-        rows = sets.filter(F.pmod(F.xxhash64("hashes"), F.lit(blocks)) == b).collect()
+        rows = distinct.filter(F.pmod(F.xxhash64(F.lit(1), "set_id"), F.lit(blocks)) == b).collect()
         if rows:
-            yield [r["item_id"] for r in rows], [np.frombuffer(r["hashes"], np.uint64) for r in rows]
+            yield [r["set_id"] for r in rows], [np.frombuffer(r["hashes"], np.uint64) for r in rows]
