@@ -1,10 +1,10 @@
 """Exact inner-product search by term-at-a-time accumulation.
 
-Vectors become integer rows. Within a task, the candidates of a batch are turned into postings: for each component,
+Vectors become integer rows, packed into matrices. Within a task, candidates are turned into postings: for each component,
 the places and weights of the candidates where it is not 0. Each non-zero component of a query scatters its weight
-times these weights into the dense score row of the query; a partition selection keeps the best of the batch, and
-the best of all batches are merged. Queries come in blocks of bounded size, each shipped to all tasks that scan the
-candidates; every candidate meets every query, so results are exact.
+times these weights into the dense score row of the query; a partition selection keeps the best of some thousand candidates, and
+the best of all are merged. Queries are cut into parts and candidates into blocks of bounded size; every part is dealt out
+to every block, so each query meets each candidate once and results are exact. Nothing passes through the driver.
 """
 
 from __future__ import annotations
@@ -13,10 +13,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window, functions as F
 
+from rodovia.llm.tables import sorted_groups, stored
+
 SCALE = 256
-BLOCK_VALUES = 1 << 20  # numbers in a block of queries
+BLOCK_VALUES = 1 << 20  # numbers in a part of the queries, and in a block of candidates
+PACKED = 1 << 15        # numbers of a row of the tables that are dealt out
 CANDIDATES = 2048       # at once in a score array
 QUERIES = 256
 
@@ -62,46 +66,73 @@ def _accumulate(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
     return scores.astype(np.int64)
 
 
-def _best(query_ids: np.ndarray, queries: np.ndarray, k: int) -> Callable:
-    """The best k candidates of each partition for each query of the block."""
-    dimension = queries.shape[1]
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(d, ids, vectors): matrices of integer rows of one length, of about PACKED numbers."""
+    held: dict[int, list] = {}
+
+    def packed(d: int) -> pa.RecordBatch:
+        ids, vectors = zip(*held.pop(d))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([d], pa.int32()), pa.array([np.array(ids, np.int64).tobytes()], pa.binary()),
+             pa.array([_integers(np.stack(vectors)).tobytes()], pa.binary())], ["d", "ids", "vectors"])
+
+    for batch in batches:
+        for vec_id, v in zip(batch.column(0).to_pylist(), _rows(batch.column(1))):
+            own = held.setdefault(len(v), [])
+            own.append((vec_id, v))
+            if len(own) * len(v) >= PACKED:
+                yield packed(len(v))
+    for d in list(held):
+        yield packed(d)
+
 
+def _unpacked(rows: pa.Table, d: int) -> tuple[np.ndarray, np.ndarray]:
+    ids = np.concatenate([np.frombuffer(b.as_py(), np.int64) for b in rows.column("ids")])
+    return ids, np.concatenate([np.frombuffer(b.as_py(), np.float64) for b in rows.column("vectors")]).reshape(len(ids), d)
+
+
+def _meet(k: int) -> Callable:
+    """The best k candidates of each group for each query that meets it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept_id = np.zeros((len(query_ids), 0), np.int64)
-        kept_score = np.zeros((len(query_ids), 0), np.int64)
-        kept_real = np.zeros((len(query_ids), 0), bool)
-        for batch in batches:
-            vectors, ids = _rows(batch.column(1)), batch.column(0).to_numpy()
-            fits = [i for i, v in enumerate(vectors) if len(v) == dimension]
-            for at in range(0, len(fits), CANDIDATES):
-                own = fits[at:at + CANDIDATES]
-                matrix, own_ids = _integers(np.stack([vectors[i] for i in own])), ids[own]
-                new_id, new_score, new_real = [], [], []
-                for q in range(0, len(query_ids), QUERIES):
-                    scores = _accumulate(queries[q:q + QUERIES], matrix)
-                    for row, score in enumerate(scores):
-                        pick = np.flatnonzero(own_ids != query_ids[q + row])
-                        if len(pick) > k:
-                            mine = score[pick]
-                            bar = np.partition(mine, len(mine) - k)[len(mine) - k]
-                            pick = pick[mine >= bar]
-                        pick = pick[np.lexsort((own_ids[pick], -score[pick]))[:k]]
-                        pad = k - len(pick)
-                        new_id.append(np.pad(own_ids[pick], (0, pad)))
-                        new_score.append(np.pad(score[pick], (0, pad)))
-                        new_real.append(np.pad(np.ones(len(pick), bool), (0, pad)))
-                kept_id = np.concatenate([kept_id, np.stack(new_id)], axis=1)
-                kept_score = np.concatenate([kept_score, np.stack(new_score)], axis=1)
-                kept_real = np.concatenate([kept_real, np.stack(new_real)], axis=1)
-                order = np.lexsort((kept_id, -kept_score, ~kept_real), axis=1)[:, :k]
-                kept_id, kept_score, kept_real = (np.take_along_axis(x, order, 1) for x in (kept_id, kept_score, kept_real))
-        row, col = np.nonzero(kept_real)
-        if len(row):
-            yield pa.RecordBatch.from_arrays([pa.array(query_ids[row]), pa.array(kept_id[row, col]), pa.array(kept_score[row, col])],
-                                             ["query_id", "vec_id", "score"])
+        for group in sorted_groups(batches, ["part", "block", "d"]):
+            d = group.column("d")[0].as_py()
+            asking = pa.compute.equal(group.column("asks"), True)
+            queries, candidates = group.filter(asking), group.filter(pa.compute.invert(asking))
+            if len(queries) and len(candidates):
+                yield from _best(*_unpacked(queries, d), *_unpacked(candidates, d), k)
     return run
 
 
+def _best(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, candidates: np.ndarray, k: int) -> Iterator[pa.RecordBatch]:
+    kept_id = np.zeros((len(query_ids), 0), np.int64)
+    kept_score = np.zeros((len(query_ids), 0), np.int64)
+    kept_real = np.zeros((len(query_ids), 0), bool)
+    for at in range(0, len(ids), CANDIDATES):
+        matrix, own_ids = candidates[at:at + CANDIDATES], ids[at:at + CANDIDATES]
+        new_id, new_score, new_real = [], [], []
+        for q in range(0, len(query_ids), QUERIES):
+            for row, score in enumerate(_accumulate(queries[q:q + QUERIES], matrix)):
+                pick = np.flatnonzero(own_ids != query_ids[q + row])
+                if len(pick) > k:
+                    mine = score[pick]
+                    bar = np.partition(mine, len(mine) - k)[len(mine) - k]
+                    pick = pick[mine >= bar]
+                pick = pick[np.lexsort((own_ids[pick], -score[pick]))[:k]]
+                pad = k - len(pick)
+                new_id.append(np.pad(own_ids[pick], (0, pad)))
+                new_score.append(np.pad(score[pick], (0, pad)))
+                new_real.append(np.pad(np.ones(len(pick), bool), (0, pad)))
+        kept_id = np.concatenate([kept_id, np.stack(new_id)], axis=1)
+        kept_score = np.concatenate([kept_score, np.stack(new_score)], axis=1)
+        kept_real = np.concatenate([kept_real, np.stack(new_real)], axis=1)
+        order = np.lexsort((kept_id, -kept_score, ~kept_real), axis=1)[:, :k]
+        kept_id, kept_score, kept_real = (np.take_along_axis(x, order, 1) for x in (kept_id, kept_score, kept_real))
+    row, col = np.nonzero(kept_real)
+    if len(row):
+        yield pa.RecordBatch.from_arrays([pa.array(query_ids[row]), pa.array(kept_id[row, col]), pa.array(kept_score[row, col])],
+                                         ["query_id", "vec_id", "score"])
+
+
 def top_k(vectors: DataFrame, k: int = 5, every: int = 50, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the k highest inner products of each query with the other rows.
 
@@ -110,22 +141,28 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, vec_id: str = "vec_id
     there are fewer candidates. Rows with a null id, and vectors that are null, empty or hold a null or non-finite number,
     take no part; vectors of different lengths have no inner product. A query id that is repeated asks once, with its
     first vector in order; repeated candidates rank as rows of their own. Scores beyond 64 bits are clipped to them.
+    Other columns are ignored, whatever their names. An empty table gives an empty table.
     """
     spark = vectors.sparkSession
     rows = _vectors(vectors, vec_id, vector)
-    asked = rows.filter(F.col("vec_id") % every == 0)
-    schema = "query_id bigint, vec_id bigint, score bigint"
-    found = spark.createDataFrame([], schema)
-    sizes = {r["d"]: r["n"] for r in asked.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).collect()}
-    for d, n in sorted(sizes.items()):
-        blocks = -(-n * d // BLOCK_VALUES)
-        for b in range(blocks):
-            block = (asked.filter((F.size("v") == d) & (F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b))
-                     .groupBy("vec_id").agg(F.min("v").alias("v")).orderBy("vec_id").collect())
-            if block:
-                ids = np.array([r["vec_id"] for r in block], np.int64)
-                matrix = _integers(np.array([r["v"] for r in block], np.float64))
-                found = found.unionByName(rows.mapInArrow(_best(ids, matrix, k), schema))
+    asked = rows.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
+    packed = "d int, ids binary, vectors binary"
+    queries = stored(asked.mapInArrow(_pack, packed), "queries")
+    candidates = stored(rows.mapInArrow(_pack, packed), "candidates")
+
+    def numbers(df: DataFrame) -> int:
+        return df.agg(F.sum(F.octet_length("vectors"))).first()[0] // 8 if not df.isEmpty() else 0
+
+    # Every part of the queries meets every block of the candidates once, each pair in a place of its own.
+    parts = max(1, -(-numbers(queries) // BLOCK_VALUES))
+    blocks = max(1, -(-numbers(candidates) // BLOCK_VALUES), min(candidates.count(), spark.sparkContext.defaultParallelism))
+    mine = F.xxhash64("ids")
+    left = queries.select("*", F.lit(True).alias("asks"), F.pmod(mine, F.lit(parts)).cast("int").alias("part"),
+                          F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+    right = candidates.select("*", F.lit(False).alias("asks"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"),
+                              F.pmod(mine, F.lit(blocks)).cast("int").alias("block"))
+    pairs = left.unionByName(right).repartition(parts * blocks, "part", "block").sortWithinPartitions("part", "block", "d")
+    found = pairs.mapInArrow(_meet(k), "query_id bigint, vec_id bigint, score bigint")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int"), "vec_id", "score"))
