@@ -8,7 +8,7 @@ import pytest
 from conftest import AS_OF, RUN_TS, at
 from fixtures import d, frames, g1_tables, g4_tables
 from pyspark.sql import functions as F
-from rodovia.plans import quality as Q, refresh, reports, views
+from rodovia.plans import maintained, quality as Q, refresh, reports, views
 from rodovia.plans.star import GateError
 from rodovia.sources.extract import Log
 
@@ -110,9 +110,10 @@ def test_second_load_changes_nothing(spark, tmp_path):
 
 def test_incremental_run_keeps_history_and_keys(spark, tmp_path):
     tables = g1_tables()
-    cfg = config(tmp_path)
+    cfg = config(tmp_path, maintain_views=True)
     refresh.run_all(spark, {1: frames(spark, tables)}, cfg)
     before = {r.locacao_id: r.sk_fato_locacao for r in cfg.store(spark, "dw").read("fato_locacao").collect()}
+    parts = cfg.store(spark, "dw").current()[1]
 
     # Four weeks on: rental 3 is corrected into another month, rental 4 is new, 1 and 2 left the window.
     ddl, rows = tables["locacao"]
@@ -121,7 +122,7 @@ def test_incremental_run_keeps_history_and_keys(spark, tmp_path):
     fourth = (4, None, 1, 1, 1, 2, at(26), at(26), at(28), None, 10350, None, "ok", None, at(26))
     tables["locacao"] = (ddl, [rows[0], rows[1], tuple(third), fourth])
     tables["cliente"] = (tables["cliente"][0], [(1, "Alice P.", "PF", "Niteroi"), *tables["cliente"][1][1:]])
-    later = config(tmp_path, run_ts=RUN_TS + dt.timedelta(days=20))
+    later = config(tmp_path, run_ts=RUN_TS + dt.timedelta(days=20), maintain_views=True, keep_versions=2)
     refresh.run_all(spark, {1: frames(spark, tables)}, later)
     staged = cfg.store(spark, "stg").read("locacao")
     assert sorted(r.src_id for r in staged.collect()) == [3, 4]
@@ -132,6 +133,16 @@ def test_incremental_run_keeps_history_and_keys(spark, tmp_path):
     assert rows["1-3"].mes_particao == at(25).year * 100 + at(25).month
     names = {r.cliente_id: r.nome for r in cfg.store(spark, "dw").read("dim_cliente").collect()}
     assert names["1-1"] == "Alice P."
+    # The maintained views follow; only the parts of the two months of rental 3 and of the new one were computed.
+    store, dw = cfg.store(spark, "dw"), refresh.warehouse(cfg.store(spark, "dw"))
+    now = store.current()[1]
+    assert now["parte_reservas_status"] == parts["parte_reservas_status"]
+    assert {m for m, p in now["parte_locacoes_dia"].items() if parts["parte_locacoes_dia"].get(m) != p} == {
+        str(day.year * 100 + day.month) for day in (at(-4), at(25), at(26))}
+    kept = maintained.current(store)
+    for name, frame in kept.items():
+        whole = reports.monthly_revenue(dw) if name == "r1_monthly_revenue" else views.VIEWS[name](dw)
+        assert content(frame) == content(whole), name
 
 
 def test_orphan_rental_stops_or_is_set_aside(spark, tmp_path):
@@ -189,6 +200,9 @@ def test_gates_raise(spark, loaded):
         Q.run_gates({**dw, "dim_cliente": dw["dim_cliente"].union(dw["dim_cliente"])})
     with pytest.raises(Q.DataQualityError, match="empty"):
         Q.run_gates({**dw, "fato_locacao": dw["fato_locacao"].limit(0)})
+    negative = dw["fato_reserva"].withColumn("dias_reservados", F.lit(-1))
+    with pytest.raises(Q.DataQualityError, match="dias_negativos"):
+        Q.run_gates({**dw, "fato_reserva": negative})
     with pytest.raises(Q.DataQualityError, match="orphan"):
         Q.run_gates({**dw, "dim_patio": dw["dim_patio"].limit(1)})
 
