@@ -29,11 +29,12 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from rodovia.llm.shingles import mix64, text_slices
-from rodovia.llm.tables import sorted_groups, stored
+from rodovia.llm.tables import release, sorted_groups, stored
 
 WINDOW, ANCHOR = 50, 20
-SHARD_BYTES = 16 << 20    # of text whose spans one shard of step 2 gets
-FLUSH_BYTES = 8 << 20     # of text whose spans a scan task holds at once
+SHARD_BYTES = 12 << 20    # of text whose spans one shard of step 2 gets
+TASK_SHARDS = 2           # that a task gets on average, one after the other
+FLUSH_BYTES = 16 << 20    # of text whose spans a scan task holds at once
 SHARD_SPANS = 8192        # spans in a shard of step 3
 HOT = 64                  # rows of one span in a scan batch from which it counts as hot
 _CHUNK = 1 << 19
@@ -43,7 +44,10 @@ _PLACE = _U((1 << 21) - 1)  # room for a place in a chunk
 _RNG = np.random.default_rng(20240502)
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) | _U(1)
 _P = int(_RNG.integers(1, 1 << 62)) * 2 + 1
-_FIELDS = (("h", np.uint32), ("fp", np.uint64), ("doc", np.int64), ("at", np.int64), ("n", np.uint8), ("hot", np.uint8))
+#: Of a span hash 48 bits travel; they tell spans apart whose anchor hashes are equal.
+_FP = _U((1 << 48) - 1)
+_FIELDS = (("h", np.uint32), ("fp", np.uint64), ("doc", np.int64), ("row", np.int64), ("at", np.int64), ("n", np.uint8), ("hot", np.uint8))
+_DELTAS = ("doc", "row", "at")
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -89,7 +93,10 @@ def _packed(rows: dict[str, np.ndarray]) -> bytes:
     parts = [len(rows["h"]).to_bytes(4, "little")]
     for name, kind in _FIELDS:
         v = rows[name].astype(kind)
-        parts.append((np.diff(v, prepend=v.dtype.type(0)) if name in ("doc", "at") else v).tobytes())
+        if name == "fp":
+            parts += [v.astype(np.uint32).tobytes(), (v >> _U(32)).astype(np.uint16).tobytes()]
+        else:
+            parts.append((np.diff(v, prepend=v.dtype.type(0)) if name in _DELTAS else v).tobytes())
     return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
 
 
@@ -97,21 +104,34 @@ def _unpacked(block: bytes) -> dict[str, np.ndarray]:
     data = zstandard.ZstdDecompressor().decompress(block)
     n, at, out = int.from_bytes(data[:4], "little"), 4, {}
     for name, kind in _FIELDS:
+        if name == "fp":
+            low, high = np.frombuffer(data, np.uint32, n, at), np.frombuffer(data, np.uint16, n, at + 4 * n)
+            out[name] = low.astype(np.uint64) | (high.astype(np.uint64) << _U(32))
+            at += 6 * n
+            continue
         v = np.frombuffer(data, kind, n, at)
-        out[name] = np.cumsum(v) if name in ("doc", "at") else v
+        out[name] = np.cumsum(v) if name in _DELTAS else v
         at += v.nbytes
     return out
 
 
+def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc, row, text) with each text compressed by itself: texts are dealt out twice."""
+    press = zstandard.ZstdCompressor(level=1)
+    for batch in batches:
+        texts = [None if t is None else press.compress(t.encode()) for t in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.binary())], ["doc", "row", "text"])
+
+
 def _scan(shards: int) -> Callable:
     """Step 1: one block of spans per batch and shard."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         power, inverse = _powers(_P, _CHUNK * 3 + WINDOW), _powers(pow(_P, -1, 1 << 64), _CHUNK * 3 + WINDOW)
         for batch in batches:
-            ids = batch.column(0).to_numpy()
+            ids, keys = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             found: list[tuple] = []
             held = 0
-            for row, raw, offs in text_slices(batch.column(1), _CHUNK):
+            for row, raw, offs in text_slices(batch.column(2), _CHUNK):
                 # A long text goes in chunks that overlap by all but one byte of a string.
                 for lo in range(0, max(len(raw), 1), 2 * _CHUNK):
                     part = raw[lo:lo + 2 * _CHUNK + WINDOW - 1]
@@ -124,7 +144,7 @@ def _scan(shards: int) -> Callable:
                         continue
                     h, fp, at, count = _spans(part, begin[long], end[long], power, inverse)
                     which = np.flatnonzero(long)[np.searchsorted(begin[long], at, "right") - 1]
-                    found.append((h, fp, ids[row + which], at + lo - offs[which], count.astype(np.uint8)))
+                    found.append((h, fp & _FP, ids[row + which], keys[row + which], at + lo - offs[which], count.astype(np.uint8)))
                     held += len(part)
                     if held >= FLUSH_BYTES:
                         yield _dealt(found, shards)
@@ -136,7 +156,7 @@ def _scan(shards: int) -> Callable:
 
 def _dealt(found: list[tuple], shards: int) -> pa.RecordBatch:
     """The spans found so far as one block per shard; of a hot span one row more, with its smallest document."""
-    h, fp, doc, at, n = (np.concatenate(x) for x in zip(*found))
+    h, fp, doc, key, at, n = (np.concatenate(x) for x in zip(*found))
     hot = np.zeros(len(h), np.uint8)
     order = np.argsort(fp, kind="stable")
     edge = np.flatnonzero(np.concatenate([[True], fp[order][1:] != fp[order][:-1]]))
@@ -148,7 +168,7 @@ def _dealt(found: list[tuple], shards: int) -> pa.RecordBatch:
         summary.append(rows[np.argmin(doc[rows])])
     shard = (h % _U(shards)).astype(np.int64)
     shard[hot == 2] = (mix64(doc[hot == 2].astype(np.uint64)) % _U(shards)).astype(np.int64)
-    rows = {"h": h >> _U(32), "fp": fp, "doc": doc, "at": at, "n": n, "hot": hot}
+    rows = {"h": h >> _U(32), "fp": fp, "doc": doc, "row": key, "at": at, "n": n, "hot": hot}
     if summary:
         rows = {k: np.concatenate([v, v[summary]]) for k, v in rows.items()}
         rows["hot"][len(h):] = 1
@@ -162,14 +182,16 @@ def _dealt(found: list[tuple], shards: int) -> pa.RecordBatch:
         ["shard", "spans"])
 
 
-_OUT = "kind int, h bigint, fp bigint, doc bigint, at bigint, n int"
+_OUT = "kind int, h bigint, fp bigint, doc bigint, row bigint, at bigint, n int"
 
 
 def _emit(kind: int, rows: dict[str, np.ndarray], pick: np.ndarray) -> pa.RecordBatch:
+    # In order of document and place, which files compress well; of covered spans no hash is asked any more.
+    pick = pick[np.lexsort((rows["at"][pick], rows["row"][pick], rows["doc"][pick]))]
+    h, fp = (np.zeros(len(pick), np.int64) if kind == COVERED else rows[k][pick].astype(np.int64) for k in ("h", "fp"))
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(len(pick), kind, np.int32)), pa.array(rows["h"][pick].astype(np.int64)),
-         pa.array(rows["fp"][pick].view(np.int64)), pa.array(rows["doc"][pick]), pa.array(rows["at"][pick]),
-         pa.array(rows["n"][pick].astype(np.int32))], ["kind", "h", "fp", "doc", "at", "n"])
+        [pa.array(np.full(len(pick), kind, np.int32)), pa.array(h), pa.array(fp), pa.array(rows["doc"][pick]), pa.array(rows["row"][pick]),
+         pa.array(rows["at"][pick]), pa.array(rows["n"][pick].astype(np.int32))], ["kind", "h", "fp", "doc", "row", "at", "n"])
 
 
 COVERED, FIRST, PLACE, ANSWER = 0, 1, 2, 3
@@ -206,23 +228,26 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _with_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of the listed spans of each document."""
+    open_ = zstandard.ZstdDecompressor()
     for batch in batches:
-        out: list[tuple] = []
-        for doc, text, spans in zip(batch.column("doc"), batch.column("text"), batch.column("spans")):
-            raw = text.as_py().encode()
-            for s in spans.as_py():
-                out.append((s["h"], s["fp"], doc.as_py(), s["at"], s["n"], raw[s["at"]:s["at"] + s["n"] + WINDOW - 1]))
-                if len(out) >= 50_000:
-                    yield _span_batch(out)
-                    out = []
-        if out:
-            yield _span_batch(out)
-
-
-def _span_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                                      ["h", "fp", "doc", "at", "n", "bytes"])
+        spans = batch.column(3)
+        if isinstance(spans, pa.ChunkedArray):
+            spans = spans.combine_chunks()
+        edge = np.concatenate([[0], np.cumsum(spans.value_lengths().to_numpy())])
+        flat = spans.flatten()
+        at, n = flat.field("at").to_numpy(), flat.field("n").to_numpy()
+        for lo in range(0, batch.num_rows, 512):
+            hi = min(lo + 512, batch.num_rows)
+            parts = []
+            for i in range(lo, hi):
+                raw = open_.decompress(batch.column(2)[i].as_py())
+                parts += [raw[b:e] for b, e in zip(at[edge[i]:edge[i + 1]].tolist(),
+                                                   (at[edge[i]:edge[i + 1]] + n[edge[i]:edge[i + 1]] + WINDOW - 1).tolist())]
+            own = flat.slice(edge[lo], edge[hi] - edge[lo])
+            owner = pa.array(np.repeat(np.arange(lo, hi), np.diff(edge[lo:hi + 1])))
+            yield pa.RecordBatch.from_arrays(
+                [own.field("h"), own.field("fp"), batch.column(0).take(owner), batch.column(1).take(owner), own.field("at"), own.field("n"),
+                 pa.array(parts, pa.binary())], ["h", "fp", "doc", "row", "at", "n", "bytes"])
 
 
 def suffix_array(text: np.ndarray, depth: int = 64) -> tuple[np.ndarray, np.ndarray]:
@@ -264,29 +289,39 @@ def suffix_array(text: np.ndarray, depth: int = 64) -> tuple[np.ndarray, np.ndar
 def common_prefixes(order: np.ndarray, packed: np.ndarray, depth: int = 64) -> np.ndarray:
     """Common bytes (up to ``depth``) of each suffix with the one before it in order; 0 for the first.
 
-    Pairs are visited in text order, as Kasai does, eight bytes at a step.
+    Kasai's rule: in text order a suffix shares at least one byte less with its neighbour than the suffix that starts a byte
+    earlier shared with its own, so comparing goes on from there, eight bytes at a step. Suffixes that share ``depth`` bytes are
+    in no order of what follows, so behind them comparing begins anew. The text is cut into chunks that are walked side by side.
     """
     n = len(order)
     before = np.full(n, -1)
     before[order[1:]] = order[:-1]
     common = np.zeros(n, np.int64)
-    open_ = np.flatnonzero(before >= 0)
-    for step in range(0, depth, 8):
-        i, j = open_ + step, before[open_] + step
-        fits = (i < n) & (j < n)
-        open_, i, j = open_[fits], i[fits], j[fits]
-        apart = packed[i] ^ packed[j]
-        same = apart == 0
-        common[open_[same]] += 8
-        rest = apart[~same]
-        # Equal leading bytes of the first eight that differ.
-        lead = np.zeros(len(rest), np.int64)
-        for b in range(1, 8):
-            lead += (rest >> _U(64 - 8 * b)) == 0
-        common[open_[~same]] += lead
-        open_ = open_[same]
-        if len(open_) == 0:
-            break
+    size = max(1, int(n ** 0.5) // 4)
+    place = np.arange(0, n, size)
+    carried = np.zeros(len(place), np.int64)
+    for _ in range(size):
+        place, carried = place[place < n], carried[:np.count_nonzero(place < n)]
+        other = before[place]
+        carried = np.where(other >= 0, carried, 0)
+        open_ = np.flatnonzero(other >= 0)
+        while len(open_):
+            i, j = place[open_] + carried[open_], other[open_] + carried[open_]
+            fits = (i < n) & (j < n)
+            open_, i, j = open_[fits], i[fits], j[fits]
+            apart = packed[i] ^ packed[j]
+            same = apart == 0
+            # Equal leading bytes of the first eight that differ.
+            lead = np.full(len(apart), 8)
+            rest = apart[~same]
+            lead[~same] = sum(((rest >> _U(64 - 8 * b)) == 0).astype(np.int64) for b in range(1, 8))
+            carried[open_] = np.minimum(carried[open_] + lead, depth)
+            open_ = open_[same & (carried[open_] < depth)]
+        # The end of the text is padded with zero bytes, which are no common ones.
+        carried = np.minimum(carried, n - np.maximum(place, other))
+        common[place] = carried
+        carried = np.where(carried < depth, np.maximum(carried - 1, 0), 0)
+        place = place + 1
     return common[order]
 
 
@@ -315,7 +350,7 @@ def _shard_strings(doc: np.ndarray, n: np.ndarray, texts: list[bytes]) -> tuple:
 def _covered_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Step 3, per pair of shards: the stretches of spans that occur in an earlier document."""
     for group in sorted_groups(batches, ["bucket", "lo", "hi"]):
-        doc, at, n = (group.column(c).to_numpy() for c in ("doc", "at", "n"))
+        doc, key, at, n = (group.column(c).to_numpy() for c in ("doc", "row", "at", "n"))
         part = group.column("mine").to_numpy()
         texts = [b.as_py() for b in group.column("bytes")]
         sides = []
@@ -340,33 +375,34 @@ def _covered_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             head = np.flatnonzero(np.concatenate([[True], (span[1:] != span[:-1]) | (place[1:] != place[:-1] + 1)]))
             count = np.diff(np.append(head, len(span)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(doc[span[head]]), pa.array(at[span[head]] + place[head]), pa.array(count.astype(np.int32))],
-                ["doc", "at", "n"])
+                [pa.array(doc[span[head]]), pa.array(key[span[head]]), pa.array(at[span[head]] + place[head]),
+                 pa.array(count.astype(np.int32))], ["doc", "row", "at", "n"])
 
 
 def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Step 4."""
+    open_ = zstandard.ZstdDecompressor()
     for batch in batches:
+        places = batch.column(2)
+        if isinstance(places, pa.ChunkedArray):
+            places = places.combine_chunks()
+        edge = np.concatenate([[0], np.cumsum(places.value_lengths().fill_null(0).to_numpy())])
+        flat = places.flatten()
+        at, n = flat.field("at").to_numpy(), flat.field("n").to_numpy()
         out = []
-        for doc, text, places in zip(*(batch.column(c) for c in ("doc", "text", "places"))):
-            raw = (text.as_py() or "").encode()
-            kept, removed, runs, last = [], 0, 0, 0
-            for p in sorted((p["at"], p["n"]) for p in places.as_py() or ()):
-                begin, end = p[0], p[0] + p[1] + WINDOW - 1
-                if begin > last or runs == 0:
-                    kept.append(raw[last:begin])
-                    runs += 1
-                    removed += end - begin
-                    last = end
-                elif end > last:
-                    removed += end - last
-                    last = end
-            kept.append(raw[last:])
-            kept = b"".join(kept)
-            out.append((doc.as_py(), len(raw), removed, runs, hashlib.sha256(kept).hexdigest(), kept))
+        for i, text in enumerate(batch.column(1)):
+            raw = b"" if not text.is_valid else open_.decompress(text.as_py())
+            begin, end = at[edge[i]:edge[i + 1]], at[edge[i]:edge[i + 1]] + n[edge[i]:edge[i + 1]] + WINDOW - 1
+            order = np.argsort(begin, kind="stable")
+            begin, reach = begin[order], np.maximum.accumulate(end[order])
+            # Runs of places that touch or overlap.
+            head = np.flatnonzero(np.concatenate([[True], begin[1:] > reach[:-1]])) if len(begin) else np.zeros(0, np.int64)
+            lows, highs = begin[head], reach[np.append(head[1:], len(begin)) - 1] if len(head) else reach
+            kept = b"".join(raw[b:e] for b, e in zip([0, *highs.tolist()], [*lows.tolist(), len(raw)]))
+            out.append((len(raw), int((highs - lows).sum()), len(head), hashlib.sha256(kept).hexdigest(), kept))
         if out:
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, k) for c, k in zip(zip(*out), kinds)]],
                                              ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 
@@ -375,24 +411,30 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
     A byte of the UTF-8 text goes if a 50-byte string that covers it also starts in a document with a smaller doc_id;
     strings never cross documents and are judged on the input. A null text has no bytes. A row without doc_id loses nothing
-    and is nobody's earlier document. Repeated rows (the same doc_id and text) lose the same bytes and nothing to each
-    other; an id must not have different texts. Other columns are ignored. An empty table gives an empty table.
+    and is nobody's earlier document. Rows that repeat a doc_id are judged each by its own text and lose nothing to each
+    other. Other columns are ignored. An empty table gives an empty table.
     """
-    docs = docs.select(F.col(doc_id).cast("bigint").alias("doc"), F.col(text).cast("string").alias("text"))
+    spark = docs.sparkSession
+    docs = docs.select(F.col(doc_id).cast("bigint").alias("doc"), F.xxhash64(F.col(text).cast("string")).alias("row"),
+                       F.col(text).cast("string").alias("text"))
     named = docs.filter(f"doc is not null and octet_length(text) >= {WINDOW}")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-size // SHARD_BYTES))
-    blocks = named.mapInArrow(_scan(shards), "shard int, spans binary").repartition(shards, "shard")
+    blocks = named.mapInArrow(_scan(shards), "shard int, spans binary").repartition(-(-shards // TASK_SHARDS), "shard")
     settled = stored(blocks.sortWithinPartitions("shard").mapInArrow(_settle, _OUT), "spans")
-    span = ["doc", "at", "n"]
+    release(spark)
+    pressed = docs.mapInArrow(_compressed, "doc bigint, row bigint, text binary")
+    span = ["doc", "row", "at", "n"]
     hot = (settled.filter(F.col("kind") == PLACE)
            .join(settled.filter(F.col("kind") == ANSWER).groupBy("h", "fp").agg(F.min("doc").alias("low")), ["h", "fp"]))
     covered = settled.filter(F.col("kind") == COVERED).select(span).unionByName(hot.filter("doc > low").select(span))
     first = (settled.filter(F.col("kind") == FIRST).select("h", "fp", *span)
              .unionByName(hot.filter("doc = low").select("h", "fp", *span)).distinct())
-    asked = first.groupBy("doc").agg(F.collect_list(F.struct("h", "fp", "at", "n")).alias("spans"))
-    loaded = stored(docs.join(asked.hint("merge"), "doc").mapInArrow(
-        _with_bytes, "h bigint, fp bigint, doc bigint, at bigint, n int, bytes binary").distinct(), "span_bytes")
+    asked = first.groupBy("doc", "row").agg(F.collect_list(F.struct("h", "fp", "at", "n")).alias("spans"))
+    # Rows that repeat an id and text give their spans once.
+    loaded = stored(pressed.join(asked.hint("merge"), ["doc", "row"]).dropDuplicates(["doc", "row"]).select("doc", "row", "text", "spans")
+                    .mapInArrow(_with_bytes, "h bigint, fp bigint, doc bigint, row bigint, at bigint, n int, bytes binary"), "span_bytes")
+    release(spark)
     buckets = max(1, -(-loaded.count() // SHARD_SPANS))
     loaded = loaded.withColumn("bucket", F.pmod(F.xxhash64("h"), F.lit(buckets)))
     sizes = loaded.groupBy("bucket").agg(F.count("*").alias("size"))
@@ -402,8 +444,9 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
              .withColumn("lo", F.least("mine", "other")).withColumn("hi", F.greatest("mine", "other")))
     keys = ["bucket", "lo", "hi"]
-    found = (dealt.select(*keys, "mine", *span, "bytes").repartition(*keys).sortWithinPartitions(*keys)
-             .mapInArrow(_covered_strings, "doc bigint, at bigint, n int"))
-    places = covered.unionByName(found).groupBy("doc").agg(F.collect_list(F.struct("at", "n")).alias("places"))
-    return docs.join(places.hint("merge"), "doc", "left").select("doc", "text", "places").mapInArrow(
+    found = stored(dealt.select(*keys, "mine", *span, "bytes").repartition(*keys).sortWithinPartitions(*keys)
+                   .mapInArrow(_covered_strings, "doc bigint, row bigint, at bigint, n int"), "covered")
+    release(spark)
+    places = covered.unionByName(found).groupBy("doc", "row").agg(F.collect_set(F.struct("at", "n")).alias("places"))
+    return pressed.join(places.hint("merge"), ["doc", "row"], "left").select("doc", "text", "places").mapInArrow(
         _cut_out, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
