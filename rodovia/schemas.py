@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame
-from pyspark.sql.types import StructType
 
 SOURCES = (1, 2, 3, 4)
 
@@ -74,12 +73,3 @@ def to_schema(df: DataFrame, ddl: str) -> DataFrame:
         raise ValueError(f"unexpected columns {sorted(extra)}")
     return df.selectExpr(*[f"CAST({n if n in present else 'NULL'} AS {t}) AS {n}"
                            for n, t in types.items()])
-
-
-def require_columns(df: DataFrame, ddl: str, label: str) -> DataFrame:
-    """Raise unless ``df`` has exactly the columns and types of ``ddl``."""
-    want = [(f.name, f.dataType) for f in StructType.fromDDL(ddl).fields]
-    have = [(f.name, f.dataType) for f in df.schema.fields]
-    if want != have:
-        raise ValueError(f"{label}: schema differs: {sorted(set(map(str, want)) ^ set(map(str, have)))}")
-    return df

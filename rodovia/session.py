@@ -52,6 +52,19 @@ def shared_root(spark: SparkSession) -> str:
     return _LOCAL_SCRATCH[app]
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_root(spark).rstrip('/')}/rodovia-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder, in a folder of this application."""
+    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Delete all that this application has put into the shared folder; whether there was anything.
+
+    Results are lazy and read what lies there, so this is for the end, when they have been written.
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    return root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)

@@ -216,9 +216,14 @@ def g2_locacao(src, opts, mark):
     fuel_in = _renamed(state, _spec_dev="id_spec_var", _gas_dev="gasolina")
     fees = src.table("custos_devolucao").select("id_caucao", "valor_atraso", "valor_reparos")
     slot = _renamed(src.table("vaga"), id_vaga="id_vaga", _patio_dev="id_patio")
-    rows = (src.table("locacao")
-            .join(given_back, "id_locacao", "left")
-            .filter(_since("data_locacao", mark) | F.col("id_devolucao").isNull())
+    rentals, recent = src.table("locacao"), F.coalesce(_since("data_locacao", mark), F.lit(False))
+    # Rentals past the mark with their returns, older ones only without: both sides of the mark reach the scan, and what has
+    # come back long ago meets nothing but the returns' keys.
+    rows = rentals.filter(recent).join(given_back, "id_locacao", "left")
+    if mark is not None:
+        still_out = rentals.filter(~recent).join(given_back.filter("id_devolucao IS NOT NULL").select("id_locacao"), "id_locacao", "left_anti")
+        rows = rows.unionByName(still_out, allowMissingColumns=True)
+    rows = (rows
             .join(booking, "id_reserva")
             .join(_renamed(state, id_spec_var="id_spec_var", _gas_ret="gasolina"), "id_spec_var")
             .join(fuel_in, "_spec_dev", "left")

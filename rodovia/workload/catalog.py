@@ -1148,7 +1148,7 @@ plain("q04_dw_duplicates", "tabela:s chaves:i linhas:i",
 plain("q02_nulls", "tabela:s grupo_fonte:i coluna:s nulos:i",
       ua(f"select '{t}' tabela, grupo_fonte, '{c}' coluna, count(*) filter (where {c} is null or "
          f"trim(cast({c} as varchar)) = '') nulos from {S_NAMES[t]} group by 2"
-         for t, cols in Q.REQUIRED_STAGING.items() for c in cols),
+         for t, cols in O.MANDATORY.items() for c in cols),
       lambda x: Q.null_audit(x.staging, Q.REQUIRED_STAGING))
 _Q3 = ("cliente", "veiculo", "condutor", "reserva", "locacao", "cobranca", "movimentacao_patio")
 plain("q03_staging_duplicates", "tabela:s chaves:i linhas:i",
@@ -1223,12 +1223,9 @@ plain("q11_unresolved", "tabela:s referencia:s nulos:i orfaos:i",
          for t in ("conf_reserva", "conf_locacao", "conf_movimentacao_patio")
          for c, d, k, _ in CONF_REFERENCES[t]),
       lambda x: Q.unresolved_dimensions(x.conf))
-_SQL_NK = {"sk_cliente": "cliente_nk", "sk_condutor": "condutor_nk", "sk_veiculo": "veiculo_nk",
-           "sk_grupo_veiculo": "grupo_veiculo_nk", "sk_empresa": "empresa_nk", "sk_patio": "patio_nk"}
 plain("q12_orphan_keys", "tabela:s chave:s orfaos:i",
-      ua(f"select '{t}' tabela, '{c}' chave, "
-         + _dangling(F_NAMES[t], _SQL_NK[c] if t == "dim_veiculo" else c, F_NAMES[d], _SQL_NK[k]) + " orfaos"
-         for t, c, d, k in Q.STAR_KEYS),
+      ua(f"select '{t}' tabela, '{c}' chave, " + _dangling(child, column, parent, key) + " orfaos"
+         for t, c, child, column, parent, key in O.STAR_LINKS),
       lambda x: Q.orphan_keys(x.dw_written))
 
 
@@ -1327,8 +1324,25 @@ plain("q19_domains", "campo:s valor:s qtd:i",
       ua(f"select '{t}.{c}' campo, {c} valor, count(*) qtd from {K_NAMES[t]} group by 2"
          for t, c in Q.CATEGORICALS), lambda x: Q.observed_domains(x.conf))
 plain("q20_domain_gate", "campo:s linhas:i fora_do_dominio:i",
-      ua(f"select '{t}.{c}' campo, count(*) linhas, 0 fora_do_dominio from {F_NAMES[t]}"
-         for t, c in Q.DOMAINS), lambda x: Q.domain_violations(x.dw_written))
+      ua(f"select '{f}' campo, count(*) linhas, count(*) filter (where {c} not in ({labels})) fora_do_dominio from {t}"
+         for f, t, c, labels in O.LABELLED), lambda x: Q.domain_violations(x.dw_written))
+plain("q20_seeded_violations", "campo:s linhas:i fora_do_dominio:i",
+      ua(f"select '{f}' campo, count(*) linhas, count(*) filter (where v not in ({labels})) fora_do_dominio from "
+         f"(select if(length({c}) = 4, 'errado', {c}) v from {t})" for f, t, c, labels in (
+             (f, t, c, labels) if c != "tipo" else (f, t, "if(length(cidade) = 4, 'erro', tipo)", labels) for f, t, c, labels in O.LABELLED)),
+      lambda x: Q.domain_violations(_mislabelled(x)))
+
+
+def _mislabelled(x: Context) -> dict[str, DataFrame]:
+    """The star with labels of four letters replaced by one that no domain has."""
+    def wrong(rows: DataFrame, *columns: str) -> DataFrame:
+        return rows.withColumns({c: F.when(F.length(c) == 4, "errado").otherwise(F.col(c)) for c in columns})
+
+    clients = x.dw["dim_cliente"].withColumn("tipo", F.when(F.length("cidade") == 4, "errado").otherwise(F.col("tipo")))
+    return {"dim_cliente": clients, "dim_veiculo": wrong(x.dw["dim_veiculo"], "tipo_mecanizacao", "status"),
+            "fato_reserva": wrong(x.dw["fato_reserva"], "status_reserva"), "fato_locacao": wrong(x.dw["fato_locacao"], "status_cobranca")}
+
+
 plain("q21_imputation", "tabela:s imputados:i total:i",
       "select 'conf_cliente' tabela, count(*) filter (where flag_nome_imputado) imputados, count(*) total from k_cliente "
       "union all select 'conf_veiculo', count(*) filter (where flag_placa_imputada), count(*) from k_veiculo",
@@ -1391,15 +1405,15 @@ plain("i5_uniqueness", "tabela:s coluna:s chaves:i linhas:i",
          f"where {c} is not null group by {c} having count(*) > 1)" for t, cs in I.UNIQUE.items() for c in cs),
       lambda x: I.uniqueness(x.oltp))
 plain("i6_foreign_keys", "tabela:s coluna:s pai:s orfaos:i",
-      ua(f"select '{r.child}' tabela, '{r.column}' coluna, '{r.parent}' pai, "
-         f"{_dangling('o_' + r.child, r.column, 'o_' + r.parent, 'id')} orfaos" for r in I.REFERENCES),
+      ua(f"select '{child}' tabela, '{column}' coluna, '{parent}' pai, {_dangling('o_' + child, column, 'o_' + parent, 'id')} orfaos"
+         for child, column, parent, _ in O.FOREIGN),
       lambda x: I.foreign_keys(x.oltp))
 
 
 def _impact_sql(table: str, where: str) -> str:
-    return ua(f"select '{r.child}' tabela, '{r.column}' coluna, '{r.on_delete}' acao, (select count(*) from o_{r.child} "
-              f"where {r.column} in (select id from o_{table} where {where})) linhas"
-              for r in I.REFERENCES if r.parent == table)
+    return ua(f"select '{child}' tabela, '{column}' coluna, '{action}' acao, (select count(*) from o_{child} "
+              f"where {column} in (select id from o_{table} where {where})) linhas"
+              for child, column, parent, action in O.FOREIGN if parent == table)
 
 
 plain("i7_delete_vehicle", "tabela:s coluna:s acao:s linhas:i", _impact_sql("veiculo", "status = 'vendido'"),
@@ -1464,7 +1478,7 @@ def _appended(x: Context, stream: DataFrame) -> DataFrame:
     return x.spark.read.schema(stream.schema).parquet(out)
 
 
-LIVE_FILES = 6
+LIVE_FILES = 3
 
 
 def _arrivals(x: Context, rows: DataFrame, feed: str) -> None:
@@ -1490,21 +1504,22 @@ def _closing(x: Context) -> DataFrame:
                          for f in events.schema.fields]).filter("ts is not null")
 
 
-def _handed_over(x: Context, overlap: str = "INTERVAL 0 SECONDS") -> HandOver:
+def _handed_over(x: Context, overlap: str = "INTERVAL 0 SECONDS", closing: bool = False) -> HandOver:
     """A feed whose older half is a backlog in any order and whose newer half arrives after the cut.
 
-    What happened less than ``overlap`` before the cut arrives once more after it.
+    What happened less than ``overlap`` before the cut arrives once more after it. ``closing``: an event that ends the feed.
     """
     events, feed = x.table("events"), scratch_path(x.spark, "feed")
-    middle = events.agg((F.min(F.unix_micros(F.col("ts").cast("timestamp"))) + F.max(F.unix_micros(F.col("ts").cast("timestamp")))) / 2).first()[0]
     ts = F.unix_micros(F.col("ts").cast("timestamp"))
+    middle = events.agg((F.min(ts) + F.max(ts)) / 2).first()[0]
     old = events.filter(ts < F.lit(int(middle or 0)))
     old.repartition(8, F.xxhash64("event_id")).write.parquet(feed)
     over = HandOver(x.spark, feed, events.schema, scratch_path(x.spark, "handover"))
     over.history_files()
     again = F.timestamp_micros(F.lit(int(middle or 0))) - F.expr(overlap)
     _arrivals(x, events.filter(F.col("ts").cast("timestamp") >= again), feed)
-    _arrivals(x, _closing(x), feed)
+    if closing:
+        _arrivals(x, _closing(x), feed)
     return over
 
 
@@ -1513,7 +1528,7 @@ def _summed(x: Context, name: str, by: list[str], parts: Callable[[DataFrame], D
     over = _handed_over(x)
     over.keep_history(name, lambda rows: parts(T.telemetry(rows)))
     jobs.finish(over.follow(name, lambda rows: parts(T.telemetry(rows).withWatermark("ts", T.WATERMARK)), _session(x), 1))
-    return over.parts(name, by).filter(F.col("inicio") < F.lit(x.table("events").agg(F.max("ts")).first()[0]) + F.expr("INTERVAL 12 HOURS"))
+    return over.parts(name, by)
 
 
 _MEAN = f"{_H('sum(speed*100)::bigint', 'count(*)')} / 100.0"
@@ -1631,7 +1646,7 @@ plain("z_order", "event_id:i vehicle:i seq:i",
        "select event_id, vehicle, row_number() over (partition by vehicle order by ts, event_id) seq from p_tel")
 def z_order_stream(x: Context) -> DataFrame:
     """The backlog numbered by the batch function; the stream goes on from each vehicle's last number."""
-    over = _handed_over(x)
+    over = _handed_over(x, closing=True)
     past = over.keep_history("ordem", lambda rows: with_sequence(T.telemetry(rows), "vehicle", "ts", "event_id"))
     path = scratch_path(x.spark, "begun")
     past.groupBy("vehicle").agg(F.max("seq").alias("base"), F.max(F.unix_micros("ts")).alias("until")).write.parquet(path)

@@ -403,6 +403,53 @@ CTE["p_ar"] = """select l_partkey % (select max(user_id) + 1 from events) vehicl
   case when l_linenumber <> 6 then timestamp '2024-01-01' + to_minutes((l_orderkey*7+l_linenumber*131) % 41760)
     + to_hours(cast(l_quantity as int)) end fim from lineitem"""
 
+# --- what the audits are to look at, written out apart from the library's own lists -----------------
+
+#: Staging tables and the columns that must be filled.
+MANDATORY = {"cliente": ("src_id", "nome"), "veiculo": ("src_id", "placa"), "condutor": ("src_id", "cnh")}
+#: (table, key column, its CTE, referenced table's CTE and key), as the star's natural keys.
+STAR_LINKS = (
+    ("dim_veiculo", "sk_grupo_veiculo", "d_veiculo", "grupo_veiculo_nk", "k_grupo", "grupo_veiculo_nk"),
+    ("dim_veiculo", "sk_empresa", "d_veiculo", "empresa_nk", "k_empresa", "empresa_nk"),
+    ("fato_reserva", "sk_cliente", "f_reserva", "sk_cliente", "k_cliente", "cliente_nk"),
+    ("fato_reserva", "sk_grupo_veiculo", "f_reserva", "sk_grupo_veiculo", "k_grupo", "grupo_veiculo_nk"),
+    ("fato_reserva", "sk_patio_retirada", "f_reserva", "sk_patio_retirada", "k_patio", "patio_nk"),
+    ("fato_reserva", "sk_patio_devolucao", "f_reserva", "sk_patio_devolucao", "k_patio", "patio_nk"),
+    ("fato_locacao", "sk_cliente", "f_locacao", "sk_cliente", "k_cliente", "cliente_nk"),
+    ("fato_locacao", "sk_condutor", "f_locacao", "sk_condutor", "k_condutor", "condutor_nk"),
+    ("fato_locacao", "sk_veiculo", "f_locacao", "sk_veiculo", "d_veiculo", "veiculo_nk"),
+    ("fato_locacao", "sk_grupo_veiculo", "f_locacao", "sk_grupo_veiculo", "k_grupo", "grupo_veiculo_nk"),
+    ("fato_locacao", "sk_empresa", "f_locacao", "sk_empresa", "k_empresa", "empresa_nk"),
+    ("fato_locacao", "sk_patio_retirada", "f_locacao", "sk_patio_retirada", "k_patio", "patio_nk"),
+    ("fato_locacao", "sk_patio_devolucao", "f_locacao", "sk_patio_devolucao", "k_patio", "patio_nk"),
+    ("fato_veiculo_no_patio", "sk_veiculo", "f_mov", "sk_veiculo", "d_veiculo", "veiculo_nk"),
+    ("fato_veiculo_no_patio", "sk_patio_origem", "f_mov", "sk_patio_origem", "k_patio", "patio_nk"),
+    ("fato_veiculo_no_patio", "sk_patio_destino", "f_mov", "sk_patio_destino", "k_patio", "patio_nk"),
+)
+#: Warehouse categoricals: field, CTE, column, allowed labels.
+LABELLED = (
+    ("dim_cliente.tipo", "k_cliente", "tipo", "'PF', 'PJ'"),
+    ("dim_veiculo.tipo_mecanizacao", "d_veiculo", "tipo_mecanizacao", "'automatico', 'manual'"),
+    ("dim_veiculo.status", "d_veiculo", "status", "'disponivel', 'alugado', 'manutencao', 'indisponivel', 'desconhecido'"),
+    ("fato_reserva.status_reserva", "f_reserva", "status_reserva", "'ativa', 'confirmada', 'cancelada', 'espera', 'desconhecida'"),
+    ("fato_locacao.status_cobranca", "f_locacao", "status_cobranca", "'pendente', 'em_atraso', 'pago', 'cancelada', 'parcial'"),
+)
+#: Operational references: child, column, parent, what a delete does.
+FOREIGN = (
+    ("condutor", "cliente_id", "cliente", "RESTRICT"), ("veiculo", "grupo_id", "grupo_veiculo", "RESTRICT"),
+    ("veiculo", "empresa_id", "empresa_locadora", "RESTRICT"), ("veiculo_acessorio", "veiculo_id", "veiculo", "CASCADE"),
+    ("veiculo_acessorio", "acessorio_id", "acessorio", "CASCADE"), ("vaga", "patio_id", "patio", "CASCADE"),
+    ("reserva", "cliente_id", "cliente", "RESTRICT"), ("reserva", "grupo_id", "grupo_veiculo", "RESTRICT"),
+    ("reserva", "patio_retirada_id", "patio", "RESTRICT"), ("reserva", "patio_devolucao_id", "patio", "RESTRICT"),
+    ("locacao", "reserva_id", "reserva", "SET NULL"), ("locacao", "veiculo_id", "veiculo", "RESTRICT"),
+    ("locacao", "condutor_id", "condutor", "RESTRICT"), ("locacao", "patio_retirada_id", "patio", "RESTRICT"),
+    ("locacao", "patio_devolucao_id", "patio", "RESTRICT"), ("cobranca", "locacao_id", "locacao", "SET NULL"),
+    ("locacao_seguro", "locacao_id", "locacao", "CASCADE"), ("locacao_seguro", "seguro_id", "seguro", "RESTRICT"),
+    ("foto", "veiculo_id", "veiculo", "CASCADE"), ("manutencao", "veiculo_id", "veiculo", "CASCADE"),
+    ("movimentacao_patio", "veiculo_id", "veiculo", "RESTRICT"), ("movimentacao_patio", "origem_patio_id", "patio", "RESTRICT"),
+    ("movimentacao_patio", "destino_patio_id", "patio", "RESTRICT"),
+)
+
 _NAMES = re.compile(r"\b(" + "|".join(sorted(CTE, key=len, reverse=True)) + r")\b")
 
 

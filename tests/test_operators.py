@@ -158,3 +158,16 @@ def test_references_of_several_tables_in_one_pass(spark):
                           [("child", "p", "parent", "id"), ("child", "q", "parent", "nk"), ("empty", "p", "parent", "id")])
     assert sorted(tuple(r) for r in got.collect()) == [("child", "p", "parent", 1, 2), ("child", "q", "parent", 1, 2),
                                                        ("empty", "p", "parent", 0, 0)]
+
+
+def test_scratch_is_cleared_at_the_end(spark, tmp_path):
+    from rodovia.session import clear_scratch, scratch_path
+
+    spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path}")
+    try:
+        spark.range(3).write.parquet(scratch_path(spark, "rows"))
+        (tmp_path / "other").mkdir()
+        assert clear_scratch(spark) and not clear_scratch(spark)
+        assert [p.name for p in tmp_path.iterdir()] == ["other"]
+    finally:
+        spark.conf.unset("spark.checkpoint.dir")

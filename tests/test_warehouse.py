@@ -56,6 +56,16 @@ def test_imputation_and_domains(loaded):
     assert one(dw["fato_reserva"], "reserva_id", "1-3", "status_reserva") == ("desconhecida",)
 
 
+def test_facts_of_some_months(loaded):
+    cfg, report, dw = loaded
+    day = at(-4)
+    some = refresh.warehouse(report.store, [day.year * 100 + day.month])
+    assert some["fato_locacao"].count() == 3 and len(some["fato_locacao"].inputFiles()) <= len(dw["fato_locacao"].inputFiles())
+    none = refresh.warehouse(report.store, [199001])
+    assert none["fato_locacao"].count() == 0 and none["fato_locacao"].columns == dw["fato_locacao"].columns
+    assert none["dim_cliente"].count() == 3
+
+
 def test_no_missing_keys_and_continuous_calendar(loaded):
     dw = loaded[2]
     Q.run_gates(dw)
