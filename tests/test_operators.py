@@ -160,14 +160,11 @@ def test_references_of_several_tables_in_one_pass(spark):
                                                        ("empty", "p", "parent", 0, 0)]
 
 
-def test_scratch_is_cleared_at_the_end(spark, tmp_path):
-    from rodovia.session import clear_scratch, scratch_path
-
-    spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path}")
-    try:
-        spark.range(3).write.parquet(scratch_path(spark, "rows"))
-        (tmp_path / "other").mkdir()
-        assert clear_scratch(spark) and not clear_scratch(spark)
-        assert [p.name for p in tmp_path.iterdir()] == ["other"]
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+def test_scratch_is_cleared_at_the_end(spark, tmp_path, monkeypatch):
+    from rodovia import session
+
+    monkeypatch.setattr(session, "shared_root", lambda spark: f"file://{tmp_path}")
+    spark.range(3).write.parquet(session.scratch_path(spark, "rows"))
+    (tmp_path / "other").mkdir()
+    assert session.clear_scratch(spark) and not session.clear_scratch(spark)
+    assert [p.name for p in tmp_path.iterdir()] == ["other"]
