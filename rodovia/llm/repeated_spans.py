@@ -34,7 +34,7 @@ from rodovia.llm.tables import release, sorted_groups, stored
 WINDOW, ANCHOR = 50, 20
 SHARD_BYTES = 12 << 20    # of text whose spans one shard of step 2 gets
 TASK_SHARDS = 2           # that a task gets on average, one after the other
-FLUSH_BYTES = 16 << 20    # of text whose spans a scan task holds at once
+FLUSH_BYTES = 12 << 20    # of text whose spans a scan task holds at once
 SHARD_SPANS = 8192        # spans in a shard of step 3
 HOT = 64                  # rows of one span in a scan batch from which it counts as hot
 _CHUNK = 1 << 19
@@ -291,7 +291,8 @@ def common_prefixes(order: np.ndarray, packed: np.ndarray, depth: int = 64) -> n
 
     Kasai's rule: in text order a suffix shares at least one byte less with its neighbour than the suffix that starts a byte
     earlier shared with its own, so comparing goes on from there, eight bytes at a step. Suffixes that share ``depth`` bytes are
-    in no order of what follows, so behind them comparing begins anew. The text is cut into chunks that are walked side by side.
+    in no order of what follows, so behind them comparing begins anew unless both neighbours just move on by a byte. The text is cut
+    into chunks that are walked side by side.
     """
     n = len(order)
     before = np.full(n, -1)
@@ -311,22 +312,27 @@ def common_prefixes(order: np.ndarray, packed: np.ndarray, depth: int = 64) -> n
             open_, i, j = open_[fits], i[fits], j[fits]
             apart = packed[i] ^ packed[j]
             same = apart == 0
-            # Equal leading bytes of the first eight that differ.
-            lead = np.full(len(apart), 8)
-            rest = apart[~same]
-            lead[~same] = sum(((rest >> _U(64 - 8 * b)) == 0).astype(np.int64) for b in range(1, 8))
+            # Equal leading bytes of the first eight that differ, by halving.
+            lead = np.zeros(len(apart), np.int64)
+            for half in (4, 2, 1):
+                high = (apart >> _U(64 - 8 * half)) == 0
+                lead[high] += half
+                apart[high] <<= _U(8 * half)
+            lead[same] = 8
             carried[open_] = np.minimum(carried[open_] + lead, depth)
             open_ = open_[same & (carried[open_] < depth)]
         # The end of the text is padded with zero bytes, which are no common ones.
         carried = np.minimum(carried, n - np.maximum(place, other))
         common[place] = carried
-        carried = np.where(carried < depth, np.maximum(carried - 1, 0), 0)
+        following = before[np.minimum(place + 1, n - 1)]
+        carried = np.where((carried < depth) | (following == other + 1), np.maximum(carried - 1, 0), 0)
         place = place + 1
     return common[order]
 
 
-def _shard_strings(doc: np.ndarray, n: np.ndarray, texts: list[bytes]) -> tuple:
-    """Of a shard: (span, string) of its strings in sorted order, their class, and each class's first document."""
+def _shard_strings(doc: np.ndarray, n: np.ndarray, texts: list[bytes], merged: bool) -> tuple:
+    """Of a shard: (span, string) of its strings in sorted order, their class, each class's first document, and if the shard is
+    to be ``merged`` the classes' strings."""
     text = np.frombuffer(b"".join(texts), np.uint8)
     length = np.array([len(t) for t in texts])
     begin = np.concatenate([[0], np.cumsum(length)[:-1]])
@@ -343,8 +349,8 @@ def _shard_strings(doc: np.ndarray, n: np.ndarray, texts: list[bytes]) -> tuple:
     group = np.cumsum(edge) - 1
     heads = np.flatnonzero(edge)
     first = np.minimum.reduceat(doc[owner], heads)
-    sorted_strings = np.lib.stride_tricks.sliding_window_view(text, WINDOW)[places[heads]]
-    return owner, places - begin[owner], group, first, np.ascontiguousarray(sorted_strings).view(f"S{WINDOW}").ravel(), sorted_strings
+    strings = np.lib.stride_tricks.sliding_window_view(text, WINDOW)[places[heads]] if merged else None
+    return owner, places - begin[owner], group, first, strings
 
 
 def _covered_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -354,18 +360,21 @@ def _covered_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         part = group.column("mine").to_numpy()
         texts = [b.as_py() for b in group.column("bytes")]
         sides = []
-        for p in np.unique(part):
+        shards = np.unique(part)
+        for p in shards:
             rows = np.flatnonzero(part == p)
-            sides.append((rows, *_shard_strings(doc[rows], n[rows], [texts[r] for r in rows])))
+            sides.append((rows, *_shard_strings(doc[rows], n[rows], [texts[r] for r in rows], len(shards) == 2)))
+        del texts
         if len(sides) == 2:
             # Merge: find one shard's distinct strings among the other's by binary search.
-            (_, _, _, _, first_a, keys_a, full_a), (_, _, _, _, first_b, keys_b, full_b) = sides
+            (_, _, _, _, first_a, full_a), (_, _, _, _, first_b, full_b) = sides
+            keys_a, keys_b = (np.ascontiguousarray(x).view(f"S{WINDOW}").ravel() for x in (full_a, full_b))
             where = np.minimum(np.searchsorted(keys_a, keys_b), len(keys_a) - 1)
             same = (full_a[where] == full_b).all(axis=1)
             low = np.minimum(first_a[where[same]], first_b[same])
             np.minimum.at(first_a, where[same], low)
             first_b[same] = low
-        for rows, owner, string, cls, first, _, _ in sides:
+        for rows, owner, string, cls, first, _ in sides:
             late = first[cls] < doc[rows][owner]
             span, place = rows[owner[late]], string[late]
             if len(span) == 0:
