@@ -8,9 +8,10 @@ k. 128 coordinates are cut into 32 bands of four: at a similarity of 0.75 two se
 Work on a bucket of the bands is cut into blocks, so no group has to fit into one task:
 
 1. sets that are equal count as one (their smallest document stands for them);
-2. a bucket is dealt into blocks at random, and in each the strongest tree of estimated similarities proposes links; these are
-   verified exactly and joined to components. Buckets of several blocks that still hold several components are dealt anew, a
-   few times: each round moves every member once, and a dense group, however large, becomes one component;
+2. a bucket is dealt into blocks at random, and in each (of up to eight blocks: in each pair of them) the strongest tree of estimated
+   similarities proposes links; these are verified exactly and joined to components. Larger buckets that still hold several
+   components are dealt anew, a few times: each round moves every member once, and a dense group, however large, becomes one
+   component;
 3. only buckets that still hold several components are looked at again: their members are compared exactly across
    components, as products of incidence matrices, and only spanning links are emitted. Members of a bucket's largest
    component meet the others, never each other.
@@ -28,7 +29,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rodovia.llm.components import components
 from rodovia.llm.shingles import intersection_size, mix64, shingle_sets
-from rodovia.llm.tables import fixed_binary, sorted_groups, stored
+from rodovia.llm.tables import fixed_binary, release, sorted_groups, stored
 
 COORDINATES, ROWS = 128, 4
 BANDS = COORDINATES // ROWS
@@ -36,6 +37,7 @@ THRESHOLD = 75  # percent
 #: Estimates below this many equal coordinates (of 128) are no candidates: five deviations below 0.75.
 LEAST_EQUAL = int(COORDINATES * 0.75 - 5 * (COORDINATES * 0.75 * 0.25) ** 0.5)
 BLOCK = 512
+PAIRED = 8   # blocks of a bucket up to which all pairs of them are looked at; beyond it members are dealt anew instead
 ROUNDS = 3
 _CHUNK = 1 << 15
 _U32 = np.uint32
@@ -196,10 +198,15 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _in_blocks(members: DataFrame, salt: int) -> DataFrame:
-    """Cut each bucket of ``size`` members into blocks of about BLOCK, another way for each salt."""
+    """Cut each bucket of ``size`` members into blocks of about BLOCK, another way for each salt.
+
+    Of up to PAIRED blocks all pairs are dealt out, so that a member travels at most PAIRED times; of more, each block by itself.
+    """
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    block = F.pmod(F.xxhash64(F.lit(salt), "id"), blocks).cast("int")
-    return members.withColumns({"lo": block, "hi": F.lit(0)}).drop("size")
+    mine = F.pmod(F.xxhash64(F.lit(salt), "id"), blocks).cast("int")
+    others = F.when(blocks <= PAIRED, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(mine))
+    return (members.withColumn("_mine", mine).withColumn("_other", F.explode(others))
+            .withColumn("lo", F.least("_mine", "_other")).withColumn("hi", F.greatest("_mine", "_other")).drop("_mine", "_other", "size"))
 
 
 def _across(members: DataFrame) -> DataFrame:
@@ -243,6 +250,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     any of them counts for all that have words. A row without doc_id is linked with nothing: its component_id is null and it is
     kept. Other columns are ignored, whatever their names. An empty table gives an empty table.
     """
+    spark = docs.sparkSession
     docs = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).cast("string").alias("text"))
     profile = stored(docs.mapInArrow(
         _profiles, "id bigint, n bigint, f1 bigint, f2 bigint, sig binary, bands array<bigint>"), "profiles")
@@ -264,9 +272,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
                # Bands that gather the same members again need no second look.
                .groupBy("size", "s1", "s2").agg(F.min("bucket").alias("bucket")).select("bucket", "size"))
     members = stored(banded.join(buckets, "bucket"), "members")
+    release(spark)
     signed = reps.select("id", "n", "sig")
-    large = members.filter(F.col("size") > BLOCK)
-    several_blocks = not large.isEmpty()
+    large = members.filter(F.col("size") > PAIRED * BLOCK)
+    very_large = not large.isEmpty()
     near = texts = labels = None
 
     def labelled(rows: DataFrame) -> DataFrame:
@@ -278,7 +287,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         # the join is the same at every size.
         return stored(docs.join(ids.hint("merge"), "id"), "texts")
 
-    for salt in range(ROUNDS if several_blocks else 1):
+    for salt in range(ROUNDS if very_large else 1):
         if salt == 0:
             asked = members
         else:
@@ -300,16 +309,20 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         own = fetched(ids)
         pairs = proposed.join(own.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a").join(
             own.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
-        links = stored(links.unionByName(pairs.mapInArrow(_confirmed, "a bigint, b bigint")).distinct(), "links")
-        labels = stored(components(links), "labels")
+        fresh = stored(pairs.mapInArrow(_confirmed, "a bigint, b bigint").distinct(), "links")
         near = ids if near is None else near
         texts = own if texts is None else texts
+        if salt and fresh.isEmpty():
+            break
+        links = links.unionByName(fresh)
+        labels = stored(components(links), "labels")
+        release(spark)
     open_ = members.select("bucket", "id", "size").join(near.withColumn("_near", F.lit(True)), "id", "left")
-    # In a bucket of one block, who has no likely partner is decided; of larger ones not all pairs have been looked at.
-    open_ = labelled(open_.filter((F.col("size") > BLOCK) | F.col("_near")).select("bucket", "id"))
+    # Where all pairs have been looked at, who has no likely partner is decided.
+    open_ = labelled(open_.filter((F.col("size") > PAIRED * BLOCK) | F.col("_near")).select("bucket", "id"))
     undecided = stored(_grouped(_across(open_).join(signed, "id"))
                        .mapInArrow(_undecided, "bucket bigint, lo int, hi int, id bigint, label bigint"), "undecided")
-    if several_blocks:
+    if very_large:
         texts = fetched(undecided.select("id").distinct())
     more = stored(_grouped(undecided.join(texts, "id")).mapInArrow(_links_across, "a bigint, b bigint").distinct(), "links")
     if not more.isEmpty():
