@@ -157,7 +157,8 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
     # Rank in the corpus: rows of this length in earlier blocks, then the rank within the block.
     before = F.sum("n").over(Window.partitionBy("length").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select("block", "length", F.coalesce(before, F.lit(0)).alias("before"))
-    placed = pieces.join(offsets, ["block", "length"]).withColumn("place", F.col("before") + F.col("rank"))
+    # Offsets grow with the number of blocks, so they are not to be broadcast.
+    placed = pieces.join(offsets.hint("merge"), ["block", "length"]).withColumn("place", F.col("before") + F.col("rank"))
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "ids", "place").mapInArrow(
         _placer(patterns(histogram, size)),
         "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, ids binary, "

@@ -7,8 +7,9 @@ import sys
 from array import array
 
 #: Bound of each of the cache's two generations, in entries of some 200 bytes. A full young generation becomes
-#: the old one, from which words that occur again are taken over.
+#: the old one, from which words that occur again are taken over. Chunks of more than CACHED_BYTES are not kept.
 CACHE_ENTRIES = 300_000
+CACHED_BYTES = 64
 
 #: Chunks of these characters need no normalisation but lower case, so their pieces can be looked up one by one.
 #: The split pattern is the one of the vocabulary file, written out for these characters.
@@ -69,6 +70,8 @@ class WordTokens:
                         raise Unusual
                     pieces = [word] if word.isalpha() and word.isascii() else _PIECE.findall(word.lower())
                     ids = ids_of(pieces[0]) if len(pieces) == 1 else b"".join([self[p.encode()] for p in pieces])
+                    if len(chunk) > CACHED_BYTES:
+                        return ids
                 if len(self) >= CACHE_ENTRIES:
                     self.old = dict(self)
                     self.clear()
