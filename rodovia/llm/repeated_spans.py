@@ -37,7 +37,7 @@ TASK_SHARDS = 2           # that a task gets on average, one after the other
 FLUSH_BYTES = 12 << 20    # of text whose spans a scan task holds at once
 SHARD_SPANS = 8192        # spans in a shard of step 3
 HOT = 64                  # rows of one span in a scan batch from which it counts as hot
-_CHUNK = 1 << 19
+_CHUNK = 1 << 17           # bytes of text hashed at once: some twenty arrays of eight bytes each a byte are held meanwhile
 _NEXT = WINDOW - ANCHOR + 1
 _U = np.uint64
 _PLACE = _U((1 << 21) - 1)  # room for a place in a chunk
@@ -148,15 +148,17 @@ def _scan(shards: int) -> Callable:
                     held += len(part)
                     if held >= FLUSH_BYTES:
                         yield _dealt(found, shards)
-                        found, held = [], 0
+                        held = 0
             if found:
                 yield _dealt(found, shards)
     return run
 
 
 def _dealt(found: list[tuple], shards: int) -> pa.RecordBatch:
-    """The spans found so far as one block per shard; of a hot span one row more, with its smallest document."""
+    """The spans found so far, which are taken off the list, as one block per shard; of a hot span one row more, with its smallest
+    document."""
     h, fp, doc, key, at, n = (np.concatenate(x) for x in zip(*found))
+    found.clear()
     hot = np.zeros(len(h), np.uint8)
     order = np.argsort(fp, kind="stable")
     edge = np.flatnonzero(np.concatenate([[True], fp[order][1:] != fp[order][:-1]]))
