@@ -4,10 +4,11 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import AS_OF
 from rodovia.operators.store import TableStore
-from rodovia.plans import views
+from rodovia.plans import star, views
 from rodovia.plans.conform import conformed, resolve
 from rodovia.plans.star import DIMENSIONS, FACTS
 from rodovia.schemas import STAGING, to_schema
@@ -86,3 +87,39 @@ def test_stored_tables_are_packed(spark, tmp_path):
     run.write_partitions("f", spark.range(5).selectExpr("id", "id % 2 AS m"), "m", set())
     files = [p.name for p in tmp_path.rglob("part-*")]
     assert files and all(".zstd." in f for f in files)
+
+
+def test_rentals_stay_in_place_for_clients_and_drivers(spark, staged):
+    """References to clients and drivers are checked by the values that nobody has, not by moving rentals to each dimension."""
+    some = {**staged, "cliente": staged["cliente"].filter("src_id = 0"), "condutor": staged["condutor"].filter("src_id = 1")}
+    extra = some["locacao"].limit(1).withColumns({"src_id": F.lit(9).cast("bigint"), "src_cliente_id": F.lit(None).cast("bigint")})
+    some["locacao"] = some["locacao"].unionByName(extra)
+    x = context(spark, some)
+    rows = star.locacao_candidates(x.conf, x.dw)
+    assert plan(rows.select("sk_cliente", "sk_condutor")).count("Relation [_nk#") == 2  # the stored values, no clients, no drivers
+    stored = {n: x.conf[n] for n in x.conf}, {n: x.dw[n] for n in DIMENSIONS}  # without what the plans tell of themselves
+    expected = star.locacao_candidates(*stored)
+    assert rows.columns == expected.columns
+    assert sorted(map(str, rows.collect())) == sorted(map(str, expected.collect()))
+    assert {(r.motivo, r.qtd) for r in star.gate_counts(rows).collect()} == {(r.motivo, r.qtd) for r in star.gate_counts(expected).collect()}
+    assert rows.filter("_sem_cliente").count() == 2 and rows.filter("_sem_condutor").count() == 2
+
+
+def test_the_late_fee_shares_the_move_to_vehicles(spark, staged):
+    x = context(spark, staged)
+    text = plan(x.dw["fato_locacao"].select("valor_multa_atraso"))
+    assert not [line for line in text.splitlines() if "Join" in line and "src_veiculo_id#" in line]
+    assert text.count("(veiculo_nk#") == 2  # the rate and the dimension, by one key
+
+
+def test_a_calendar_is_computed_once_for_its_bounds_and_gaps(spark):
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(1)
+            yield batch
+
+    days = spark.range(9).filter("id <> 4").selectExpr("date_add(DATE'2024-01-01', CAST(id AS INT)) AS data").coalesce(1).mapInArrow(counted, "data date")
+    assert star.calendar_of(days) == star.Calendar(dt.date(2024, 1, 1), dt.date(2024, 1, 9), (dt.date(2024, 1, 5),))
+    assert reads.value == 1
