@@ -12,7 +12,7 @@ from rodovia.plans import star, views
 from rodovia.plans.conform import conformed, resolve
 from rodovia.plans.star import DIMENSIONS, FACTS
 from rodovia.schemas import STAGING, to_schema
-from rodovia.workload.catalog import Context
+from rodovia.workload.catalog import QUERIES, Context
 
 KEYS = ("src_id", "src_cliente_id", "src_condutor_id", "src_veiculo_id", "src_grupo_id", "src_patio_retirada_id",
         "src_patio_devolucao_id", "src_origem_id", "src_destino_id", "src_locacao_id")
@@ -123,3 +123,12 @@ def test_a_calendar_is_computed_once_for_its_bounds_and_gaps(spark):
     days = spark.range(9).filter("id <> 4").selectExpr("date_add(DATE'2024-01-01', CAST(id AS INT)) AS data").coalesce(1).mapInArrow(counted, "data date")
     assert star.calendar_of(days) == star.Calendar(dt.date(2024, 1, 1), dt.date(2024, 1, 9), (dt.date(2024, 1, 5),))
     assert reads.value == 1
+
+
+def test_tables_that_are_counted_twice_are_written_once(spark, staged):
+    x, written = context(spark, staged), []
+    keep = x._written
+    x._written = lambda name, rows: written.append((name, tuple(rows.columns))) or keep(name, rows)
+    assert {(r.tabela, r.qtd) for r in QUERIES["q22_non_empty"].build(x).collect()} == {
+        ("dim_cliente", 2), ("dim_veiculo", 2), ("fato_locacao", x.dw["fato_locacao"].count())}
+    assert written.count(("fato_locacao", ("locacao_id",))) == 1
