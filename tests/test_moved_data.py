@@ -6,10 +6,10 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import AS_OF
+from conftest import AS_OF, RUN_TS
 from rodovia.operators.store import TableStore
-from rodovia.plans import star, views
-from rodovia.plans.conform import conformed, resolve
+from rodovia.plans import refresh, star, views
+from rodovia.plans.conform import conformed, resolve, store_conformed
 from rodovia.plans.star import DIMENSIONS, FACTS
 from rodovia.schemas import STAGING, to_schema
 from rodovia.workload.catalog import QUERIES, Context
@@ -132,3 +132,74 @@ def test_tables_that_are_counted_twice_are_written_once(spark, staged):
     assert {(r.tabela, r.qtd) for r in QUERIES["q22_non_empty"].build(x).collect()} == {
         ("dim_cliente", 2), ("dim_veiculo", 2), ("fato_locacao", x.dw["fato_locacao"].count())}
     assert written.count(("fato_locacao", ("locacao_id",))) == 1
+
+
+def moves(df, column):
+    """What the rows are dealt by in each exchange that carries ``column``; nothing is broadcast."""
+    spark, found = df.sparkSession, []
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+
+    def walk(node):
+        if node.nodeName() == "AdaptiveSparkPlan":
+            return walk(node.initialPlan())
+        if node.nodeName() == "Exchange" and f"{column}#" in node.output().toString():
+            found.append(node.outputPartitioning().toString())
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+
+    try:
+        walk(df.select("*")._jdf.queryExecution().executedPlan())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    return found
+
+
+def kept_by(spark, folder, plans):
+    def keep(name, rows):
+        plans[name] = rows
+        rows.write.parquet(f"{folder}/{name}")
+        return spark.read.parquet(f"{folder}/{name}")
+    return keep
+
+
+def test_stored_rentals_move_once_for_their_references(spark, staged, tmp_path):
+    some = {**staged, "cliente": staged["cliente"].filter("src_id = 0")}
+    plans = {}
+    conf = store_conformed(some, kept_by(spark, tmp_path, plans), AS_OF)
+    assert not [by for by in moves(plans["conf_locacao"], "km_entrega") if "veiculo" in by]
+    expected = conformed(some, AS_OF)["conf_locacao"]
+    assert plans["conf_locacao"].columns == expected.columns
+    assert sorted(map(str, plans["conf_locacao"].collect())) == sorted(map(str, expected.collect()))
+    assert {(r[0], r[1]) for r in conf["conf_locacao"].select("locacao_nk", "valor_multa_atraso").collect()} == {
+        ("1-0", Decimal("100.00")), (None, Decimal("200.00"))}  # the rental without an id has its rate, too
+    # A row that repeats a key with another client, as no de-duplication has seen these, finds its own client.
+    twice = conf["conf_locacao"].union(conf["conf_locacao"].withColumns({"cliente_nk": F.lit("1-1"), "km_rodado": F.lit(5)}))
+    dims = {n: star.natural_warehouse(conf)[n] for n in DIMENSIONS}
+    rows = star.locacao_candidates({**conf, "conf_locacao": twice}, dims)
+    assert sum("_linha" in by for by in moves(rows, "km_entrega")) == 1
+    assert [by for by in moves(rows, "km_entrega") if "_linha" not in by and "patio" not in by] == []
+    assert sorted((str(r.locacao_id), str(r.sk_cliente), r.sk_veiculo) for r in rows.collect()) == [
+        ("1-0", "1-0", "1-0"), ("1-0", "None", "1-0"), ("None", "None", "1-1"), ("None", "None", "1-1")]
+
+
+def test_a_second_load_writes_and_moves_only_what_is_not_stored(spark, staged, tmp_path):
+    rentals = staged["locacao"].filter("src_id IS NOT NULL")
+    stray = rentals.limit(1).withColumns({"src_id": F.lit(9).cast("bigint"), "src_veiculo_id": F.lit(77).cast("bigint")})
+    some = {**staged, "locacao": rentals.unionByName(rentals.withColumn("src_id", F.lit(5).cast("bigint"))).unionByName(stray)}
+    cfg = refresh.Config(str(tmp_path / "dw"), AS_OF, RUN_TS, quarantine=True)
+    conf = store_conformed(some, kept_by(spark, tmp_path, {}), AS_OF)
+    store = refresh.run_load(spark, cfg, conf)
+    before = {r.locacao_id: r.sk_fato_locacao for r in store.read("fato_locacao").collect()}
+    assert set(before) == {"1-0", "1-5"}
+    run = store.begin()
+    dims = {n: run.read(n) for n in ("dim_tempo", *DIMENSIONS)}
+    other = F.when(F.col("src_id") == 5, 7).otherwise(F.col("km_rodado")).cast("int")
+    more = conf["conf_locacao"].filter("src_id = 5").withColumns({"src_id": F.lit(6).cast("bigint"), "locacao_nk": F.lit("1-6")})
+    again = {**conf, "conf_locacao": conf["conf_locacao"].withColumn("km_rodado", other).unionByName(more)}
+    refresh.load_facts(run, again, dims, quarantine=True)
+    assert run.rows["_candidatos_fato_locacao"] == 3  # the changed, the new and the stray one, not the one that is as before
+    rows = {r.locacao_id: r for r in run.read("fato_locacao").collect()}
+    assert {k: r.sk_fato_locacao for k, r in rows.items()} == {**before, "1-6": max(before.values()) + 1}
+    assert rows["1-5"].km_rodado == 7 and rows["1-0"].km_rodado != 7
+    assert [r.locacao_id for r in run.read("quarentena_fato_locacao").collect()] == ["1-9"]
+    assert run.read("quarentena_fato_locacao").columns == store.read("quarentena_fato_locacao").columns
