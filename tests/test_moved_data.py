@@ -167,6 +167,9 @@ def test_stored_rentals_move_once_for_their_references(spark, staged, tmp_path):
     plans = {}
     conf = store_conformed(some, kept_by(spark, tmp_path, plans), AS_OF)
     assert not [by for by in moves(plans["conf_locacao"], "km_entrega") if "veiculo" in by]
+    text = plan(plans["conf_locacao"])
+    sorts = [line.split("windowspecdefinition", 1)[1] for line in text.splitlines() if "windowspecdefinition(_linha#" in line]
+    assert len(sorts) == 2 and all("src_id#" in w for w in sorts)  # nothing is cut from one of them only: one shuffle
     expected = conformed(some, AS_OF)["conf_locacao"]
     assert plans["conf_locacao"].columns == expected.columns
     assert sorted(map(str, plans["conf_locacao"].collect())) == sorted(map(str, expected.collect()))
