@@ -37,7 +37,9 @@ TASK_SHARDS = 2           # that a task gets on average, one after the other
 FLUSH_BYTES = 12 << 20    # of text whose spans a scan task holds at once
 SHARD_SPANS = 8192        # spans in a shard of step 3
 HOT = 64                  # rows of one span in a scan batch from which it counts as hot
-_CHUNK = 1 << 17           # bytes of text hashed at once: some twenty arrays of eight bytes each a byte are held meanwhile
+_CHUNK = 1 << 16           # bytes of text hashed at once: some twenty arrays of eight bytes each a byte are held meanwhile
+_ROWS = 512                # texts, or 128 times as many spans, that go back to Spark in one batch
+_BLOCK_BYTES = 1 << 20     # of blocks of spans from which they go back as a batch
 _NEXT = WINDOW - ANCHOR + 1
 _U = np.uint64
 _PLACE = _U((1 << 21) - 1)  # room for a place in a chunk
@@ -46,7 +48,7 @@ _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) | _U(1)
 _P = int(_RNG.integers(1, 1 << 62)) * 2 + 1
 #: Of a span hash 48 bits travel; they tell spans apart whose anchor hashes are equal.
 _FP = _U((1 << 48) - 1)
-_FIELDS = (("h", np.uint32), ("fp", np.uint64), ("doc", np.int64), ("row", np.int64), ("at", np.int64), ("n", np.uint8), ("hot", np.uint8))
+_FIELDS = (("h", np.uint32), ("fp", np.uint64), ("doc", np.int64), ("row", np.int64), ("at", np.int32), ("n", np.uint8), ("hot", np.uint8))
 _DELTAS = ("doc", "row", "at")
 
 
@@ -90,41 +92,54 @@ def _spans(raw: np.ndarray, begin: np.ndarray, end: np.ndarray, power: np.ndarra
 
 
 def _packed(rows: dict[str, np.ndarray]) -> bytes:
-    parts = [len(rows["h"]).to_bytes(4, "little")]
+    """A block: the number of its spans, and their fields compressed."""
+    parts = []
     for name, kind in _FIELDS:
         v = rows[name].astype(kind)
         if name == "fp":
             parts += [v.astype(np.uint32).tobytes(), (v >> _U(32)).astype(np.uint16).tobytes()]
         else:
             parts.append((np.diff(v, prepend=v.dtype.type(0)) if name in _DELTAS else v).tobytes())
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
-
-
-def _unpacked(block: bytes) -> dict[str, np.ndarray]:
-    data = zstandard.ZstdDecompressor().decompress(block)
-    n, at, out = int.from_bytes(data[:4], "little"), 4, {}
-    for name, kind in _FIELDS:
-        if name == "fp":
-            low, high = np.frombuffer(data, np.uint32, n, at), np.frombuffer(data, np.uint16, n, at + 4 * n)
-            out[name] = low.astype(np.uint64) | (high.astype(np.uint64) << _U(32))
-            at += 6 * n
-            continue
-        v = np.frombuffer(data, kind, n, at)
-        out[name] = np.cumsum(v) if name in _DELTAS else v
-        at += v.nbytes
+    return len(rows["h"]).to_bytes(4, "little") + zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
+
+
+def _unpacked(blocks: list[bytes]) -> dict[str, np.ndarray]:
+    """The fields of all spans; one block after the other is opened into its place in them."""
+    sizes = [int.from_bytes(b[:4], "little") for b in blocks]
+    out = {name: np.empty(sum(sizes), kind) for name, kind in _FIELDS}
+    open_, begin = zstandard.ZstdDecompressor(), 0
+    for block, n in zip(blocks, sizes):
+        data, at = open_.decompress(memoryview(block)[4:]), 0
+        for name, kind in _FIELDS:
+            own = out[name][begin:begin + n]
+            if name == "fp":
+                own[:] = np.frombuffer(data, np.uint16, n, at + 4 * n)
+                own <<= _U(32)
+                own |= np.frombuffer(data, np.uint32, n, at)
+                at += 6 * n
+                continue
+            v = np.frombuffer(data, kind, n, at)
+            if name in _DELTAS:
+                np.cumsum(v, dtype=kind, out=own)
+            else:
+                own[:] = v
+            at += v.nbytes
+        begin += n
     return out
 
 
 def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc, row, text) with each text compressed by itself: texts are dealt out twice."""
     press = zstandard.ZstdCompressor(level=1)
-    for batch in batches:
-        texts = [None if t is None else press.compress(t.encode()) for t in batch.column(2).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.binary())], ["doc", "row", "text"])
+    for whole in batches:
+        for lo in range(0, whole.num_rows, _ROWS):
+            batch = whole.slice(lo, _ROWS)
+            texts = [None if t is None else press.compress(t.encode()) for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.binary())], ["doc", "row", "text"])
 
 
 def _scan(shards: int) -> Callable:
-    """Step 1: one block of spans per batch and shard."""
+    """Step 1: one block of spans per shard and FLUSH_BYTES of a batch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         power, inverse = _powers(_P, _CHUNK * 3 + WINDOW), _powers(pow(_P, -1, 1 << 64), _CHUNK * 3 + WINDOW)
         for batch in batches:
@@ -144,56 +159,75 @@ def _scan(shards: int) -> Callable:
                         continue
                     h, fp, at, count = _spans(part, begin[long], end[long], power, inverse)
                     which = np.flatnonzero(long)[np.searchsorted(begin[long], at, "right") - 1]
-                    found.append((h, fp & _FP, ids[row + which], keys[row + which], at + lo - offs[which], count.astype(np.uint8)))
+                    found.append((h, fp & _FP, (row + which).astype(np.int32), (at + lo - offs[which]).astype(np.int32), count.astype(np.uint8)))
                     held += len(part)
                     if held >= FLUSH_BYTES:
-                        yield _dealt(found, shards)
+                        yield from _dealt(found, shards, ids, keys)
                         held = 0
             if found:
-                yield _dealt(found, shards)
+                yield from _dealt(found, shards, ids, keys)
     return run
 
 
-def _dealt(found: list[tuple], shards: int) -> pa.RecordBatch:
+def _dealt(found: list[tuple], shards: int, ids: np.ndarray, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
     """The spans found so far, which are taken off the list, as one block per shard; of a hot span one row more, with its smallest
-    document."""
-    h, fp, doc, key, at, n = (np.concatenate(x) for x in zip(*found))
+    document. A span's text is a row of the batch, whose documents and keys are ``ids`` and ``keys``."""
+    columns = [list(x) for x in zip(*found)]
     found.clear()
-    hot = np.zeros(len(h), np.uint8)
-    order = np.argsort(fp, kind="stable")
-    edge = np.flatnonzero(np.concatenate([[True], fp[order][1:] != fp[order][:-1]]))
+    # Column by column: the pieces of one go before those of the next are put together.
+    h, fp, text, at, n = (np.concatenate(columns.pop(0)) for _ in range(len(columns)))
+    order = np.argsort(fp, kind="stable").astype(np.int32)
+    edge = np.ones(len(fp), bool)
+    sorted_fp = fp[order]
+    np.not_equal(sorted_fp[1:], sorted_fp[:-1], out=edge[1:])
+    del sorted_fp
+    edge = np.flatnonzero(edge)
     size = np.diff(np.append(edge, len(order)))
+    hot = np.zeros(len(h), np.uint8)
     summary = []
     for g in np.flatnonzero(size >= HOT):
         rows = order[edge[g]:edge[g] + size[g]]
         hot[rows] = 2
-        summary.append(rows[np.argmin(doc[rows])])
-    shard = (h % _U(shards)).astype(np.int64)
-    shard[hot == 2] = (mix64(doc[hot == 2].astype(np.uint64)) % _U(shards)).astype(np.int64)
-    rows = {"h": h >> _U(32), "fp": fp, "doc": doc, "row": key, "at": at, "n": n, "hot": hot}
-    if summary:
-        rows = {k: np.concatenate([v, v[summary]]) for k, v in rows.items()}
-        rows["hot"][len(h):] = 1
-        shard = np.concatenate([shard, (h[summary] % _U(shards)).astype(np.int64)])
-    order = np.argsort(shard, kind="stable")
+        summary.append(rows[np.argmin(ids[text[rows]])])
+    del order, edge, size
+    shard = (h % _U(shards)).astype(np.int32)
+    places = np.flatnonzero(hot == 2)
+    # Summaries come behind the spans, as numbers of theirs.
+    summary = np.array(summary, np.int64)
+    span = np.concatenate([np.arange(len(h), dtype=np.int32), summary.astype(np.int32)])
+    shard = np.concatenate([shard, shard[summary]])
+    shard[places] = mix64(ids[text[places]].astype(np.uint64)) % _U(shards)
+    hot = np.concatenate([hot, np.ones(len(summary), np.uint8)])
+    order = np.argsort(shard, kind="stable").astype(np.int32)
     cut = np.searchsorted(shard[order], np.arange(shards + 1))
-    own = [s for s in range(shards) if cut[s + 1] > cut[s]]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(own, pa.int32()),
-         pa.array([_packed({k: v[order[cut[s]:cut[s + 1]]] for k, v in rows.items()}) for s in own], pa.binary())],
-        ["shard", "spans"])
+    del shard, places
+    own, blocks, held = [], [], 0
+    for s in np.flatnonzero(cut[1:] > cut[:-1]).tolist():
+        rows = order[cut[s]:cut[s + 1]]
+        pick = span[rows]
+        blocks.append(_packed({"h": h[pick] >> _U(32), "fp": fp[pick], "doc": ids[text[pick]], "row": keys[text[pick]], "at": at[pick], "n": n[pick],
+                               "hot": hot[rows]}))
+        own.append(s)
+        held += len(blocks[-1])
+        if held >= _BLOCK_BYTES:
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), pa.array(blocks, pa.binary())], ["shard", "spans"])
+            own, blocks, held = [], [], 0
+    if own:
+        yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), pa.array(blocks, pa.binary())], ["shard", "spans"])
 
 
 _OUT = "kind int, h bigint, fp bigint, doc bigint, row bigint, at bigint, n int"
 
 
-def _emit(kind: int, rows: dict[str, np.ndarray], pick: np.ndarray) -> pa.RecordBatch:
+def _emit(kind: int, rows: dict[str, np.ndarray], picked: np.ndarray) -> Iterator[pa.RecordBatch]:
     # In order of document and place, which files compress well; of covered spans no hash is asked any more.
-    pick = pick[np.lexsort((rows["at"][pick], rows["row"][pick], rows["doc"][pick]))]
-    h, fp = (np.zeros(len(pick), np.int64) if kind == COVERED else rows[k][pick].astype(np.int64) for k in ("h", "fp"))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(len(pick), kind, np.int32)), pa.array(h), pa.array(fp), pa.array(rows["doc"][pick]), pa.array(rows["row"][pick]),
-         pa.array(rows["at"][pick]), pa.array(rows["n"][pick].astype(np.int32))], ["kind", "h", "fp", "doc", "row", "at", "n"])
+    picked = picked[np.lexsort((rows["at"][picked], rows["row"][picked], rows["doc"][picked]))]
+    for lo in range(0, len(picked), 128 * _ROWS):
+        pick = picked[lo:lo + 128 * _ROWS]
+        h, fp = (np.zeros(len(pick), np.int64) if kind == COVERED else rows[k][pick].astype(np.int64) for k in ("h", "fp"))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(pick), kind, np.int32)), pa.array(h), pa.array(fp), pa.array(rows["doc"][pick]), pa.array(rows["row"][pick]),
+             pa.array(rows["at"][pick].astype(np.int64)), pa.array(rows["n"][pick].astype(np.int32))], ["kind", "h", "fp", "doc", "row", "at", "n"])
 
 
 COVERED, FIRST, PLACE, ANSWER = 0, 1, 2, 3
@@ -202,30 +236,38 @@ COVERED, FIRST, PLACE, ANSWER = 0, 1, 2, 3
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Step 2: covered spans, spans whose bytes are needed, places of hot spans, and hot spans' first documents."""
     for group in sorted_groups(batches, ["shard"]):
-        parts = [_unpacked(b.as_py()) for b in group.column("spans")]
-        rows = {k: np.concatenate([p[k] for p in parts]) for k, _ in _FIELDS}
+        rows = _unpacked(group.column("spans").to_pylist())
+        del group
         place = np.flatnonzero(rows["hot"] == 2)
         if len(place):
-            yield _emit(PLACE, rows, place)
-        main = np.flatnonzero(rows["hot"] != 2)
+            yield from _emit(PLACE, rows, place)
+        main = np.flatnonzero(rows["hot"] != 2).astype(np.int32)
         if len(main) == 0:
             continue
         order = main[np.lexsort((rows["doc"][main], rows["fp"][main], rows["h"][main]))]
-        h, fp, doc = rows["h"][order], rows["fp"][order], rows["doc"][order]
-        new_h = np.concatenate([[True], h[1:] != h[:-1]])
-        new_span = new_h | np.concatenate([[True], fp[1:] != fp[:-1]])
-        number = np.cumsum(new_span) - 1
-        lowest = doc[new_span][number]
-        covered = (doc > lowest) & (rows["hot"][order] == 0)
-        yield _emit(COVERED, rows, order[covered])
-        hot_span = np.bincount(number, rows["hot"][order] == 1) > 0
+        del place, main
+        new_h, new_span = np.ones(len(order), bool), np.ones(len(order), bool)
+        v = rows["h"][order]
+        np.not_equal(v[1:], v[:-1], out=new_h[1:])
+        v = rows["fp"][order]
+        np.not_equal(v[1:], v[:-1], out=new_span[1:])
+        new_span |= new_h
+        number = np.cumsum(new_span, dtype=np.int32) - np.int32(1)
+        v = rows["doc"][order]
+        later = v > v[new_span][number]
+        del v
+        summary = rows["hot"][order] == 1
+        yield from _emit(COVERED, rows, order[later & ~summary])
+        hot_span = np.zeros(int(number[-1]) + 1, bool)
+        hot_span[number[summary]] = True
         if hot_span.any():
-            yield _emit(ANSWER, rows, order[new_span][hot_span])
-        spans_of_h = np.bincount(np.cumsum(new_h) - 1, new_span)
-        alone = spans_of_h[np.cumsum(new_h) - 1] == 1
-        yield _emit(FIRST, rows, order[(doc == lowest) & ~alone & (rows["hot"][order] == 0)])
+            yield from _emit(ANSWER, rows, order[new_span][hot_span])
+        anchor = np.cumsum(new_h, dtype=np.int32) - np.int32(1)
+        alone = (np.bincount(anchor[new_span]) == 1)[anchor]
+        del anchor
+        yield from _emit(FIRST, rows, order[~later & ~alone & ~summary])
         # Hot spans' first places come from their own rows; one row stands for the strings of the span.
-        yield _emit(FIRST, rows, order[new_span & hot_span[number] & ~alone & (rows["hot"][order] == 1)])
+        yield from _emit(FIRST, rows, order[new_span & hot_span[number] & ~alone & summary])
 
 
 def _with_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,8 +280,8 @@ def _with_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edge = np.concatenate([[0], np.cumsum(spans.value_lengths().to_numpy())])
         flat = spans.flatten()
         at, n = flat.field("at").to_numpy(), flat.field("n").to_numpy()
-        for lo in range(0, batch.num_rows, 512):
-            hi = min(lo + 512, batch.num_rows)
+        for lo in range(0, batch.num_rows, _ROWS):
+            hi = min(lo + _ROWS, batch.num_rows)
             parts = []
             for i in range(lo, hi):
                 raw = open_.decompress(batch.column(2)[i].as_py())
@@ -259,31 +301,38 @@ def suffix_array(text: np.ndarray, depth: int = 64) -> tuple[np.ndarray, np.ndar
     the depth each time; a suffix that is alone in its group is never touched again.
     """
     n = len(text)
-    padded = np.concatenate([text, np.zeros(8, np.uint8)]).astype(np.uint64)
+    place = np.int32 if n + depth < 1 << 31 else np.int64
+    padded = np.concatenate([text, np.zeros(8, np.uint8)])
     packed = np.zeros(n, np.uint64)
     for j in range(8):
-        packed = (packed << _U(8)) | padded[j:j + n]
-    order = np.argsort(packed, kind="stable")
-    edge = np.concatenate([[True], packed[order][1:] != packed[order][:-1]])
-    begin = np.flatnonzero(edge)
-    rank = np.empty(n + depth, np.int64)
+        packed <<= _U(8)
+        packed |= padded[j:j + n]
+    order = np.argsort(packed, kind="stable").astype(place)
+    key = packed[order]
+    edge = np.ones(n, bool)
+    np.not_equal(key[1:], key[:-1], out=edge[1:])
+    begin = np.flatnonzero(edge).astype(place)
+    rank = np.empty(n + depth, place)
     rank[n:] = 0
-    rank[order] = begin[np.cumsum(edge) - 1] + 1
+    rank[order] = begin[np.cumsum(edge, dtype=place) - 1] + 1
     done = 8
     while done < depth:
         size = np.diff(np.append(begin, n))
-        slots = np.flatnonzero(np.repeat(size > 1, size))
+        slots = np.flatnonzero(np.repeat(size > 1, size)).astype(place)
         if len(slots) == 0:
             break
         own = order[slots]
-        key = (rank[own].astype(np.uint64) << _U(32)) | rank[own + done].astype(np.uint64)
+        key = rank[own].astype(np.uint64)
+        key <<= _U(32)
+        key |= rank[own + done].astype(np.uint64)
         by = np.argsort(key, kind="stable")
         order[slots] = own[by]
         key = key[by]
+        del own, by
         split = np.concatenate([[True], key[1:] != key[:-1]])
         edge[slots] |= split
-        begin = np.flatnonzero(edge)
-        rank[order] = begin[np.cumsum(edge) - 1] + 1
+        begin = np.flatnonzero(edge).astype(place)
+        rank[order] = begin[np.cumsum(edge, dtype=place) - 1] + 1
         done *= 2
     return order, packed
 
@@ -297,9 +346,9 @@ def common_prefixes(order: np.ndarray, packed: np.ndarray, depth: int = 64) -> n
     into chunks that are walked side by side.
     """
     n = len(order)
-    before = np.full(n, -1)
+    before = np.full(n, -1, order.dtype)
     before[order[1:]] = order[:-1]
-    common = np.zeros(n, np.int64)
+    common = np.zeros(n, np.uint8)
     size = max(1, int(n ** 0.5) // 4)
     place = np.arange(0, n, size)
     carried = np.zeros(len(place), np.int64)
@@ -339,16 +388,18 @@ def _shard_strings(doc: np.ndarray, n: np.ndarray, texts: list[bytes], merged: b
     length = np.array([len(t) for t in texts])
     begin = np.concatenate([[0], np.cumsum(length)[:-1]])
     order, packed = suffix_array(text)
-    group = np.cumsum(common_prefixes(order, packed) < WINDOW) - 1
-    span = np.full(len(text), -1)
-    string = np.arange(int(n.sum())) - np.repeat(np.concatenate([[0], np.cumsum(n)[:-1]]), n)
-    owner = np.repeat(np.arange(len(n)), n)
+    group = np.cumsum(common_prefixes(order, packed) < WINDOW, dtype=order.dtype) - 1
+    del packed
+    span = np.full(len(text), -1, order.dtype)
+    string = np.arange(int(n.sum()), dtype=order.dtype) - np.repeat(np.concatenate([[0], np.cumsum(n)[:-1]]).astype(order.dtype), n)
+    owner = np.repeat(np.arange(len(n), dtype=order.dtype), n)
     span[begin[owner] + string] = owner
+    del string, owner
     used = span[order] >= 0
     places, group = order[used], group[used]
     owner = span[places]
     edge = np.concatenate([[True], group[1:] != group[:-1]])
-    group = np.cumsum(edge) - 1
+    group = np.cumsum(edge, dtype=order.dtype) - 1
     heads = np.flatnonzero(edge)
     first = np.minimum.reduceat(doc[owner], heads)
     strings = np.lib.stride_tricks.sliding_window_view(text, WINDOW)[places[heads]] if merged else None
@@ -400,20 +451,22 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edge = np.concatenate([[0], np.cumsum(places.value_lengths().fill_null(0).to_numpy())])
         flat = places.flatten()
         at, n = flat.field("at").to_numpy(), flat.field("n").to_numpy()
-        out = []
-        for i, text in enumerate(batch.column(1)):
-            raw = b"" if not text.is_valid else open_.decompress(text.as_py())
-            begin, end = at[edge[i]:edge[i + 1]], at[edge[i]:edge[i + 1]] + n[edge[i]:edge[i + 1]] + WINDOW - 1
-            order = np.argsort(begin, kind="stable")
-            begin, reach = begin[order], np.maximum.accumulate(end[order])
-            # Runs of places that touch or overlap.
-            head = np.flatnonzero(np.concatenate([[True], begin[1:] > reach[:-1]])) if len(begin) else np.zeros(0, np.int64)
-            lows, highs = begin[head], reach[np.append(head[1:], len(begin)) - 1] if len(head) else reach
-            kept = b"".join(raw[b:e] for b, e in zip([0, *highs.tolist()], [*lows.tolist(), len(raw)]))
-            out.append((len(raw), int((highs - lows).sum()), len(head), hashlib.sha256(kept).hexdigest(), kept))
-        if out:
+        for lo in range(0, batch.num_rows, _ROWS):
+            hi = min(lo + _ROWS, batch.num_rows)
+            out = []
+            for i in range(lo, hi):
+                text = batch.column(1)[i]
+                raw = b"" if not text.is_valid else open_.decompress(text.as_py())
+                begin, end = at[edge[i]:edge[i + 1]], at[edge[i]:edge[i + 1]] + n[edge[i]:edge[i + 1]] + WINDOW - 1
+                order = np.argsort(begin, kind="stable")
+                begin, reach = begin[order], np.maximum.accumulate(end[order])
+                # Runs of places that touch or overlap.
+                head = np.flatnonzero(np.concatenate([[True], begin[1:] > reach[:-1]])) if len(begin) else np.zeros(0, np.int64)
+                lows, highs = begin[head], reach[np.append(head[1:], len(begin)) - 1] if len(head) else reach
+                kept = b"".join(raw[b:e] for b, e in zip([0, *highs.tolist()], [*lows.tolist(), len(raw)]))
+                out.append((len(raw), int((highs - lows).sum()), len(head), hashlib.sha256(kept).hexdigest(), kept))
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, k) for c, k in zip(zip(*out), kinds)]],
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), *[pa.array(c, k) for c, k in zip(zip(*out), kinds)]],
                                              ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 

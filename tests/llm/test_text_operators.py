@@ -117,6 +117,48 @@ def test_repeats_of_ids_with_several_texts(spark):
     assert got == sorted(want, key=str)
 
 
+def test_repeats_hold_little_at_once():
+    """What steps hold of a batch while they work, in bytes a byte of text, and how much of it goes back to Spark at once."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from rodovia.llm import repeated_spans
+
+    def peak(step, batches):
+        tracemalloc.start()
+        try:
+            out = list(step(iter(batches)))
+            return out, tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+
+    rng = random.Random(11)
+    texts = ["".join(rng.choices("abcdefgh ", k=2000)) for _ in range(2000)]
+    texts += texts[:1000]
+    n = sum(map(len, texts))
+    ids = pa.array(range(len(texts)), pa.int64())
+    batch = pa.RecordBatch.from_arrays([ids, ids, pa.array(texts)], ["doc", "row", "text"])
+    blocks, held = peak(repeated_spans._scan(1000), [batch])
+    assert held < 5.5 * n
+    assert max(b.nbytes for b in blocks) < 2 << 20
+    blocks, held = peak(repeated_spans._scan(1), [batch])
+    spans = pa.concat_arrays([b.column(1) for b in blocks])
+    shard = pa.RecordBatch.from_arrays([pa.array([0] * len(spans), pa.int32()), spans], ["shard", "spans"])
+    settled, held = peak(repeated_spans._settle, [shard])
+    assert held < 8 * n
+    assert sum(b.num_rows for b in settled) > 0
+    pressed, _ = peak(repeated_spans._compressed, [batch])
+    assert [r for b in pressed for r in b.column(0).to_pylist()] == ids.to_pylist()
+    assert max(b.num_rows for b in pressed) <= 512
+    whole = pa.concat_arrays([b.column(2) for b in pressed])
+    places = pa.array([[{"at": 5, "n": 1}]] * len(ids), pa.list_(pa.struct([("at", pa.int64()), ("n", pa.int32())])))
+    cut, _ = peak(repeated_spans._cut_out, [pa.RecordBatch.from_arrays([ids, whole, places], ["doc", "text", "places"])])
+    assert [r for b in cut for r in b.column(0).to_pylist()] == ids.to_pylist()
+    assert all(r == t[:5].encode() + t[55:].encode() for r, t in zip((r for b in cut for r in b.column(5).to_pylist()), texts))
+    assert max(b.num_rows for b in cut) <= 512
+
+
 def test_repeats_in_odd_rows(odd, empty):
     got = sorted((tuple(r)[:4] for r in remove_repeats(odd).collect()), key=str)
     n = len(LONG)
