@@ -5,8 +5,8 @@ frequency, ties by code points. A document's own profile is compared with each:
 n-gram of the document, how far its rank is from the language's, or the profile length if the language lacks it.
 The nearest language wins, ties by name.
 
-Profiles are learned from the whole texts of at most SAMPLE documents a language: those with the smallest hash of
-their id.
+Profiles are learned from the whole texts of at most SAMPLE documents a language, those with the smallest hash of
+their id, or of all labelled documents.
 
 A floor tells whether the nearest language is near at all. Labelled documents are scored by profiles learned without their
 fold; a text is in no learned language if its score is further below their lowest twentieth, at the same language and number of
@@ -17,11 +17,11 @@ more the less they weigh in all.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from functools import reduce
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from rodovia.llm.tables import stored
@@ -39,6 +39,8 @@ OTHER_SIZE = 0.1, 0.5  # in median and twentieth, for each class that its number
 _CLASSES = 22    # powers of two of the number of distinct n-grams
 _SHIFT = 21
 _PIECE = 1 << 20  # letters of a text that are looked at together
+_HELD = 1 << 19   # n-grams of texts that are counted together
+_DIGITS = 4       # of a score, where scores are counted
 
 
 def _letters() -> np.ndarray:
@@ -100,25 +102,34 @@ def _count_by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
     letters = _letters()
     for batch in batches:
         parts: dict[str, list] = {}
-        for lang, text in zip(batch.column(0), batch.column(1)):
+        held = 0
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             gram, count = _counted(text.as_py(), letters)
             if len(gram):
-                parts.setdefault(lang.as_py(), []).append((gram, count))
-        for lang, found in parts.items():
-            gram, inverse = np.unique(np.concatenate([g for g, _ in found]), return_inverse=True)
-            count = np.bincount(inverse, np.concatenate([c for _, c in found])).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(gram)), pa.array(gram), pa.array(count)],
-                                             ["lang", "gram", "n"])
+                parts.setdefault(lang, []).append((gram, count))
+                held += len(gram)
+            if held > _HELD:
+                yield from (_summed(*part) for part in parts.items())
+                parts, held = {}, 0
+        yield from (_summed(*part) for part in parts.items())
 
 
-def _sampled(docs: DataFrame, doc_id: str, text: str, lang: str, sample: int) -> DataFrame:
-    """(lang, text, id) of the documents with the smallest hashes of each language.
+def _summed(lang: str, found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    gram, inverse = np.unique(np.concatenate([g for g, _ in found]), return_inverse=True)
+    count = np.bincount(inverse, np.concatenate([c for _, c in found])).astype(np.int64)
+    return pa.RecordBatch.from_arrays([pa.repeat(lang, len(gram)), pa.array(gram), pa.array(count)], ["lang", "gram", "n"])
+
+
+def _sampled(docs: DataFrame, doc_id: str, text: str, lang: str, sample: int | None) -> DataFrame:
+    """(lang, text, id) of the documents with the smallest hashes of each language, or of all labelled ones.
 
     Counts per language bound the hashes to those of about twice as many documents, so that only these are ranked.
     """
     rows = (docs.select(F.xxhash64(F.col(doc_id).cast("string")).alias("h"), F.col(lang).cast("string").alias("lang"),
                         F.col(text).cast("string").alias("text"), F.col(doc_id).alias("id"))
             .filter("id is not null and lang is not null and text is not null"))
+    if sample is None:
+        return rows.select("lang", "text", "id")
     part = 2 * sample / F.col("n")
     # Written, so that Spark knows how small they are and need not deal the rows by language to join them.
     limits = stored(rows.groupBy("lang").agg(F.count("*").alias("n"))
@@ -131,8 +142,8 @@ def _sampled(docs: DataFrame, doc_id: str, text: str, lang: str, sample: int) ->
 
 
 def learn_profiles(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
-                   usable: Column | None = None, sample: int = SAMPLE, size: int = PROFILE) -> dict[str, np.ndarray]:
-    """Language -> n-grams in order, from at most ``sample`` documents a language (more if hashes tie).
+                   usable: Column | None = None, sample: int | None = SAMPLE, size: int = PROFILE) -> dict[str, np.ndarray]:
+    """Language -> n-grams in order, from at most ``sample`` documents a language (more if hashes tie), or from all for None.
 
     Rows with a null id, text or language, or for which ``usable`` is not true, teach nothing. The driver gets
     ``size`` numbers a language. Without any row that teaches the result is empty. Repeated ids are in or out together.
@@ -148,15 +159,16 @@ def learn_profiles(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return {k: np.array(v, np.int64) for k, v in profiles.items()}
 
 
-def learn_floors(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE,
+def learn_floors(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int | None = None,
                  size: int = PROFILE) -> dict[str, np.ndarray]:
     """Language -> least score of a text in it, by the power of two of the number of its distinct n-grams.
 
-    From at most ``sample`` documents a language (more if hashes tie), each scored without its fold; documents that
-    another language is nearest to teach nothing. The driver gets three values for each of them. Medians and twentieths
-    are quantiles over all scores, weighted by OTHER_LANGUAGE and OTHER_SIZE where they are of another language or class.
+    From all labelled documents, or at most ``sample`` a language, each scored without its fold; documents that
+    another language is nearest to teach nothing. The driver gets how many there are of each language, power of two and score, to
+    four digits. Medians and twentieths are quantiles over all scores, weighted by OTHER_LANGUAGE and OTHER_SIZE where they are
+    of another language or class.
     """
-    rows = stored(_sampled(docs, doc_id, text, lang, sample).withColumn("fold", _fold(F.col("id"))).drop("id"), "labelled")
+    rows = _sampled(docs, doc_id, text, lang, sample).withColumn("fold", _fold(F.col("id")).cast("int")).select("fold", "lang", "text")
     # Counted once by fold and language; a profile without a fold is the sum of the others.
     counts = (rows.select(F.concat("fold", "lang").alias("lang"), "text")
               .mapInArrow(_count_by_language, "lang string, gram bigint, n bigint")
@@ -168,21 +180,23 @@ def learn_floors(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", la
     profiles: list[dict[str, list]] = [{} for _ in range(FOLDS)]
     for r in sorted(counts.withColumn("rank", rank).filter(F.col("rank") <= size).collect(), key=lambda r: r["rank"]):
         profiles[r["without"]].setdefault(r["lang"], []).append(r["gram"])
-    scored = [rows.filter(F.col("fold") == f).select("lang", "text").mapInArrow(
-        _predict({k: np.array(v, np.int64) for k, v in p.items()}, size),
-        "lang string, lang_pred string, score double, n_grams bigint, near boolean") for f, p in enumerate(profiles)]
-    right = reduce(DataFrame.unionByName, scored).filter("lang = lang_pred")
-    return floors_of([(r["lang"], r["n_grams"], r["score"]) for r in right.select("lang", "n_grams", "score").collect()])
+    learned = [{k: np.array(v, np.int64) for k, v in p.items()} for p in profiles]
+    scored = rows.mapInArrow(_predict_without_fold(learned, size), "lang string, lang_pred string, score double, n_grams bigint, near boolean")
+    power = F.least(F.length(F.bin("n_grams")), F.lit(_CLASSES)) - 1
+    right = (scored.filter("lang = lang_pred").groupBy("lang", power.alias("power"), F.round("score", _DIGITS).alias("score"))
+             .agg(F.count("*").alias("n")).collect())
+    return floors_of([(r["lang"], 1 << r["power"], r["score"]) for r in right], [r["n"] for r in right])
 
 
-def floors_of(scores: list[tuple[str, int, float]]) -> dict[str, np.ndarray]:
-    """Language -> floor for each class, from (language, number of distinct n-grams, score) of documents told rightly."""
+def floors_of(scores: list[tuple[str, int, float]], times: Sequence[int] | None = None) -> dict[str, np.ndarray]:
+    """Language -> floor for each class, from (language, number of distinct n-grams, score) of documents told rightly, each that many times."""
     score = np.array([r[2] for r in scores])
+    times = np.ones(len(scores)) if times is None else np.array(times, float)
     classes = np.array([_class(r[1]) for r in scores], np.int64)
     names, lang = np.unique(np.array([r[0] for r in scores], object), return_inverse=True)
 
     def weights(name: int, c: int, other_size: float) -> np.ndarray:
-        return np.where(lang == name, 1.0, OTHER_LANGUAGE) * other_size ** np.abs(classes - c)
+        return times * np.where(lang == name, 1.0, OTHER_LANGUAGE) * other_size ** np.abs(classes - c)
 
     def quantile(of: np.ndarray, order: np.ndarray, weight: np.ndarray, part: float) -> float:
         total = np.cumsum(weight[order])
@@ -214,8 +228,8 @@ def _predict(profiles: dict[str, np.ndarray], size: int, floors: dict[str, np.nd
     for j, n in enumerate(names):
         rank[np.searchsorted(known, profiles[n]), j] = np.arange(len(profiles[n]))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        letters = _letters()
+    def run(batches: Iterator[pa.RecordBatch], letters: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+        letters = _letters() if letters is None else letters
         for batch in batches:
             lang, score, n_grams, near = [], [], [], []
             for text in batch.column(batch.num_columns - 1):
@@ -242,6 +256,18 @@ def _predict(profiles: dict[str, np.ndarray], size: int, floors: dict[str, np.nd
     return run
 
 
+def _predict_without_fold(profiles: list[dict[str, np.ndarray]], size: int) -> Callable:
+    """``_predict`` of (lang, text) by the profiles of the fold in front of them."""
+    runs = [_predict(p, size) for p in profiles]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        letters = _letters()
+        for batch in batches:
+            for fold, one in enumerate(runs):
+                yield from one(iter([batch.filter(pc.equal(batch.column(0), fold)).select(["lang", "text"])]), letters)
+    return run
+
+
 def predict_languages(docs: DataFrame, profiles: dict[str, np.ndarray], doc_id: str = "doc_id", text: str = "text",
                       size: int = PROFILE) -> DataFrame:
     """(doc_id, lang_pred, score) per row; score is 1 minus the distance as a part of the largest possible one.

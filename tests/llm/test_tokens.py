@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -273,3 +274,41 @@ def test_language_stage_rejects_other_languages(spark, documents):
         [d for d, _ in rows] + [10 ** 9 + len(added) + i for i in range(len(short))])
     bare = corpus_pipeline.language_id(spark, more.withColumn("lang", F.lit(None).cast("string")), SF)
     assert {r["doc_id"] - 10 ** 9 for r in bare.collect()} == {i for i, t in enumerate(added + short) if t not in ("12 34", "", None)}
+
+
+def test_language_stage_tells_the_language_of_each_text(spark):
+    """What is told goes on in lang, for texts without a label or with a wrong one, also of a language that only documents of one fold know."""
+    words = {"xx": "wald baum haus wald", "yy": "foret arbre maison foret", "zz": "cizik yuvar kopek yuvar"}
+    folds = [[i for i in range(400) if zlib.crc32(str(i).encode()) % 5 == k] for k in range(5)]
+    rows = [(i, words["xx"], "xx") for k in range(1, 5) for i in folds[k][:5]]
+    rows += [(i, words["yy"], "yy") for k in range(1, 5) for i in folds[k][5:10]]
+    rows += [(i, words["zz"], "zz") for i in folds[0][:20]]
+    odd = [(1000, words["xx"], None), (1001, words["yy"], "xx"), (1002, words["zz"], None)]
+    docs = spark.createDataFrame([(*r, "s", 1) for r in rows + odd], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    out = corpus_pipeline.language_id(spark, docs, SF)
+    assert out.schema == docs.schema
+    got = {r["doc_id"]: r["lang"] for r in out.collect()}
+    assert got == {**{r[0]: r[2] for r in rows}, 1000: "xx", 1001: "yy", 1002: "zz"}
+    bare = corpus_pipeline.language_id(spark, docs.withColumn("lang", F.lit(None).cast("string")), SF)
+    assert {r["lang"] for r in bare.collect()} == {None} and bare.count() == docs.count()
+
+
+def test_floors_of_counted_scores(monkeypatch):
+    """Scores that are counted give the floors of the same scores one by one, and texts counted in parts the same counts."""
+    from rodovia.llm import language_id
+
+    one = [("x", 600, 0.7), ("x", 600, 0.7), ("x", 40, 0.5), ("y", 600, 0.8), ("y", 600, 0.8), ("y", 600, 0.8)]
+    want, got = language_id.floors_of(one), language_id.floors_of(sorted(set(one)), [1, 2, 3])
+    assert want.keys() == got.keys() and all(np.allclose(want[k], got[k]) for k in want)
+    batch = pa.RecordBatch.from_arrays([pa.array(["x", "y", "x"]), pa.array(["ab ba", "c", "ab"])], ["lang", "text"])
+
+    def counts():
+        total = collections.Counter()
+        for b in language_id._count_by_language(iter([batch])):
+            for r in b.to_pylist():
+                total[r["lang"], r["gram"]] += r["n"]
+        return total
+
+    whole = counts()
+    monkeypatch.setattr(language_id, "_HELD", 3)
+    assert counts() == whole
