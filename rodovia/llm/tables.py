@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
-from rodovia.session import scratch_path
+from rodovia.session import release as release, scratch_path
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -19,16 +18,6 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of plans that are done with.
-
-    Its cleaner does so when the driver's JVM collects them, which a driver with little garbage may put off until the executors'
-    disks hold the shuffles of all steps at once. Python's own garbage goes first, for it holds on to plans.
-    """
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def sorted_groups(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[pa.Table]:
     """Whole groups of rows with equal keys from a partition sorted by those (non-null integer) keys."""
     pending: list[pa.RecordBatch] = []
