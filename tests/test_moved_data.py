@@ -2,6 +2,7 @@
 
 import datetime as dt
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from rodovia.plans import refresh, star, views
 from rodovia.plans.conform import conformed, resolve, store_conformed
 from rodovia.plans.star import DIMENSIONS, FACTS
 from rodovia.schemas import STAGING, to_schema
+from rodovia.session import _scratch_root, discard, scratch_path
 from rodovia.workload.catalog import QUERIES, Context
 
 KEYS = ("src_id", "src_cliente_id", "src_condutor_id", "src_veiculo_id", "src_grupo_id", "src_patio_retirada_id",
@@ -185,6 +187,77 @@ def test_stored_rentals_move_once_for_their_references(spark, staged, tmp_path):
         ("1-0", "1-0", "1-0"), ("1-0", "None", "1-0"), ("None", "None", "1-1"), ("None", "None", "1-1")]
 
 
+def found_in(rows, column):
+    return sorted((str(r.locacao_nk), str(r[column])) for r in rows.select("locacao_nk", column).collect())
+
+
+def test_markers_leave_rentals_in_place(spark, staged):
+    """Rentals move for their de-duplication only, however many values a dimension lacks, and find what joins with the dimensions find."""
+    some = {**staged, "cliente": staged["cliente"].filter("src_id = 0"), "condutor": staged["condutor"].filter("src_id = 1"),
+            "reserva": staged["reserva"].limit(0)}
+    null_source = staged["locacao"].limit(1).withColumns({"src_id": F.lit(9).cast("bigint"), "grupo_fonte": F.lit(None).cast("smallint")})
+    some["locacao"] = some["locacao"].withColumn("src_reserva_id", F.col("src_cliente_id")).unionByName(null_source)
+    conf = conformed(some, AS_OF)
+    expected = resolve({n: conf[n] for n in conf}, "conf_locacao")  # without what the plans tell of themselves
+    rows = resolve(conf, "conf_locacao")
+    want = sorted(map(str, expected.collect()))
+    assert rows.columns == expected.columns and sorted(map(str, rows.collect())) == want
+    assert found_in(rows, "sk_cliente") == [("1-0", "1-0"), ("None", "None"), ("None", "None")]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # now all that is absent is too much
+    try:
+        rows = resolve(conf, "conf_locacao")
+        assert sorted(map(str, rows.collect())) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert [by for by in moves(expected, "estado_entrega") if "_linha" not in by and "src_id" not in by] != []
+    # The rows with one row of limit() in them come from a single partition.
+    assert {by.split("#")[0] for by in moves(rows, "estado_entrega")} - {"SinglePartition"} == {"hashpartitioning(_linha"}
+
+
+def test_whole_rentals_leave_vehicles_in_place(spark, staged):
+    some = {**staged, "veiculo": staged["veiculo"].filter("src_id = 0")}
+    null_source = staged["cobranca"].limit(1).withColumn("grupo_fonte", F.lit(None).cast("smallint"))
+    some["cobranca"] = some["cobranca"].unionByName(null_source)
+    rentals = some["locacao"].limit(1)
+    some["locacao"] = some["locacao"].unionByName(rentals.withColumn("grupo_fonte", F.lit(None).cast("smallint")))
+    x = context(spark, some)
+    for rows, expected in ((x.dw_of_whole_rentals["fato_locacao"], x.dw["fato_locacao"]), (
+            star.rental_candidates(x.conf, x.dw_of_whole_rentals), star.rental_candidates(x.conf, x.dw))):
+        assert rows.columns == expected.columns
+        assert sorted(map(str, rows.collect())) == sorted(map(str, expected.collect()))
+    rows = star.rental_candidates(x.conf, x.dw_of_whole_rentals)
+    assert not [by for by in moves(rows, "km_entrega") if "veiculo" in by]
+    assert [by for by in moves(star.rental_candidates(x.conf, x.dw), "km_entrega") if "veiculo" in by]
+
+
+def test_a_load_leaves_no_working_tables(spark, staged, tmp_path):
+    rentals = staged["locacao"].filter("src_id IS NOT NULL")
+    cfg = refresh.Config(str(tmp_path / "dw"), AS_OF, RUN_TS, quarantine=True)
+    conf = store_conformed({**staged, "locacao": rentals}, kept_by(spark, tmp_path, {}), AS_OF)
+    scratch = Path(_scratch_root(spark))
+    had = set(scratch.glob("keys-*"))
+    store = refresh.run_load(spark, cfg, conf)
+    assert store.read("fato_locacao").count() == 1
+    assert any(tmp_path.glob("dw/dw/fato_locacao/*")) and not any(tmp_path.glob("dw/dw/_candidatos_*/*"))
+    left = {p for p in set(scratch.glob("keys-*")) - had}
+    assert not [p for p in left if "locacao_id" in spark.read.parquet(str(p)).columns]
+
+
+def test_a_digest_tells_null_from_text_and_one_column_from_another(spark):
+    rows = spark.createDataFrame([(None, "a"), ("a", None), ("null", "a"), ("", "a"), ("a", "a"), (None, "a")], "x string, y string")
+    found = rows.select(refresh._digest(["x", "y"], rows).alias("d")).collect()
+    assert len({bytes(r.d) for r in found}) == 5 and found[0].d == found[-1].d
+
+
+def test_discard_deletes_files_of_the_shared_folder_only(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "own"))
+    path = scratch_path(spark, "t")
+    spark.range(3).write.parquet(path)
+    discard(spark.read.parquet(str(tmp_path / "own")))
+    discard(spark.read.parquet(path))
+    assert any((tmp_path / "own").glob("part-*")) and not Path(path).exists()
+
+
 def test_a_second_load_writes_and_moves_only_what_is_not_stored(spark, staged, tmp_path):
     rentals = staged["locacao"].filter("src_id IS NOT NULL")
     stray = rentals.limit(1).withColumns({"src_id": F.lit(9).cast("bigint"), "src_veiculo_id": F.lit(77).cast("bigint")})
